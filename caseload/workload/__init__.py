@@ -1,0 +1,7 @@
+"""Registered queries: the library's operators on the driver's tables, with their SQL."""
+
+from . import series
+
+REGISTERED = {
+    name: query for module in (series,) for name, query in module.QUERIES.items()
+}
