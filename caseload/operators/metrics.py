@@ -22,42 +22,92 @@ def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> Window
     return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
 
 
-def prior_value(
+def prior_values(
     df: DataFrame,
     value: str,
-    name: str,
+    names: Sequence[str],
     period: str | Sequence[str],
     by: Sequence[str] = (),
     piece: Column | None = None,
 ) -> DataFrame:
-    """Add the value of the row before, in period order, within the same entity.
+    """Add the values of the rows before, nearest first, one column per name.
 
-    It is the row before, not the calendar period before: a gap is stepped over.
+    Rows are taken in period order within the same entity. It is the row before, not the
+    calendar period before: a gap is stepped over.
     """
+    steps = range(1, len(names) + 1)
     if piece is None:
-        return df.withColumn(name, F.lag(value).over(series_window(period, by)))
+        window = series_window(period, by)
+        lags = [F.lag(value, step).over(window).alias(n) for step, n in zip(steps, names)]
+        return df.select("*", *lags)
 
-    # Within a piece `lag` finds the row before. The first row of a piece takes the last row
-    # of the piece before, which is found among one row per piece. The key is a struct, so
-    # that missing entity keys meet each other as they do in a window.
+    # Within a piece `lag` finds the rows before. Where it would leave the piece, it takes
+    # the last rows of the pieces before. The key is a struct, so that missing entity keys
+    # meet each other as they do in a window.
     keyed = df.withColumn("__piece", F.struct(*by, piece.alias("__at")))
     inside = series_window(period, ["__piece"])
-    marked = (
-        keyed.withColumn("__lag", F.lag(value).over(inside))
-        .withColumn("__row", F.row_number().over(inside))
-        .withColumn("__last", F.lead(F.lit(1)).over(inside).isNull())
+    marked = keyed.select(
+        "*",
+        F.row_number().over(inside).alias("__row"),
+        *[F.lag(value, step).over(inside).alias(f"__lag{step}") for step in steps],
+    )
+    carried = _rows_before_piece(keyed, value, len(names), period, bool(by))
+    found = [
+        F.when(F.col("__row") > step, F.col(f"__lag{step}"))
+        .otherwise(F.get("__before", F.size("__before") - step + F.col("__row") - 1))
+        .alias(name)
+        for step, name in zip(steps, names)
+    ]
+    return marked.join(carried, "__piece", "left").select(*df.columns, *found)
+
+
+def _rows_before_piece(
+    keyed: DataFrame, value: str, rows: int, period: str | Sequence[str], by_entity: bool
+) -> DataFrame:
+    """Per piece, the last `rows` values of the pieces before it, oldest first.
+
+    Only the last rows of each piece are shuffled: Spark applies the limit on the row number
+    before the exchange. What is collected per piece has at most `rows` entries per piece
+    looked back on, and the pieces of an entity are bounded by the calendar.
+    """
+    order = [period] if isinstance(period, str) else list(period)
+    backwards = Window.partitionBy("__piece").orderBy(*[F.desc(c) for c in order])
+    last = keyed.select(
+        "__piece", F.col(value).alias("v"), F.row_number().over(backwards).alias("__n")
     )
-    across = series_window("__at", ["__entity"])
-    carried = (
-        marked.where("__last")
-        .select("__piece", F.col(value).alias("__end"))
-        .withColumn("__entity", F.col("__piece").dropFields("__at") if by else F.lit(0))
-        .withColumn("__at", F.col("__piece.__at"))
-        .withColumn("__carried", F.lag("__end").over(across))
-        .select("__piece", "__carried")
+    ends = (
+        last.where(F.col("__n") <= rows)
+        .groupBy("__piece")
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("__n")).alias("n"), "v"))).alias("__end"))
+        .withColumn("__at", F.col("__piece")["__at"])
+        .withColumn("__entity", F.col("__piece").dropFields("__at") if by_entity else F.lit(0))
     )
-    found = F.when(F.col("__row") == 1, F.col("__carried")).otherwise(F.col("__lag"))
-    return marked.join(carried, "__piece", "left").select(*df.columns, found.alias(name))
+    # Every piece has a row, so as many pieces as rows wanted always hold enough of them.
+    earlier = series_window("__at", ["__entity"]).rowsBetween(-rows, -1)
+    before = F.flatten(F.collect_list("__end").over(earlier))
+    return ends.withColumn("__before", before).select(
+        "__piece", F.transform("__before", lambda end: end["v"]).alias("__before")
+    )
+
+
+def change_columns(
+    value: str, prior: str, change: str = "mom_change", pct: str | None = "mom_change_pct"
+) -> list[Column]:
+    """The change against a prior value, and the same as a fraction of it.
+
+    Both are NULL without a prior value; against a zero the fraction is 0.
+    """
+    difference = F.col(value) - F.col(prior)
+    columns = [difference.alias(change)]
+    return columns + ([ratio(difference, prior).alias(pct)] if pct else [])
+
+
+def mean_of_present(columns: Sequence[str]) -> Column:
+    """Mean over the columns that have a value, added up in the order given."""
+    values = [F.col(c).cast("double") for c in columns]
+    total = reduce(Column.__add__, [F.coalesce(v, F.lit(0.0)) for v in values])
+    present = reduce(Column.__add__, [v.isNotNull().cast("int") for v in values])
+    return ratio(total, present, on_zero="null")
 
 
 def period_change(
@@ -70,16 +120,9 @@ def period_change(
     pct: str | None = "mom_change_pct",
     piece: Column | None = None,
 ) -> DataFrame:
-    """Add the change against the row before, and the same as a fraction of that row.
-
-    Both are NULL on the first row of a series; against a zero the fraction is 0.
-    """
-    df = prior_value(df, value, "__prior", period, by, piece)
-    difference = F.col(value) - F.col("__prior")
-    added = {change: difference}
-    if pct:
-        added[pct] = ratio(difference, "__prior")
-    return df.withColumns(added).drop("__prior")
+    """Add the change against the row before, see `change_columns`."""
+    lagged = prior_values(df, value, ["__prior"], period, by, piece)
+    return lagged.select(*df.columns, *change_columns(value, "__prior", change, pct))
 
 
 def rolling_mean(
@@ -96,14 +139,9 @@ def rolling_mean(
     if piece is None:
         frame = series_window(period, by).rowsBetween(1 - rows, 0)
         return df.withColumn(name, F.avg(value).over(frame))
-    held = [value]
-    for i in range(1, rows):
-        df = prior_value(df, held[-1], f"__back{i}", period, by, piece)
-        held.append(f"__back{i}")
-    oldest_first = [F.col(c).cast("double") for c in reversed(held)]
-    total = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0.0)) for c in oldest_first])
-    present = reduce(lambda a, b: a + b, [c.isNotNull().cast("int") for c in oldest_first])
-    return df.withColumn(name, ratio(total, present, on_zero="null")).drop(*held[1:])
+    before = [f"__back{step}" for step in range(1, rows)]
+    held = prior_values(df, value, before, period, by, piece)
+    return held.select(*df.columns, mean_of_present([*reversed(before), value]).alias(name))
 
 
 def share_of(
@@ -166,6 +204,6 @@ def stock_flow_variance(
     piece: Column | None = None,
 ) -> DataFrame:
     """Add the part of a stock that the stock before and the flows do not explain."""
-    df = prior_value(df, stock, "__prior", period, by, piece)
+    lagged = prior_values(df, stock, ["__prior"], period, by, piece)
     implied = F.col("__prior") + F.col(inflow) - F.col(outflow)
-    return df.withColumn(name, ratio(F.col(stock) - implied, stock)).drop("__prior")
+    return lagged.withColumn(name, ratio(F.col(stock) - implied, stock)).drop("__prior")

@@ -43,8 +43,20 @@ def mart_enrollment_by_county(staging: DataFrame) -> DataFrame:
     changed = period_change(
         shared, "enrollment_count", "report_month", ["risk_group", "county_code"]
     )
-    metrics = ["mom_change", "mom_change_pct", "pct_of_county_total", "pct_of_state_total"]
-    return changed.select(*staging.columns, *metrics)
+    return changed.select(
+        "report_month",
+        "county_code",
+        "county_name",
+        "is_unknown_county",
+        "risk_group",
+        "risk_group_category",
+        "enrollment_count",
+        "count_methodology",
+        "mom_change",
+        "mom_change_pct",
+        "pct_of_county_total",
+        "pct_of_state_total",
+    )
 
 
 def mart_timeliness_performance(staging: DataFrame) -> DataFrame:
@@ -55,27 +67,41 @@ def mart_timeliness_performance(staging: DataFrame) -> DataFrame:
     changed = period_change(
         timely, "pct_timely", "report_month", series, change="mom_change_pct_timely", pct=None
     )
-    return rolling_mean(changed, "pct_timely", "rolling_3m_pct_timely", "report_month", series)
+    smooth = rolling_mean(changed, "pct_timely", "rolling_3m_pct_timely", "report_month", series)
+    return smooth.select(
+        "report_month",
+        "region",
+        "is_geographic_region",
+        "record_type",
+        "disposed",
+        "timely",
+        "untimely",
+        "pct_timely",
+        "src_percent",
+        "pct_timely_variance",
+        "mom_change_pct_timely",
+        "rolling_3m_pct_timely",
+    )
 
 
 def mart_chip_enrollment(staging: DataFrame) -> DataFrame:
     """Net flow, change, rates, and how far flows explain the change of the caseload."""
+    netted = staging.withColumn("net_enrollment", F.col("new_enrollment") - F.col("disenrollment"))
     changed = period_change(
-        staging,
+        netted,
         "chip_caseload",
         "report_month",
         change="mom_change_caseload",
         pct="mom_change_pct_caseload",
     )
-    flows = changed.withColumns(
+    rated = changed.withColumns(
         {
-            "net_enrollment": F.col("new_enrollment") - F.col("disenrollment"),
             "renewal_rate": ratio("renewals", "chip_caseload"),
             "disenrollment_rate": ratio("disenrollment", "chip_caseload"),
         }
     )
     return stock_flow_variance(
-        flows, "chip_caseload", "new_enrollment", "disenrollment", "report_month"
+        rated, "chip_caseload", "new_enrollment", "disenrollment", "report_month"
     )
 
 
@@ -95,11 +121,17 @@ def mart_mco_enrollment(staging: DataFrame) -> DataFrame:
 
     Totals are not split by fiscal year: one year is loaded at a time.
     """
-    return share_of(
-        staging,
+    shares = {
+        "mco_share_of_sda": ["program", "sub_program", "sda"],
+        "mco_share_of_program": ["program", "sub_program"],
+    }
+    return share_of(staging, "enrollment_avg", shares).select(
+        "fiscal_year",
+        "mco_name",
+        "program",
+        "sub_program",
+        "sda",
         "enrollment_avg",
-        {
-            "mco_share_of_sda": ["program", "sub_program", "sda"],
-            "mco_share_of_program": ["program", "sub_program"],
-        },
+        "enrollment_type",
+        *shares,
     )

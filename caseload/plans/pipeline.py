@@ -16,6 +16,7 @@ from ..sources.sinks import (
     publish_view,
     raise_failed,
     target_namespace,
+    with_audit_time,
 )
 from . import marts, raw, staging
 from .checks import AUDIT_COLUMN, declared_checks, grain_checks
@@ -88,12 +89,14 @@ def build_models(
     Returns the load report of the marts and raises if one of them failed.
     """
     source = target_namespace(raw_namespace, "default")
-    views = {
-        name: publish_view(build(spark.table(f"`{source}`.`{table}`")), name)
+    staged = {
+        name: build(spark.table(f"`{source}`.`{table}`"))
         for name, (build, table) in STAGING.items()
     }
+    for name, frame in staged.items():
+        publish_view(with_audit_time(frame, AUDIT_COLUMN), name)
     outcomes = [
-        publish_table(build(views[view]), name, namespace=mart_namespace, audit_column=AUDIT_COLUMN)
+        publish_table(build(staged[view]), name, namespace=mart_namespace, audit_column=AUDIT_COLUMN)
         for name, (build, view) in MARTS.items()
         if only is None or name in only
     ]

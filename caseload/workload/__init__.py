@@ -1,7 +1,7 @@
 """Registered queries: the library's operators on the driver's tables, with their SQL."""
 
-from . import series
+from . import models, series, sheets
 
 REGISTERED = {
-    name: query for module in (series,) for name, query in module.QUERIES.items()
+    name: query for module in (series, models, sheets) for name, query in module.QUERIES.items()
 }

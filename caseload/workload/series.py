@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.labels import effective_dated_label
 from ..functions.scalars import ratio
 from ..operators.metrics import (
+    change_columns,
+    mean_of_present,
     period_change,
+    prior_values,
     rolling_mean,
     share_of,
     stock_flow_variance,
@@ -26,7 +29,7 @@ def series_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = (
         table(spark, sf_dir, "orders")
         .groupBy(month_of("o_orderdate").alias("report_month"), "o_orderpriority")
-        .agg(F.count(F.lit(1)).alias("n_orders"), money_sum("o_totalprice").alias("order_value"))
+        .agg(money_sum("o_totalprice").alias("order_value"))
     )
     shared = share_of(
         series,
@@ -40,7 +43,6 @@ def series_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 SERIES_TREND = f"""
 WITH series AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month, o_orderpriority,
-         CAST(count(*) AS BIGINT) AS n_orders,
          CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS order_value
   FROM orders GROUP BY ALL
 ), totals AS (
@@ -50,7 +52,7 @@ WITH series AS (
   SELECT *, lag(order_value) OVER (PARTITION BY o_orderpriority ORDER BY report_month) AS prior
   FROM series
 )
-SELECT l.report_month, o_orderpriority, n_orders, order_value,
+SELECT l.report_month, o_orderpriority, order_value,
        {div0("order_value", "total")} AS pct_of_total,
        order_value - prior AS mom_change,
        {div0("order_value - prior", "prior")} AS mom_change_pct
@@ -311,13 +313,16 @@ def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     A series here is as long as its share of the events, so it is worked on by the hour.
     """
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    order, by = ["ts", "event_id"], ["event_type"]
     hour = F.substring(F.col("ts").cast("string"), 1, 13)
-    changed = period_change(
-        events, "value", order, by, change="change", pct="change_pct", piece=hour
+    back = ["before_1", "before_2"]
+    held = prior_values(events, "value", back, ["ts", "event_id"], ["event_type"], piece=hour)
+    return held.select(
+        "event_id",
+        "event_type",
+        "value",
+        *change_columns("value", "before_1", "change", "change_pct"),
+        mean_of_present(["before_2", "before_1", "value"]).alias("rolling_3"),
     )
-    smooth = rolling_mean(changed, "value", "rolling_3", order, by, piece=hour)
-    return smooth.drop("ts")
 
 
 EVENT_CHANGES = f"""
