@@ -1,7 +1,6 @@
 """Registered queries: the library's operators on the driver's tables, with their SQL."""
 
-from . import models, series, sheets
+from . import audits, models, series, shapes, sheets
 
-REGISTERED = {
-    name: query for module in (series, models, sheets) for name, query in module.QUERIES.items()
-}
+MODULES = (series, models, sheets, shapes, audits)
+REGISTERED = {name: query for module in MODULES for name, query in module.QUERIES.items()}

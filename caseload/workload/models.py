@@ -5,19 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators.quality import run_checks
-from ..plans.checks import (
-    ACCEPTED,
-    AUDIT_COLUMN,
-    REQUIRED,
-    REQUIRED_IN_REGIONS,
-    UNIQUE,
-    declared_checks,
-)
 from ..plans.pipeline import MARTS, STAGING
-from ..sources.sinks import with_audit_time
 from .raw_tables import RAW_SQL, raw_tables
 from .tables import div0
 

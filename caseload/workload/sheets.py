@@ -286,11 +286,11 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     if outcome.status != "loaded":
         raise RuntimeError(outcome.message)
-    published = spark.read.parquet(folder)
-    counted = F.lit(outcome.n_rows).cast("bigint")
-    return published.drop("dbt_loaded_at").withColumns(
-        {"n_loaded": counted, "audited": F.col("dbt_loaded_at").isNotNull()}
-    )
+    added = {
+        "n_loaded": F.lit(outcome.n_rows).cast("bigint"),
+        "audited": F.col("dbt_loaded_at").isNotNull(),
+    }
+    return spark.read.parquet(folder).withColumns(added).drop("dbt_loaded_at")
 
 
 PUBLISH_ROUNDTRIP = f"""
