@@ -86,9 +86,8 @@ def month_from_name(name: Column | str, on_unknown: str = "raise") -> Column:
         raise ValueError(f"on_unknown must be 'raise' or 'skip', not {on_unknown!r}")
     months = F.create_map(*[F.lit(x) for pair in spellings.items() for x in pair])
     month = F.try_element_at(months, F.lower(F.regexp_extract(text, pattern, 1)))
-    year = F.regexp_extract(text, pattern, 2).try_cast("int")
+    year = F.regexp_extract(text, pattern, 2)
+    first_day = F.concat(year, F.lit("-"), month.cast("string"), F.lit("-01"))
     unknown = F.raise_error(F.concat(F.lit("no month in file name: "), name)).cast("date")
-    found = F.when(
-        month.isNotNull() & year.isNotNull(), F.make_date(year, month, F.lit(1))
-    ).otherwise(unknown)
+    found = F.coalesce(first_day.try_cast("date"), unknown)
     return found if on_unknown == "raise" else F.when(text.rlike(pattern), found)

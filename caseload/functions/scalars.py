@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 # Fixed values.
 MICROS_PER_DAY = 86_400_000_000
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 WHITE_SPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)$"
 
 
 def column(ref: Column | str) -> Column:
@@ -65,14 +65,13 @@ def missing_to_null(value: Column | str) -> Column:
 
 
 def number_or_null(text: Column | str) -> Column:
-    """A text cell as a double; NULL unless the whole trimmed cell is a plain number."""
-    trimmed = strip(text)
-    return F.when(trimmed.rlike(NUMBER_PATTERN), trimmed.try_cast("double"))
+    """A text cell as a double; NULL unless the whole stripped cell is a plain number."""
+    return F.regexp_extract(strip(text), NUMBER, 1).try_cast("double")
 
 
 def strip(text: Column | str) -> Column:
-    """Drop white space of every kind from both ends (`trim` drops blanks only)."""
-    return F.regexp_replace(column(text), f"^{WHITE_SPACE}+|{WHITE_SPACE}+$", "")
+    """Drop white space of every kind from both ends (a bare `trim` drops blanks only)."""
+    return F.trim(column(text), F.lit(WHITE_SPACE))
 
 
 def clean_text(text: Column | str) -> Column:

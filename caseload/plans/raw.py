@@ -110,22 +110,22 @@ def enrollment_by_county(grid: DataFrame) -> DataFrame:
 
 def county_report(grid: DataFrame) -> DataFrame:
     """Rows per sheet that were loaded, and that had a wrong number of columns."""
-    table = "enrollment_by_county"
     body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW)
-    code = F.get("cells", F.lit(0))
-    loaded = body.where(_county_width() & number_or_null(code).isNotNull())
-    misfit = body.where(~_county_width())
-    return rows_per_file(loaded, table).unionByName(
-        rows_per_file(misfit, table, "skipped", f"not {len(COUNTY_COLUMNS)} columns")
-    )
+    is_county = number_or_null(F.get("cells", F.lit(0))).isNotNull()
+    outcomes = {
+        ("loaded", ""): _county_width() & is_county,
+        ("skipped", f"not {len(COUNTY_COLUMNS)} columns"): ~_county_width(),
+    }
+    return rows_per_file(body, "enrollment_by_county", outcomes)
 
 
 def timeliness_medicaid(grid: DataFrame) -> DataFrame:
     """Both tables of all monthly sheets; sheets without a month in their name are skipped."""
     month = month_from_name("source_file", on_unknown="skip")
-    rows = stack_sections(grid.withColumn("month", month).where("month IS NOT NULL"), TIMELINESS_SECTIONS)
+    dated = grid.withColumn("month", month).where("month IS NOT NULL")
+    rows = stack_sections(dated, TIMELINESS_SECTIONS)
     headers = [header for header, _, _ in TIMELINESS_SECTIONS.values()]
-    named = with_header(rows, grid, headers, level="basic").select(
+    named = with_header(rows, dated, headers, level="basic").select(
         cell("region").alias("region"),
         *_number_cells(TIMELINESS_MEASURES),
         "record_type",
@@ -140,10 +140,11 @@ def timeliness_report(grid: DataFrame) -> DataFrame:
     """Rows per sheet that were read, and sheets whose name gives no month."""
     month = month_from_name("source_file", on_unknown="skip")
     rows = stack_sections(grid.withColumn("month", month), TIMELINESS_SECTIONS)
-    table = "timeliness_medicaid"
-    return rows_per_file(rows.where("month IS NOT NULL"), table).unionByName(
-        rows_per_file(rows.where("month IS NULL"), table, "skipped", "no month in the name")
-    )
+    outcomes = {
+        ("loaded", ""): F.col("month").isNotNull(),
+        ("skipped", "no month in the name"): F.col("month").isNull(),
+    }
+    return rows_per_file(rows, "timeliness_medicaid", outcomes)
 
 
 def mco_enrollment_by_sda(

@@ -1,8 +1,8 @@
 """Landed sheets: one JSON line per sheet row, holding its position and its cells.
 
-A sheet is either one file, or a folder `source_file=<name>` of part files when a job wrote
-it. Cells are text, a missing cell is null, and `row_idx` is the position in the
-sheet, so that nothing depends on the order in which files are read.
+A sheet is a file of its own, or its rows name it in `source_file`, so that a job can land any
+number of sheets in files of even size. Cells are text and a missing cell is null.
+`row_idx` is the position in the sheet: nothing depends on the order in which rows are read.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ SCHEMA = "row_idx INT, cells ARRAY<STRING>"
 
 
 def read_grid(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Rows (source_path, source_file, row_idx, cells) of all sheet files under a folder."""
+    """Rows (source_path, source_file, row_idx, cells) of all files under a folder."""
     read = spark.read.schema(SCHEMA).option("pathGlobFilter", pattern).json(path)
     return read.select(
         F.col("_metadata.file_path").alias("source_path"),
@@ -24,13 +24,12 @@ def read_grid(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def read_written_grid(spark: SparkSession, path: str) -> DataFrame:
-    """The same for a folder made by `write_grid`."""
-    read = spark.read.schema(f"{SCHEMA}, source_file STRING").json(path)
+def read_named_grid(spark: SparkSession, path: str) -> DataFrame:
+    """The same for rows that name their sheet, as `write_named_grid` lands them."""
+    read = spark.read.schema(f"source_file STRING, {SCHEMA}").json(path)
     return read.select(F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells")
 
 
-def write_grid(grid: DataFrame, path: str) -> None:
-    """Land sheets, one folder per sheet."""
-    landed = grid.select("source_file", "row_idx", "cells")
-    landed.write.mode("overwrite").partitionBy("source_file").json(path)
+def write_named_grid(grid: DataFrame, path: str) -> None:
+    """Land sheets whose rows name them."""
+    grid.select("source_file", "row_idx", "cells").write.mode("overwrite").json(path)

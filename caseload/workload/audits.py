@@ -27,8 +27,10 @@ from ..plans.checks import (
     declared_checks,
     grain_checks,
 )
+from ..plans.pipeline import MARTS, STAGING
 from ..sources.sinks import with_audit_time
-from .models import MART_SQL, STAGING_SQL, model
+from .models import MART_SQL, STAGING_SQL
+from .raw_tables import raw_tables
 from .series import MARKET_SHARE, market_share
 from .tables import cents, month_of, table
 
@@ -127,13 +129,14 @@ DQ_REPORT = _report(
 
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks, and those of the grain, on the twelve models."""
+    staged = {
+        name: build(raw_tables(spark, sf_dir, source)) for name, (build, source) in STAGING.items()
+    }
+    models = staged | {name: build(staged[source]) for name, (build, source) in MARTS.items()}
     return run_all(
         {
-            name: (
-                with_audit_time(model(spark, sf_dir, name), AUDIT_COLUMN),
-                [*declared_checks(name), *grain_checks(name)],
-            )
-            for name in MODELS
+            name: (with_audit_time(df, AUDIT_COLUMN), [*declared_checks(name), *grain_checks(name)])
+            for name, df in models.items()
         }
     )
 

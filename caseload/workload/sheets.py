@@ -61,14 +61,30 @@ def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Colu
     )
 
 
+def _sheets(rows: DataFrame, frame: Column) -> DataFrame:
+    """Many sheets: per source file, its data rows and the rows every such sheet has.
+
+    A sheet is put together as a whole, and has no more rows than its layout.
+    """
+    whole = rows.groupBy("source_file", "day").agg(
+        F.collect_list(F.struct("row_idx", "cells")).alias("data"), F.sum("weight").alias("total")
+    )
+    return whole.select(
+        F.col("source_file").alias("source_path"),
+        "source_file",
+        F.inline(F.concat(F.col("data"), frame)),
+    )
+
+
 def _row_of_month(first_row: int) -> Column:
     months = (F.year("day") - 2019) * 12 + F.month("day") - 5
     return (months + first_row).cast("int").alias("row_idx")
 
 
-def _dated_name(prefix: str) -> Column:
+def _dated_name(prefix: Column | str) -> Column:
     spelled = F.element_at(F.array(*[F.lit(m) for m in MONTH_IN_NAME]), F.month("day"))
-    return F.concat(F.lit(prefix), spelled, F.lit("-"), F.year("day"), F.lit(".xlsx"))
+    start = F.lit(prefix) if isinstance(prefix, str) else prefix
+    return F.concat(start, spelled, F.lit("-"), F.year("day"), F.lit(".xlsx"))
 
 
 def risk_group_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,78 +114,74 @@ def htw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def county_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sheet per month: a header, a row per county, a total and a footnote."""
+    """One sheet per month: a header, a row per county, a total and footnotes."""
     months = county_months(spark, sf_dir)
-    sheets = months.groupBy(_dated_name("enrollment-by-county-final-").alias("source_file")).agg(
-        F.sum("medicaid_caseload").alias("total")
-    )
-    blank = [F.lit(None).cast("string")] * 8
+    total = F.array(F.lit("TOTAL"), F.lit(None), F.col("total").cast("string"), *[F.lit(None)] * 8)
     frame = F.array(
         _row(2, [f"Column {i}" for i in range(11)]),
-        F.struct(
-            F.lit(300).alias("row_idx"),
-            F.array(F.lit("TOTAL"), F.lit(None), F.col("total").cast("string"), *blank).alias("cells"),
-        ),
+        F.struct(F.lit(300).alias("row_idx"), total.alias("cells")),
         _row(302, ["* NaN", *[None] * 10]),
         _row(303, ["1d", *[None] * 10]),
         _row(304, ["7", "a row of another width"]),
     )
-    data = months.select(
+    rows = months.select(
         _dated_name("enrollment-by-county-final-").alias("source_file"),
+        "day",
         (F.col("hhsc_county_code") + 3).cast("int").alias("row_idx"),
         F.array(*_texts(months.columns[:-1])).alias("cells"),
+        F.col("medicaid_caseload").alias("weight"),
     )
-    rows = data.unionByName(sheets.select("source_file", F.inline(frame)))
-    return rows.select(F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells")
+    return _sheets(rows, frame)
 
 
 def timeliness_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sheet per month with two tables; sheets of even months order their columns otherwise."""
     months = timeliness_months(spark, sf_dir)
-    name = F.when(F.col("day") < "2019-07-01", _dated_name("timeliness-summary-")).otherwise(
-        _dated_name("timeliness-medicaid-")
+    named = F.when(F.col("day") < "2019-07-01", "timeliness-summary-").otherwise(
+        "timeliness-medicaid-"
     )
+    usual = ["region", "disposed", "timely", "percent"]
+    other = ["region", "percent", "timely", "disposed"]
     even = F.month("day") % 2 == 0
     first_row = F.when(F.col("record_type") == "applications", 4).otherwise(26)
-    usual, other = (
-        ["region", "disposed", "timely", "percent"],
-        ["region", "percent", "timely", "disposed"],
+    rows = months.select(
+        _dated_name(named).alias("source_file"),
+        "day",
+        (first_row + F.col("line")).cast("int").alias("row_idx"),
+        F.when(even, F.array(*_texts(other))).otherwise(F.array(*_texts(usual))).alias("cells"),
+        F.col("disposed").alias("weight"),
     )
-    cells = F.when(even, F.array(*_texts(other))).otherwise(F.array(*_texts(usual)))
-    sheets = months.groupBy("day").agg(F.sum("disposed").alias("total"))
 
     def header(row_idx: int) -> Column:
-        texts = [F.array(*[F.lit(c.title()) for c in names]) for names in (other, usual)]
-        return F.struct(
-            F.lit(row_idx).alias("row_idx"), F.when(even, texts[0]).otherwise(texts[1]).alias("cells")
+        reordered, plain = (
+            F.array(*[F.lit(c.title()) for c in names]) for names in (other, usual)
         )
+        cells = F.when(even, reordered).otherwise(plain)
+        return F.struct(F.lit(row_idx).alias("row_idx"), cells.alias("cells"))
 
-    total = F.array(F.lit("TOTAL"), *[F.col("total").cast("string")] * 3)
+    total = F.array(F.lit("TOTAL"), *[F.col("total").cast("string")] * 3).alias("cells")
     frame = F.array(
         _row(0, ["Timeliness", None, None, None]),
         header(3),
-        F.struct(F.lit(23).alias("row_idx"), total.alias("cells")),
+        F.struct(F.lit(23).alias("row_idx"), total),
         header(25),
-        F.struct(F.lit(45).alias("row_idx"), total.alias("cells")),
+        F.struct(F.lit(45).alias("row_idx"), total),
     )
-    rows = months.select(
-        name.alias("source_file"),
-        (first_row + F.col("line")).cast("int").alias("row_idx"),
-        cells.alias("cells"),
-    ).unionByName(sheets.select(name.alias("source_file"), F.inline(frame)))
-    return rows.select(F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells")
+    return _sheets(rows, frame)
 
 
 def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets of twenty suppliers: a header with the brands, and ten rows per supplier."""
-    offsets = {
-        (label["program"], label["sub_program"]): i for i, label in enumerate(raw.MCO_ROW_LABELS)
-    }
     offset = F.create_map(
-        *[F.lit(x) for (_, sub), i in offsets.items() if sub != "TOTAL" for x in (sub, i)]
+        *[
+            F.lit(x)
+            for i, label in enumerate(raw.MCO_ROW_LABELS)
+            if label["sub_program"] != "TOTAL"
+            for x in (label["sub_program"], i)
+        ]
     )
-    sheet = F.floor(F.col("supplier") / SUPPLIERS_PER_SHEET)
-    block = raw.MCO_FIRST_ROW + F.pmod("supplier", F.lit(SUPPLIERS_PER_SHEET)) * len(offsets)
+    height = len(raw.MCO_ROW_LABELS)
+    block = raw.MCO_FIRST_ROW + F.pmod("supplier", F.lit(SUPPLIERS_PER_SHEET)) * height
     cells = (
         mco_cells(spark, sf_dir)
         .groupBy(
@@ -184,27 +196,25 @@ def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     brands = _texts([f"b{i}" for i in range(len(BRANDS))])
-    data = cells.select(
-        sheet.alias("sheet"),
-        (block + F.col("offset")).cast("int").alias("row_idx"),
-        F.array(F.lit("program"), *brands, F.lit("9")).alias("cells"),
+    programs = cells.select(
+        "supplier", "offset", F.array(F.lit("program"), *brands, F.lit("9")).alias("cells")
     )
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"))
-    names = suppliers.select(
-        sheet.alias("sheet"),
-        block.cast("int").alias("row_idx"),
-        F.array(
-            F.format_string("Supplier\n%d ", "supplier"), *[F.lit("1")] * len(BRANDS), F.lit("9")
-        ).alias("cells"),
+    name = F.format_string("Supplier\n%d ", "supplier")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("supplier"),
+        F.lit(0).alias("offset"),
+        F.array(name, *[F.lit("1")] * len(BRANDS), F.lit("9")).alias("cells"),
     )
-    headers = names.select("sheet").distinct().select(
-        "sheet",
-        F.lit(raw.MCO_HEADER_ROW).alias("row_idx"),
-        F.array(F.lit(None), *[F.lit(b) for b in BRANDS], F.lit("Total")).alias("cells"),
+    rows = programs.unionByName(suppliers).select(
+        F.format_string("mco-%d.xlsx", F.floor(F.col("supplier") / SUPPLIERS_PER_SHEET)).alias(
+            "source_file"
+        ),
+        F.lit(None).alias("day"),
+        (block + F.col("offset")).cast("int").alias("row_idx"),
+        "cells",
+        F.lit(1).alias("weight"),
     )
-    name = F.format_string("mco-%d.xlsx", "sheet")
-    rows = data.unionByName(names).unionByName(headers)
-    return rows.select(name.alias("source_path"), name.alias("source_file"), "row_idx", "cells")
+    return _sheets(rows, F.array(_row(raw.MCO_HEADER_ROW, [None, *BRANDS, "Total"])))
 
 
 def raw_risk_group(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +233,17 @@ def raw_county(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.enrollment_by_county(county_sheets(spark, sf_dir))
 
 
+def landed(spark: SparkSession, grid: DataFrame) -> DataFrame:
+    """Sheets written to the shared folder, and read from there."""
+    folder = shared_folder(spark)
+    landing.write_named_grid(grid, folder)
+    return landing.read_named_grid(spark, folder)
+
+
 def raw_timeliness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.timeliness_medicaid(timeliness_sheets(spark, sf_dir))
+    # Landed, as the published sheets are: a filter on the name of a sheet that is still a
+    # plan would reach down to the lines it is made of.
+    return raw.timeliness_medicaid(landed(spark, timeliness_sheets(spark, sf_dir)))
 
 
 RAW_TIMELINESS = f"""
@@ -273,9 +292,7 @@ FROM (SELECT s_suppkey AS l_suppkey FROM supplier), range(1, 26) AS brands(i)
 
 def grid_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """County sheets landed in the shared folder, read back from there and loaded."""
-    folder = shared_folder(spark)
-    landing.write_grid(county_sheets(spark, sf_dir), folder)
-    return raw.enrollment_by_county(landing.read_written_grid(spark, folder))
+    return raw.enrollment_by_county(landed(spark, county_sheets(spark, sf_dir)))
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +318,8 @@ SELECT *, count(*) OVER () AS n_loaded, true AS audited FROM ({SERIES_TREND})
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded and skipped per sheet, for both tables that come from many sheets."""
     counties = raw.county_report(county_sheets(spark, sf_dir))
-    return counties.unionByName(raw.timeliness_report(timeliness_sheets(spark, sf_dir)))
+    timeliness = raw.timeliness_report(landed(spark, timeliness_sheets(spark, sf_dir)))
+    return counties.unionByName(timeliness)
 
 
 _SPELLED = "['" + "', '".join(MONTH_IN_NAME) + "'][month(day)] || '-' || year(day) || '.xlsx'"
