@@ -3,7 +3,8 @@
 A *series* is a frame with one row per entity (`by` columns) and period, as a `groupBy` on
 those columns makes it. Its windows are then no longer than the calendar, however large the
 data behind it. For rows that are not grouped, pass `piece`: a column that grows with
-the period (a day, an hour), so that each window holds one piece and not a whole series.
+the period, so that each window holds one piece and not a whole series. `cut_evenly` makes
+one that no busy entity or hour can fill.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import column, ratio
+from ..session import shared_folder
 
 
 def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> WindowSpec:
@@ -22,6 +24,18 @@ def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> Window
     return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
 
 
+def cut_evenly(df: DataFrame, period: Sequence[str], name: str = "piece") -> DataFrame:
+    """Number the rows' ranges of the period order, ranges holding about as many rows each.
+
+    There are as many ranges as shuffle partitions. The numbers hold for one run only, so
+    the frame is written to the shared folder and read from there, at once.
+    """
+    folder = shared_folder(df.sparkSession)
+    ranges = df.repartitionByRange(*[F.asc(c) for c in period])
+    ranges.withColumn(name, F.spark_partition_id()).write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def prior_values(
     df: DataFrame,
     value: str,

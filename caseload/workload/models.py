@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from ..functions.sql import register_sql_functions
 from ..plans.pipeline import MARTS, STAGING
+from ..sources.sinks import publish_view
 from .raw_tables import RAW_SQL, raw_tables
 from .tables import div0
 
@@ -148,8 +150,34 @@ LEFT JOIN p ON s.program = p.program AND s.sub_program = p.sub_program""",
 }
 
 
+def sql_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The library from SQL: a published view, and the scalar rules as functions."""
+    register_sql_functions(spark)
+    publish_view(staged(spark, sf_dir, "stg_chip_enrollment"), "stg_chip_enrollment")
+    return spark.sql(
+        """
+        SELECT report_month, date_to_epoch_micros(report_month) AS month,
+          div0(renewals, chip_caseload) AS renewal_rate,
+          div0(chip_caseload - before, before) AS growth
+        FROM (
+          SELECT *, lag(chip_caseload) OVER (ORDER BY report_month) AS before
+          FROM stg_chip_enrollment)
+        """
+    )
+
+
+SQL_RATES = f"""
+SELECT report_month, epoch_us(CAST(report_month AS TIMESTAMP)) AS month,
+  {div0("renewals", "chip_caseload")} AS renewal_rate,
+  {div0("chip_caseload - before", "before")} AS growth
+FROM (SELECT *, lag(chip_caseload) OVER (ORDER BY report_month) AS before
+      FROM ({STAGING_SQL["stg_chip_enrollment"]}))
+"""
+
+
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: model(spark, sf_dir, name)
 
 
 QUERIES = {name: (_query(name), sql) for name, sql in {**STAGING_SQL, **MART_SQL}.items()}
+QUERIES["sql_rates"] = (sql_rates, SQL_RATES)

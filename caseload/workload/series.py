@@ -9,6 +9,7 @@ from ..functions.labels import effective_dated_label
 from ..functions.scalars import ratio
 from ..operators.metrics import (
     change_columns,
+    cut_evenly,
     mean_of_present,
     period_change,
     prior_values,
@@ -310,12 +311,12 @@ LEFT JOIN brand_totals b ON c.p_brand = b.p_brand
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change and rolling mean from event to event, not grouped to a calendar.
 
-    A series here is as long as its share of the events, so it is worked on by the hour.
+    A series here is as long as its share of the events, so it is worked on in pieces.
     """
+    order, back = ["ts", "event_id"], ["before_1", "before_2"]
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    hour = F.substring(F.col("ts").cast("string"), 1, 13)
-    back = ["before_1", "before_2"]
-    held = prior_values(events, "value", back, ["ts", "event_id"], ["event_type"], piece=hour)
+    cut = cut_evenly(events, order)
+    held = prior_values(cut, "value", back, order, ["event_type"], piece=F.col("piece"))
     return held.select(
         "event_id",
         "event_type",

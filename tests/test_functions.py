@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseload.functions import labels, names, scalars
+from caseload.functions.sql import register_sql_functions
 
 
 @pytest.mark.parametrize(
@@ -193,3 +194,15 @@ def test_lenient_month_skips(one, name, month):
 def test_lenient_month_raises_on_a_word_that_is_no_month(one):
     with pytest.raises(Exception, match="no month in file name"):
         one(names.month_from_name("n", on_unknown="skip"), n="x-medicaid-final-2025.xlsx")
+
+
+def test_sql_functions_follow_the_same_rules(spark):
+    register_sql_functions(spark)
+    row = spark.sql(
+        """
+        SELECT div0(3, 4) a, div0(3, 0) b, div0(NULL, 0) c, div0(3, NULL) d,
+          epoch_micros_to_date(1756684799999999) e,
+          date_to_epoch_micros(DATE '2025-09-01') f, round_to_long(-2.5) g
+        """
+    ).first()
+    assert tuple(row) == (0.75, 0.0, None, None, date(2025, 8, 31), 1756684800000000, -3)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseload.operators.metrics import (
+    cut_evenly,
     period_change,
     prior_values,
     rolling_mean,
@@ -86,6 +87,20 @@ def test_pieces_without_entities(spark):
         assert (r.b1, r.b2) == (r.t - 1.0 if r.t > 0 else None, r.t - 2.0 if r.t > 1 else None)
 
 
+def test_even_pieces_split_a_busy_entity_and_moment(spark):
+    rows = [("hot", 7, float(i)) for i in range(2000)] + [("b", i, float(i)) for i in range(50)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = cut_evenly(frame(spark, rows), ["t", "v"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in cut.groupBy("piece").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * len(rows) / 4
+    out = prior_values(cut, "v", ["b"], ["t", "v"], ["g"], piece=F.col("piece"))
+    got = {(r.g, r.v): r.b for r in out.collect()}
+    assert got == {(g, v): v - 1 if v else None for g, _, v in rows}
+
+
 def test_pieces_of_value_named_like_the_order(spark):
     df = frame(spark, [("a", t, 0.0) for t in range(9)])
     out = prior_values(df, "t", ["b"], ["t", "v"], ["g"], piece=F.floor(F.col("t") / 2))
