@@ -281,6 +281,21 @@ SELECT *, CAST(open_cents AS DOUBLE) / nullif(CAST(finished_cents AS DOUBLE), 0)
 ORDER BY report_month DESC LIMIT 15
 """
 
+def first_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the first twelve months, by month."""
+    months = profiling.group_sizes(
+        table(spark, sf_dir, "lineitem").select(month_of("l_shipdate").alias("report_month")),
+        "report_month",
+    )
+    return profiling.first_rows(months, ["report_month"], 12)
+
+
+FIRST_MONTHS = """
+SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS report_month,
+  CAST(count(*) AS BIGINT) AS count
+FROM lineitem GROUP BY ALL ORDER BY report_month LIMIT 12
+"""
+
 QUERIES = {
     "dq_report": (dq_report, DQ_REPORT),
     "model_checks": (model_checks, MODEL_CHECKS),
@@ -288,4 +303,5 @@ QUERIES = {
     "fractional_profile": (fractional_profile, FRACTIONAL_PROFILE),
     "value_profile": (value_profile, VALUE_PROFILE),
     "ratio_last_n": (ratio_last_n, RATIO_LAST_N),
+    "first_months": (first_months, FIRST_MONTHS),
 }
