@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import has_fraction, ratio
 
 
-def fractional_profile(df: DataFrame, period: str, columns: Sequence[str] | None = None) -> DataFrame:
+def fractional_profile(
+    df: DataFrame, period: str, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Per numeric column: does it hold fractions, and since which period?
 
     A first period in mid-series gives away a change of counting method. All columns are
@@ -43,8 +45,8 @@ def fractional_profile(df: DataFrame, period: str, columns: Sequence[str] | None
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """How often each value occurs, most frequent first; missing values are left out."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.desc("count"), column)
+    present = df.where(F.col(column).isNotNull())
+    return group_sizes(present, column).orderBy(F.desc("count"), column)
 
 
 def group_sizes(df: DataFrame, *columns: str) -> DataFrame:
@@ -76,6 +78,8 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def ratio_by_period(df: DataFrame, top: str, bottom: str, period: str, name: str = "ratio") -> DataFrame:
+def ratio_by_period(
+    df: DataFrame, top: str, bottom: str, period: str, name: str = "ratio"
+) -> DataFrame:
     """Two series and their ratio; NULL where the second is zero."""
     return df.select(period, top, bottom, ratio(top, bottom, on_zero="null").alias(name))

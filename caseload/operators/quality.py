@@ -124,27 +124,21 @@ def offending_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 
 def _one_pass(df: DataFrame, checks: Sequence[RowCheck | RowCountCheck]) -> DataFrame:
-    failures = [
-        F.abs(F.count(F.lit(1)) - check.expected)
+    rows = F.count(F.lit(1))
+    named = [
+        ("row_count", "", F.abs(rows - check.expected))
         if isinstance(check, RowCountCheck)
-        else F.count_if(check.failing)
+        else (check.check, check.column, F.count_if(check.failing))
         for check in checks
     ]
     counted = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[failed.alias(f"f{i}") for i, failed in enumerate(failures)],
+        rows.alias("n_rows"), *[failed.alias(f"f{i}") for i, (_, _, failed) in enumerate(named)]
     )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit("row_count" if isinstance(check, RowCountCheck) else check.check).alias("check"),
-                F.lit("" if isinstance(check, RowCountCheck) else check.column).alias("column"),
-                F.col(f"f{i}").alias("n_failed"),
-            )
-            for i, check in enumerate(checks)
-        ]
-    )
-    return counted.select("n_rows", F.inline(lines))
+    lines = [
+        F.struct(*_label(check, [column]), F.col(f"f{i}").alias("n_failed"))
+        for i, (check, column, _) in enumerate(named)
+    ]
+    return counted.select("n_rows", F.inline(F.array(*lines)))
 
 
 def _unique(df: DataFrame, check: UniqueCheck) -> DataFrame:

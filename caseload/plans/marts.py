@@ -62,7 +62,8 @@ def mart_enrollment_by_county(staging: DataFrame) -> DataFrame:
 def mart_timeliness_performance(staging: DataFrame) -> DataFrame:
     """Timely fraction recomputed, checked against the source, with change and smoothing."""
     timely = staging.withColumn("pct_timely", ratio("timely", "disposed"))
-    timely = timely.withColumn("pct_timely_variance", variance_vs_reported("pct_timely", "src_percent"))
+    variance = variance_vs_reported("pct_timely", "src_percent")
+    timely = timely.withColumn("pct_timely_variance", variance)
     series = ["region", "record_type"]
     changed = period_change(
         timely, "pct_timely", "report_month", series, change="mom_change_pct_timely", pct=None

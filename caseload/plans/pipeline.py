@@ -30,7 +30,10 @@ RAW = {
     "mco_enrollment_by_sda": raw.mco_enrollment_by_sda,
 }
 STAGING = {
-    "stg_enrollment_by_risk_group": (staging.stg_enrollment_by_risk_group, "enrollment_by_risk_group"),
+    "stg_enrollment_by_risk_group": (
+        staging.stg_enrollment_by_risk_group,
+        "enrollment_by_risk_group",
+    ),
     "stg_enrollment_by_county": (staging.stg_enrollment_by_county, "enrollment_by_county"),
     "stg_chip_enrollment": (staging.stg_chip_enrollment, "chip_enrollment_detail"),
     "stg_htw_caseload": (staging.stg_htw_caseload, "htw_enrollment"),
@@ -95,8 +98,9 @@ def build_models(
     }
     for name, frame in staged.items():
         publish_view(with_audit_time(frame, AUDIT_COLUMN), name)
+    target = {"namespace": mart_namespace, "audit_column": AUDIT_COLUMN}
     outcomes = [
-        publish_table(build(staged[view]), name, namespace=mart_namespace, audit_column=AUDIT_COLUMN)
+        publish_table(build(staged[view]), name, **target)
         for name, (build, view) in MARTS.items()
         if only is None or name in only
     ]

@@ -38,8 +38,9 @@ RISK_GROUP_RENAMES = {
 }
 CHIP_COLUMNS = ["chip_caseload", "new_enrollment", "renewals", "disenrollment"]
 HTW_RENAMES = {"healthy_texas_women_caseload": "month", "unnamed:_1": "caseload"}
+COUNTY_CODE = "hhsc_county_code"
 COUNTY_COLUMNS = [
-    "hhsc_county_code",
+    COUNTY_CODE,
     "county",
     "medicaid_caseload",
     "aged_and_medicare_related",

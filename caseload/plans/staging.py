@@ -9,6 +9,7 @@ from ..functions.labels import category_map, effective_dated_label
 from ..functions.scalars import epoch_micros_to_date, ratio, round_to_long
 from ..operators.reshape import wide_to_long
 from ..operators.rows import drop_listed
+from .raw import COUNTY_CODE
 
 # Groups, categories, labels, dates and codes of the published tables.
 COMPONENT_CATEGORY = "caseload_by_risk_group"
@@ -70,17 +71,17 @@ def stg_enrollment_by_risk_group(raw: DataFrame) -> DataFrame:
 def stg_enrollment_by_county(raw: DataFrame) -> DataFrame:
     """One row per month, county and risk group, without the grand total."""
     groups = [g for members in COUNTY_CATEGORIES.values() for g in members]
-    keys = ["report_month", "hhsc_county_code", "county"]
+    keys = ["report_month", COUNTY_CODE, "county"]
     long = wide_to_long(raw, keys, groups, "risk_group", "enrollment")
     return long.select(
         epoch_micros_to_date("report_month").alias("report_month"),
-        F.col("hhsc_county_code").alias("county_code"),
+        F.col(COUNTY_CODE).alias("county_code"),
         F.trim("county").alias("county_name"),
         "risk_group",
         category_map("risk_group", COUNTY_CATEGORIES).alias("risk_group_category"),
         round_to_long("enrollment").alias("enrollment_count"),
         F.lit(POINT_IN_TIME).alias("count_methodology"),
-        (F.col("hhsc_county_code") == UNKNOWN_COUNTY).alias("is_unknown_county"),
+        (F.col(COUNTY_CODE) == UNKNOWN_COUNTY).alias("is_unknown_county"),
     )
 
 

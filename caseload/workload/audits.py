@@ -74,7 +74,9 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line(dataset: str, check: str, column: str, source: str, failed: str, rows: str = "count(*)") -> str:
+def _line(
+    dataset: str, check: str, column: str, source: str, failed: str, rows: str = "count(*)"
+) -> str:
     return (
         f"SELECT '{dataset}' AS dataset, '{check}' AS \"check\", '{column}' AS \"column\", "
         f"CAST({rows} AS BIGINT) AS n_rows, CAST({failed} AS BIGINT) AS n_failed FROM {source}"
@@ -177,7 +179,8 @@ def shares_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _share_line(dataset: str, column: str, keys: str) -> str:
     sums = f"(SELECT count(*) AS n, sum({column}) AS share FROM ({MARKET_SHARE}) GROUP BY {keys})"
-    return _line(dataset, "shares_sum_to_one", column, sums, _where("abs(share - 1) > 1e-9"), "sum(n)")
+    failed = _where("abs(share - 1) > 1e-9")
+    return _line(dataset, "shares_sum_to_one", column, sums, failed, "sum(n)")
 
 
 SHARES_SUM = _report(
@@ -205,7 +208,8 @@ def fractional_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FRACTIONAL_PROFILE = """
 WITH l AS (
-  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, l_quantity, l_extendedprice, l_discount,
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, l_quantity, l_extendedprice,
+    l_discount,
     CASE WHEN l_shipdate >= DATE '1998-06-01' THEN l_quantity / 2 ELSE l_quantity END AS switched
   FROM lineitem
 )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from ..functions.sql import register_sql_functions
 from ..plans.pipeline import MARTS, STAGING
+from ..plans.raw import COUNTY_CODE
 from ..sources.sinks import publish_view
 from .raw_tables import RAW_SQL, raw_tables
 from .tables import div0
@@ -53,12 +54,12 @@ FROM (
   FROM ({RAW_SQL["enrollment_by_risk_group"]})
   UNPIVOT (enrollment_count FOR risk_group IN ({", ".join(_RISK_VALUES)})))""",
     "stg_enrollment_by_county": f"""
-SELECT {_DATE.format("report_month")} AS report_month, hhsc_county_code AS county_code,
+SELECT {_DATE.format("report_month")} AS report_month, {COUNTY_CODE} AS county_code,
   trim(county) AS county_name, risk_group,
   CASE WHEN risk_group LIKE 'medicaid_clients_%' THEN 'caseload_by_age'
        ELSE 'caseload_by_risk_group' END AS risk_group_category,
   CAST(round(enrollment) AS BIGINT) AS enrollment_count,
-  'point_in_time_count' AS count_methodology, hhsc_county_code = 255 AS is_unknown_county
+  'point_in_time_count' AS count_methodology, {COUNTY_CODE} = 255 AS is_unknown_county
 FROM ({RAW_SQL["enrollment_by_county"]})
 UNPIVOT (enrollment FOR risk_group IN ({", ".join(_COUNTY_VALUES)}))""",
     "stg_chip_enrollment": f"""

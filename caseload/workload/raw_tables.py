@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import flag_in
 from ..functions.scalars import date_to_epoch_micros
-from ..plans.raw import GEOGRAPHIC_REGIONS
+from ..plans.raw import COUNTY_CODE, GEOGRAPHIC_REGIONS
 from .tables import cents, month_of, table
 
 MONTHS_LATER = 292  # 1995-01 becomes 2019-05, and 2001-08 becomes 2025-12
@@ -145,7 +145,7 @@ def county_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     key = F.col("c_nationkey")
     return months.join(nations, F.col("n_nationkey") == key).select(
-        F.when(key == 24, 255).otherwise(key + 1).cast("bigint").alias("hhsc_county_code"),
+        F.when(key == 24, 255).otherwise(key + 1).cast("bigint").alias(COUNTY_CODE),
         F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("county"),
         *months.columns[2:],
         "day",
@@ -154,7 +154,7 @@ def county_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 COUNTY_MONTHS = f"""
   SELECT CAST(CASE WHEN c_nationkey = 24 THEN 255 ELSE c_nationkey + 1 END AS BIGINT)
-      AS hhsc_county_code,
+      AS {COUNTY_CODE},
     ' ' || n_name || ' ' AS county,
     CAST(count(*) AS DOUBLE) AS medicaid_caseload,
     CAST(count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE') AS DOUBLE)
@@ -286,7 +286,8 @@ def _with_month(months: DataFrame) -> DataFrame:
 _REGION_LIST = ", ".join(f"'{r}'" for r in GEOGRAPHIC_REGIONS)
 RAW_SQL = {
     "enrollment_by_risk_group": (
-        f"SELECT epoch_us(CAST(day AS TIMESTAMP)) AS month, * EXCLUDE (day) FROM ({RISK_GROUP_MONTHS})"
+        "SELECT epoch_us(CAST(day AS TIMESTAMP)) AS month, * EXCLUDE (day) "
+        f"FROM ({RISK_GROUP_MONTHS})"
     ),
     "chip_enrollment_detail": (
         f"SELECT epoch_us(CAST(day AS TIMESTAMP)) AS month, * EXCLUDE (day) FROM ({CHIP_MONTHS})"

@@ -62,7 +62,9 @@ def category_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_type",
         category_map("p_type", categories).alias("category"),
         flag_in("p_brand", brands).alias("is_first_brand"),
-        flag_in(F.when(F.col("p_size") > 5, F.col("p_brand")), brands).alias("is_large_first_brand"),
+        flag_in(F.when(F.col("p_size") > 5, F.col("p_brand")), brands).alias(
+            "is_large_first_brand"
+        ),
         (F.col("p_size") == 50).alias("is_largest"),
         F.lit("catalogue").alias("record_type"),
     )
@@ -283,7 +285,8 @@ _SHORT = "['" + "', '".join(m.title() for m in MONTH_IN_NAME) + "']"
 MONTHS_FROM_NAMES = f"""
 SELECT 'Enrollment-Final-' || {_SHORT}[month(m)] || '-' || year(m) || '.xlsx' AS strict_name,
   m AS strict_month, CASE WHEN year(m) <> 1995 THEN m END AS lenient_month, n_orders
-FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(count(*) AS BIGINT) AS n_orders
+FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m,
+        CAST(count(*) AS BIGINT) AS n_orders
       FROM orders GROUP BY ALL)
 """
 

@@ -127,7 +127,7 @@ def county_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = months.select(
         _dated_name("enrollment-by-county-final-").alias("source_file"),
         "day",
-        (F.col("hhsc_county_code") + 3).cast("int").alias("row_idx"),
+        (F.col(raw.COUNTY_CODE) + 3).cast("int").alias("row_idx"),
         F.array(*_texts(months.columns[:-1])).alias("cells"),
         F.col("medicaid_caseload").alias("weight"),
     )
