@@ -27,8 +27,9 @@ from ..plans.checks import (
     declared_checks,
     grain_checks,
 )
-from ..plans.pipeline import MARTS, STAGING
-from ..sources.sinks import with_audit_time
+from ..plans.pipeline import MARTS, RAW, STAGING
+from ..session import shared_folder
+from ..sources.sinks import publish_table, raise_failed, with_audit_time
 from .models import MART_SQL, STAGING_SQL
 from .raw_tables import raw_tables
 from .series import MARKET_SHARE, market_share
@@ -130,9 +131,20 @@ DQ_REPORT = _report(
 
 
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks, and those of the grain, on the twelve models."""
+    """All declared checks, and those of the grain, on the twelve models.
+
+    The raw tables are published to the shared folder first, as in the batch: all models and
+    checks then read those, and the driver's tables are read once per raw table.
+    """
+    folder = shared_folder(spark)
+    outcomes = [
+        publish_table(raw_tables(spark, sf_dir, name), name, path=f"{folder}/{name}")
+        for name in RAW
+    ]
+    raise_failed(outcomes)
     staged = {
-        name: build(raw_tables(spark, sf_dir, source)) for name, (build, source) in STAGING.items()
+        name: build(spark.read.parquet(f"{folder}/{source}"))
+        for name, (build, source) in STAGING.items()
     }
     models = staged | {name: build(staged[source]) for name, (build, source) in MARTS.items()}
     return run_all(
