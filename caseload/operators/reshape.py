@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import normalised, repaired_header
@@ -107,33 +107,37 @@ def decode_blocks(
     """
     height = len(labels)
     position = F.col("row_idx") - first_row
+    number, offset = F.floor(position / height), F.pmod(position, F.lit(height))
+    in_block = F.col("row_idx").between(first_row, end_row - 1)
+    is_name, is_header = in_block & (offset == 0), F.col("row_idx") == header_row
+    # One row per sheet: its column names, and the names of its blocks.
+    entry = F.struct(number, F.get("cells", F.lit(0)))
+    sheets = (
+        grid.where(is_name | is_header)
+        .groupBy("source_path")
+        .agg(
+            F.max(F.when(is_header, _inner_cells(F.col("cells")))).alias("__columns"),
+            F.map_from_entries(F.collect_list(F.when(is_name, entry))).alias("__names"),
+        )
+    )
     by_offset = F.array(
         *[F.struct(*[F.lit(v).alias(k) for k, v in label.items()]) for label in labels]
     )
-    # A block has as many rows as there are labels, so these windows are small by construction.
-    whole_block = Window.partitionBy("source_path", "__block")
-    headers = grid.where(F.col("row_idx") == header_row).select(
-        "source_path", _inner_cells(F.col("cells")).alias("__columns")
-    )
-    rows = (
-        grid.where(F.col("row_idx").between(first_row, end_row - 1))
-        .withColumn("__block", F.floor(position / height))
-        .withColumn("__offset", F.pmod(position, F.lit(height)))
-        .withColumn("__first", F.when(F.col("__offset") == 0, F.get("cells", F.lit(0))))
-        .withColumn(block, F.max("__first").over(whole_block))
-        .join(headers, "source_path", "left")
-        .withColumn("__label", F.get(by_offset, F.col("__offset")))
-    )
-    cells = rows.withColumn(
-        "__cell", F.explode(F.arrays_zip("__columns", _inner_cells(F.col("cells")).alias("values")))
+    # Names and labels are settled per row, before the row becomes as many rows as cells.
+    pairs = F.arrays_zip("__columns", _inner_cells(F.col("cells")).alias("values"))
+    rows = grid.where(in_block).join(sheets, "source_path", "left").select(
+        *SHEET,
+        F.try_element_at("__names", number).alias(block),
+        F.get(by_offset, offset).alias("__label"),
+        F.filter(pairs, lambda pair: pair["values"].isNotNull()).alias("__pairs"),
     )
-    return cells.select(
+    return rows.withColumn("__cell", F.explode("__pairs")).select(
         *SHEET,
         block,
         *[F.col("__label")[name].alias(name) for name in labels[0]],
         F.col("__cell")["__columns"].alias(column),
         F.col("__cell")["values"].alias(value),
-    ).where(F.col(value).isNotNull())
+    )
 
 
 def _inner_cells(cells: Column) -> Column:
