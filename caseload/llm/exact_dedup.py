@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rows import anti_rows, freeze, texts_of
@@ -56,8 +56,10 @@ def _hashed(texts: DataFrame, hash_of: Callable[[bytes], bytes], with_content: b
     return texts.mapInArrow(rows, f"row_key string, doc_id {id_type}, hash binary, {last}")
 
 
-#: The row of a group that stays: most code points, then smallest id, a missing id last.
-_FIRST = F.min(F.struct((-F.col("n_points")).alias("points"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")
+def _first() -> Column:
+    """The row of a group that stays: most code points, then smallest id, a missing id last."""
+    points = (-F.col("n_points")).alias("points")
+    return F.min(F.struct(points, F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")
 
 
 def exact_groups(
@@ -81,13 +83,13 @@ def exact_groups(
         .groupBy("hash").agg(F.count("*").alias("contents"), F.min("sha").alias("text_sha256"))
     )
     groups = freeze(
-        rows.groupBy("hash").agg(F.count("*").alias("group_size"), _FIRST).join(hashes, "hash")
+        rows.groupBy("hash").agg(F.count("*").alias("group_size"), _first()).join(hashes, "hash")
     )
     found = rows.join(groups.where("contents = 1"), "hash")
     collided = groups.where("contents > 1").select("hash")
     if not collided.isEmpty():
         apart = rows.join(contents.join(collided, "hash", "left_semi").drop("hash"), "row_key")
-        split = apart.groupBy("hash", "content").agg(F.count("*").alias("group_size"), _FIRST)
+        split = apart.groupBy("hash", "content").agg(F.count("*").alias("group_size"), _first())
         split = split.withColumns({"contents": F.lit(1), "text_sha256": F.sha2("content", 256)})
         found = found.unionByName(apart.join(split, ["hash", "content"]).select(found.columns))
     return found.select(
