@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_groups
+from .packing import pack
 from .rows import read_table
 from .simhash import near_groups
 
@@ -13,6 +14,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -34,5 +39,6 @@ WINDOW w AS (PARTITION BY content ORDER BY length(text) DESC, doc_id)
 
 QUERIES = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
+    "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
 }
