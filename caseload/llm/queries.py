@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .packing import pack
 from .rows import read_table
@@ -22,6 +23,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -37,8 +43,46 @@ FROM d
 WINDOW w AS (PARTITION BY content ORDER BY length(text) DESC, doc_id)
 """
 
+OP5_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+item_words AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(text,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM (SELECT item_id, coalesce(text, '') AS text FROM benchmark)
+),
+windows AS (
+  SELECT DISTINCT item_id, n, list_slice(w, p, p + n - 1) AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p
+        FROM item_words WHERE len(w) > 0)
+),
+places AS (
+  SELECT doc_id, n, p, list_slice(w, p, p + n - 1) AS win
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p
+        FROM words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)
+),
+found AS (SELECT doc_id, item_id, p, n FROM places JOIN windows USING (n, win)),
+hits AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS spot FROM (SELECT DISTINCT doc_id, p, n FROM found)) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 QUERIES = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
+    "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
 }
