@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .packing import pack
+from .quality import quality_scores, trained
 from .rows import read_table
 from .simhash import near_groups
 
@@ -28,6 +29,11 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_scores(docs, trained(docs, read_table(spark, sf_dir, "labels"))).drop("row_key")
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -85,4 +91,5 @@ QUERIES = {
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+    "op7_quality_classifier": (op7_quality_classifier, None),
 }

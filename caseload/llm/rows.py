@@ -61,21 +61,29 @@ def anti_rows(df: DataFrame, dropped: DataFrame) -> DataFrame:
     return keyed.join(dropped.toDF(name), name, "left_anti").drop(name)
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """The frame, computed once and written to the folder the cluster names in spark.checkpoint.dir.
+def shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir.
 
-    Lineage ends there, and lost executors lose nothing. A local session without that setting, as in
-    tests, gets a folder of its own; on a cluster its lack is an error.
+    A local session without that setting, as in tests, gets a folder of its own; on a cluster its lack
+    is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="caseload-llm-")
     if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="caseload-llm-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """The frame, computed once and written under the shared folder.
+
+    Lineage ends there, so a lost executor loses nothing.
+    """
+    shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
