@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, fresh_name, row_key
+from .rows import column, row_key, with_text
 
 #: Words of a window.
 WINDOW = 10
@@ -419,8 +419,7 @@ def drop_contaminated(
 
     The rows are filtered where they are searched: once per block of items, without a shuffle.
     """
-    name = fresh_name(docs, "body")
-    kept = docs.withColumn(name, F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary"))
+    kept, name = with_text(docs, text_col)
 
     def emit(known, batch, n_words, found):
         import pyarrow as pa
@@ -431,4 +430,4 @@ def drop_contaminated(
 
     for block in item_blocks(items, item_id_col, text_col, block_bytes):
         kept = _searched(kept, name, block, window, emit, kept.schema)
-    return kept.drop(name)
+    return kept.select(*map(column, docs.columns))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat import formatted_chats
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .packing import pack
 from .quality import quality_scores, trained
 from .rows import read_table
+from .sharding import shuffled_shards
 from .simhash import near_groups
 
 
@@ -29,11 +31,19 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffled_shards(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return quality_scores(docs, trained(docs, read_table(spark, sf_dir, "labels"))).drop("row_key")
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return formatted_chats(read_table(spark, sf_dir, "conversations"))
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -86,10 +96,34 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP9_SQL = """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+),
+whole AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS said,
+         list(turn ORDER BY turn, role, text) AS numbers
+  FROM turns GROUP BY conv_id
+),
+one AS (SELECT min(conv_id) AS conv_id, count(*) AS copies, said FROM whole GROUP BY said),
+kept AS (
+  SELECT * FROM one WHERE NOT EXISTS (
+    SELECT 1 FROM one AS longer
+    WHERE longer.said[1] = one.said[1] AND len(longer.said) > len(one.said)
+      AND list_slice(longer.said, 1, len(one.said)) = one.said)
+)
+SELECT conv_id, CAST(floor(turn / 256) AS BIGINT) AS part, CAST(len(said) AS BIGINT) AS n_turns, copies,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+FROM kept JOIN turns USING (conv_id)
+GROUP BY ALL
+"""
+
 QUERIES = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
+    "op6_hypergeometric_sharding": (op6_hypergeometric_sharding, None),
     "op7_quality_classifier": (op7_quality_classifier, None),
+    "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
 }

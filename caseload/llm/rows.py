@@ -54,6 +54,14 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+def with_text(df: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """The frame and the name of a string column with its text: the column itself, if it is one."""
+    if df.schema[text_col].dataType.typeName() == "string":
+        return df, text_col
+    name = fresh_name(df, "body")
+    return df.withColumn(name, column(text_col).cast("string")), name
+
+
 def anti_rows(df: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of `df` whose row_key is not in the one column of `dropped`; all columns stay."""
     name = fresh_name(df, "row_key")
@@ -88,7 +96,7 @@ def freeze(df: DataFrame) -> DataFrame:
 
 
 def cells(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
-    """The cells of a binary column one after the other, a missing one as empty."""
+    """The bytes of a text or binary column's cells one after the other, a missing one as empty."""
     for cell in batch.column(batch.schema.get_field_index(name)):
         buffer = cell.as_buffer()
         yield buffer.to_pybytes() if buffer is not None else b""
