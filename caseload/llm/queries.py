@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import formatted_chats
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .html_extract import Model, main_texts
+from .html_pages import labelled_pages
 from .packing import pack
 from .quality import quality_scores, trained
 from .rows import read_table
@@ -44,6 +46,10 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted_chats(read_table(spark, sf_dir, "conversations"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"), Model(labelled_pages())).drop("row_key")
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -126,4 +132,5 @@ QUERIES = {
     "op6_hypergeometric_sharding": (op6_hypergeometric_sharding, None),
     "op7_quality_classifier": (op7_quality_classifier, None),
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
+    "op10_html_extraction": (op10_html_extraction, None),
 }
