@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
-Every element and every piece of text of a page is a node that is content or not. A potential between
+Every element and every piece of text of a page is a node that is content, is not, or holds both. A potential between
 parent and child says how likely a child of that tag is content, given its parent; a potential at each
-node weighs its names, its share of linked text and its length. Messages go up the tree and down again
+node weighs its names and its share of linked text. Messages go up the tree and down again
 (sum-product), which gives each node's exact marginal. All potentials are counted from labelled pages.
 
 Pages are parsed and scored in the map tasks; nothing is shuffled.
@@ -10,7 +10,6 @@ Pages are parsed and scored in the map tasks; nothing is shuffled.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -42,6 +41,16 @@ TEXT = "#text"
 PRIOR = 2.0
 
 
+#: States of a node: not content, content, and holding both.
+STATES = (0, 1, 2)
+CONTENT, HOLDS = 1, 2
+
+
+def _shares(numbers: list[float]) -> list[float]:
+    total = sum(numbers)
+    return [x / total for x in numbers]
+
+
 def tokens(html: str):
     """(kind, name, rest): start and end tags, and text; comments, declarations and raw text are passed over."""
     import re
@@ -121,7 +130,7 @@ class Tree:
                     for a in attribute.finditer(rest):
                         value = a[2] or a[3] or a[4] or ""
                         if a[1] == "y":
-                            label = int(value) if value in "01" and value else None
+                            label = int(value) if value in ("0", "1", "2") else None
                         else:
                             words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
                     names = tuple(sorted(set(words)))
@@ -157,7 +166,7 @@ class Tree:
                 return
 
     def features(self) -> list[tuple]:
-        """What each node shows: its names; for texts and elements with text, length and share of links."""
+        """What each node shows: its names or that it has none, and for blocks with text the share of it that is linked."""
         n = len(self.tag)
         size, linked, inside = [0] * n, [0] * n, [False] * n
         for i in range(1, n):
@@ -171,22 +180,25 @@ class Tree:
         out = []
         for i in range(n):
             found = [("name", w) for w in self.names[i]]
-            if self.tag[i] == TEXT:
-                found.append(("linked", inside[i]))
-            elif size[i]:
+            if self.tag[i] != TEXT:
+                found.append(("named", bool(found)))
+            if size[i] and self.tag[i] in BLOCK:
                 found.append(("links", min(3, int(4 * linked[i] / size[i]))))
             out.append(tuple(found))
         return out
 
 
 class Model:
-    """Log potentials: `step[tag][parent state][state]`, and `shown[feature]` for content against not."""
+    """Potentials: `step[tag][state above][state]` and `shown[feature][state]`.
+
+    A node is not content (0), content (1), or only holds both (2).
+    """
 
     def __init__(self, pages: list[str]):
         steps, every, shown, kinds = Counter(), Counter(), Counter(), Counter()
         for page in pages:
             tree = Tree(page)
-            label = [0]
+            label = [HOLDS]
             for i in range(1, len(tree.tag)):
                 above = label[tree.parent[i]]
                 label.append(above if tree.label[i] is None else tree.label[i])
@@ -196,54 +208,55 @@ class Model:
                 for f in features:
                     shown[f, y] += 1
                     kinds[f[0], y] += 1
-        self.other = [[math.log((every[a, y] + 1) / (every[a, 0] + every[a, 1] + 2)) for y in (0, 1)] for a in (0, 1)]
+        self.other = [_shares([every[a, y] + 1 for y in STATES]) for a in STATES]
         self.step = {
-            tag: [
-                [
-                    math.log(
-                        (steps[tag, a, y] + PRIOR * math.exp(self.other[a][y])) / (steps[tag, a, 0] + steps[tag, a, 1] + PRIOR)
-                    )
-                    for y in (0, 1)
-                ]
-                for a in (0, 1)
-            ]
+            tag: [_shares([steps[tag, a, y] + PRIOR * self.other[a][y] for y in STATES]) for a in STATES]
             for tag in {t for t, _, _ in steps}
         }
         self.shown = {
-            f: math.log((shown[f, 1] + 0.5) / (kinds[f[0], 1] + 1)) - math.log((shown[f, 0] + 0.5) / (kinds[f[0], 0] + 1))
-            for f in {f for f, _ in shown}
+            f: _shares([(shown[f, y] + 0.5) / (kinds[f[0], y] + 1) for y in STATES]) for f in {f for f, _ in shown}
         }
 
     def marginals(self, tree: Tree) -> list[float]:
-        """The probability that each node is content: messages to the root, then back."""
-        exp, log = math.exp, math.log
-
-        def added(a: float, b: float) -> float:
-            return a + log(1 + exp(b - a)) if a > b else b + log(1 + exp(a - b))
+        """The probability that each node is content: messages up to the root, then back.
 
+        A message is scaled by its sum, which changes no marginal and keeps products in range.
+        """
         n = len(tree.tag)
-        own = [sum(self.shown.get(f, 0.0) for f in features) for features in tree.features()]
+        known = []
+        for features in tree.features():
+            x = y = z = 1.0
+            for f in features:
+                if f in self.shown:
+                    a, b, c = self.shown[f]
+                    x, y, z = x * a, y * b, z * c
+                    total = x + y + z
+                    x, y, z = x / total, y / total, z / total
+            known.append([x, y, z])
         steps = [self.step.get(t, self.other) for t in tree.tag]
-        # up[i]: log odds pieces that node i sends to its parent, for each state of the parent.
-        no, yes = [0.0] * n, own[:]
-        sent = [(0.0, 0.0)] * n
+        sent = [(1.0, 1.0, 1.0)] * n
         for i in range(n - 1, 0, -1):
-            (a0, a1), (b0, b1) = steps[i]
-            sent[i] = m0, m1 = added(a0 + no[i], a1 + yes[i]), added(b0 + no[i], b1 + yes[i])
-            no[tree.parent[i]] += m0
-            yes[tree.parent[i]] += m1
-        # The page itself is not content.
-        down0, down1, out = [0.0] * n, [-1e9] * n, [0.0] * n
+            x, y, z = known[i]
+            m = [r[0] * x + r[1] * y + r[2] * z for r in steps[i]]
+            total = m[0] + m[1] + m[2]
+            sent[i] = m = (m[0] / total, m[1] / total, m[2] / total)
+            above = known[tree.parent[i]]
+            x, y, z = above[0] * m[0], above[1] * m[1], above[2] * m[2]
+            total = (x + y + z) or 1.0
+            above[:] = x / total, y / total, z / total
+        # The page itself only holds what is in it.
+        down: list[tuple[float, float, float]] = [(0.0, 0.0, 1.0)] * n
+        out = [0.0] * n
         for i in range(1, n):
             p = tree.parent[i]
             # What the parent knows without this child.
-            x, y = down0[p] + no[p] - sent[i][0], down1[p] + yes[p] - sent[i][1]
-            (a0, a1), (b0, b1) = steps[i]
-            d0, d1 = added(x + a0, y + b0), added(x + a1, y + b1)
-            # Only the odds count, and they stay small numbers.
-            down0[i], down1[i] = 0.0, d1 - d0
-            odds = down1[i] + yes[i] - no[i]
-            out[i] = 1 / (1 + exp(-odds)) if odds > -700 else 0.0
+            x, y, z = (d * k / m for d, k, m in zip(down[p], known[p], sent[i], strict=True))
+            a, b, c = steps[i]
+            d = (x * a[0] + y * b[0] + z * c[0], x * a[1] + y * b[1] + z * c[1], x * a[2] + y * b[2] + z * c[2])
+            total = sum(d) or 1.0
+            down[i] = d = (d[0] / total, d[1] / total, d[2] / total)
+            weights = [u * v for u, v in zip(d, known[i], strict=True)]
+            out[i] = weights[CONTENT] / (sum(weights) or 1.0)
         return out
 
     def extract(self, html: str) -> str:

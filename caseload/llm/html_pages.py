@@ -1,11 +1,13 @@
 """Labelled pages that train the content model.
 
-`y="1"` marks an element of the article and `y="0"` one that is not; an element without a mark has its
-parent's. Pages vary in what carries the article, in what surrounds it, and in how these are named.
+`y="1"` marks an element of the article, `y="0"` one that is not, and `y="2"` one that only holds both; an
+element without a mark has its parent's. Pages vary in what carries the article, in what surrounds it, and in how these are named.
 """
 
 from __future__ import annotations
 
+import re
+
 TEXT = (
     "The committee met on Tuesday and agreed on a plan for the coming year, which will be published soon.",
     "Prices rose in most regions, although the pace was slower than in the months before.",
@@ -21,6 +23,7 @@ ARTICLES = (
     ("<article>", "</article>"),
     ("<main><article>", "</article></main>"),
     ('<main id="main">', "</main>"),
+    ('<main y="2"><div class="container row" y="2"><article>', "</article></div></main>"),
     ('<div class="content">', "</div>"),
     ('<div id="content"><div class="post">', "</div></div>"),
     ('<div class="article-body">', "</div>"),
@@ -29,6 +32,11 @@ ARTICLES = (
     ('<article class="post"><header><h1>A title of some length</h1></header>', "</article>"),
     ('<div role="main"><div class="article">', "</div></div>"),
     ("<div><div>", "</div></div>"),
+    ("<div>", "</div>"),
+    ("<section>", "</section>"),
+    # Nothing carries it: the elements of the inside are marked themselves.
+    ("", ""),
+    ("", ""),
 )
 
 #: The inside of an article.
@@ -41,6 +49,8 @@ BODIES = (
     "{0}<br>{1}<br>{4}",
     "<div><p>{0} <span>{2}</span></p></div><div><p>{1}</p><h3>{3}</h3><p><i>{4}</i></p></div>",
     "<p>{3}</p><p>{2}</p><p>{3}</p><p>{2}</p>",
+    "<h2>Sources</h2><p><a href='/a'>{2}</a></p><p>{1}</p><ul><li><a href='/b'>{3}</a> {2}</li><li>{0}</li></ul>",
+    "<p>{2} <a href='/a'>{4}</a></p><p>{3}</p><p><a href='/c'>{3}</a> and <a href='/d'>{2}</a></p>",
 )
 
 #: What may stand before, after or inside the article. The names are common ones of the web.
@@ -103,22 +113,30 @@ COMMENTS = (
 AROUND = (MENUS, HEADERS, FOOTERS, SIDES, NOTICES, ADVERTS, FORMS, COMMENTS)
 
 
+#: How often each article meets each inside, among other surroundings each time.
+ROUNDS = 6
+
+
 def labelled_pages() -> list[str]:
     """Every article with every inside, each among other surroundings; some of them lie inside it."""
     pages, turn = [], 0
-    for opening, closing in ARTICLES:
+    for opening, closing in ARTICLES * ROUNDS:
         for body in BODIES:
             turn += 1
             # Each kind goes through its forms at its own pace.
-            parts = [kind[(turn * (i + 1) + turn // len(kind)) % len(kind)] for i, kind in enumerate(AROUND)]
-            first = opening.index(">")
-            marked = f'{opening[:first]} y="1"{opening[first:]}{body.format(*TEXT)}'
-            if turn % 3 == 0:
-                marked += parts[3 + turn % 5]
+            parts = [kind[(turn * (i + 1) + turn // (7 + i)) % len(kind)] for i, kind in enumerate(AROUND)]
+            inside = body.format(*TEXT)
+            if opening:
+                first = opening.index(">", opening.rindex("<") if "y=" in opening else 0)
+                marked = f'{opening[:first]} y="1"{opening[first:]}{inside}'
+            else:
+                marked = re.sub(r"<(\w+)", r'<\1 y="1"', inside if inside[0] == "<" else f"<p>{inside}</p>")
+            if turn % 2 == 0:
+                marked += parts[(0, 2, 3, 4, 5, 6, 7)[turn // 2 % 7]]
             before = "".join(parts[i] for i in (1, 0, 4, 5) if (turn >> i) % 3 != 1)
             after = "".join(parts[i] for i in (3, 6, 7, 2) if (turn >> (i % 4)) % 4 != 3)
-            wrap = ("", "") if turn % 2 else ('<div class="wrapper container">', "</div>")
+            wrap = ("", "") if turn % 2 else ('<div class="wrapper container" y="2">', "</div>")
             pages.append(
-                f'<html y="0"><body><!-- page -->{wrap[0]}{before}{marked}{closing}{after}{wrap[1]}</body></html>'
+                f'<html y="2"><body><!-- page -->{wrap[0]}{before}{marked}{closing}{after}{wrap[1]}</body></html>'
             )
     return pages
