@@ -10,6 +10,7 @@ from .exact_dedup import exact_groups
 from .html_extract import Model, main_texts
 from .html_pages import labelled_pages
 from .packing import pack
+from .pii import personal_data
 from .quality import quality_scores, trained
 from .rows import read_table
 from .sharding import shuffled_shards
@@ -24,6 +25,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -127,6 +132,7 @@ GROUP BY ALL
 QUERIES = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
+    "op3_personal_data": (op3_personal_data, None),
     "op4_exact_dedup": (op4_exact_dedup, OP4_SQL),
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
     "op6_hypergeometric_sharding": (op6_hypergeometric_sharding, None),
