@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .chat import formatted_chats
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .html_extract import Model, main_texts
 from .html_pages import labelled_pages
+from .licenses import license_scan
 from .packing import pack
 from .pii import personal_data
 from .quality import quality_scores, trained
@@ -47,6 +49,27 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, trained(docs, read_table(spark, sf_dir, "labels"))).drop("row_key")
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """The table has no paths: a document lies in its source, by tens of thousands, thousands and hundreds
+    of its id. Those with the lowest twenty ids of a directory's range are its licence files."""
+    n = F.col("doc_id")
+    dirs = F.concat_ws("/", "source", F.expr("doc_id div 10000"))
+    inner = F.concat_ws("/", dirs, F.expr("doc_id div 1000"))
+    inmost = F.concat_ws("/", inner, F.expr("doc_id div 100"))
+    path = (
+        F.when(n % 10000 < 20, F.concat(dirs, F.lit("/LICENSE")))
+        .when(n % 1000 < 20, F.concat(inner, F.lit("/LICENSE")))
+        .when(n % 100 < 20, F.concat(inmost, F.lit("/LICENSE")))
+        .otherwise(F.concat(inmost, F.lit("/"), n.cast("string"), F.lit(".txt")))
+    )
+    return docs.withColumn("path", path)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = document_paths(read_table(spark, sf_dir, "documents"))
+    return license_scan(files, "path", "text", ("doc_id",)).drop("row_key")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted_chats(read_table(spark, sf_dir, "conversations"))
 
@@ -137,6 +160,7 @@ QUERIES = {
     "op5_benchmark_decontamination": (op5_benchmark_decontamination, OP5_SQL),
     "op6_hypergeometric_sharding": (op6_hypergeometric_sharding, None),
     "op7_quality_classifier": (op7_quality_classifier, None),
+    "op8_license_scan": (op8_license_scan, None),
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
     "op10_html_extraction": (op10_html_extraction, None),
 }
