@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, row_key, with_text
+from .rows import column, numbered, row_key
 
 #: Words of a window.
 WINDOW = 10
@@ -419,7 +419,7 @@ def drop_contaminated(
 
     The rows are filtered where they are searched: once per block of items, without a shuffle.
     """
-    kept, name = with_text(docs, text_col)
+    kept, name = numbered(docs, text_col)
 
     def emit(known, batch, n_words, found):
         import pyarrow as pa
@@ -430,4 +430,4 @@ def drop_contaminated(
 
     for block in item_blocks(items, item_id_col, text_col, block_bytes):
         kept = _searched(kept, name, block, window, emit, kept.schema)
-    return kept.select(*map(column, docs.columns))
+    return kept.select(kept.columns[: len(docs.columns)]).toDF(*docs.columns)

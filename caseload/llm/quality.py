@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, row_key, with_text
+from .rows import column, numbered, row_key
 
 CHUNK = 128
 STRIDE = 2
@@ -265,7 +265,7 @@ def quality_scores(
 
 def drop_low_quality(docs: DataFrame, model: dict, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of `docs` that score at least `least`, with all columns; filtered where they are scored."""
-    with_body, name = with_text(docs, text_col)
+    rows_of, name = numbered(docs, text_col)
 
     def rows(batches):
         import pyarrow as pa
@@ -275,4 +275,5 @@ def drop_low_quality(docs: DataFrame, model: dict, text_col: str = "text", least
         for batch in batches:
             yield batch.filter(pa.array(scores_of(cells(batch, name), model) >= least))
 
-    return with_body.mapInArrow(rows, with_body.schema).select(*map(column, docs.columns))
+    kept = rows_of.mapInArrow(rows, rows_of.schema)
+    return kept.select(kept.columns[: len(docs.columns)]).toDF(*docs.columns)

@@ -54,12 +54,16 @@ def texts_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def with_text(df: DataFrame, text_col: str) -> tuple[DataFrame, str]:
-    """The frame and the name of a string column with its text: the column itself, if it is one."""
-    if df.schema[text_col].dataType.typeName() == "string":
-        return df, text_col
-    name = fresh_name(df, "body")
-    return df.withColumn(name, column(text_col).cast("string")), name
+def numbered(df: DataFrame, text_col: str) -> tuple[DataFrame, str]:
+    """The frame with columns c0, c1 ... so that no name matters, and the name of its text as a string.
+
+    `.select("c0", ...).toDF(*df.columns)` is the frame again.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    renamed, text = df.toDF(*names), f"c{df.columns.index(text_col)}"
+    if renamed.schema[text].dataType.typeName() == "string":
+        return renamed, text
+    return renamed.withColumn("text", F.col(text).cast("string")), "text"
 
 
 def anti_rows(df: DataFrame, dropped: DataFrame) -> DataFrame:

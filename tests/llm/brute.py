@@ -1,0 +1,205 @@
+"""Brute-force versions of the operators, on lists of rows, and small awkward tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def awkward(spark, texts=(), extra=()):
+    """Rows with missing ids and texts, empty and very long texts, ties and repeated rows, and columns
+    that clash with names the operators use."""
+    long = " ".join(f"word{i % 977} the of" for i in range(30_000))
+    rows = [
+        (1, "the quick brown fox jumps over the lazy dog again and again"),
+        (2, "the quick  brown fox jumps over the lazy\tdog again and again"),
+        (2, "the quick  brown fox jumps over the lazy\tdog again and again"),
+        (3, None),
+        (4, ""),
+        (5, " \n\t "),
+        (None, "no id here but some words to look at"),
+        (None, None),
+        (6, long),
+        (7, long + " "),
+        (8, "straße ÀÉ Ünïcode 漢字 <|endoftext|> end"),
+        *extra,
+    ]
+    rows += [(100 + i, t) for i, t in enumerate(texts)]
+    columns = "doc_id bigint, text string, row_key string, body string, hash int, `mask` int, `odd.name` string"
+    return spark.createDataFrame([(*r, "k", "b", 1, 2, "o") for r in rows], columns)
+
+
+def empty(spark):
+    return awkward(spark).limit(0)
+
+
+def ids_and_texts(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def exact(rows):
+    """doc_id -> (keep_id, group_size, sha) of tables without repeated ids."""
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups["".join(c for c in t or "" if c not in WHITE)].append((-len(t or ""), i is None, i))
+    out = []
+    for i, t in rows:
+        content = "".join(c for c in t or "" if c not in WHITE)
+        first = min(groups[content], key=lambda x: (x[0], x[1], x[2] or 0))
+        out.append((i, first[2], len(groups[content]), hashlib.sha256(content.encode()).hexdigest()))
+    return out
+
+
+def fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def linked(items, near):
+    """The root of each item under links between near ones."""
+    parent = list(range(len(items)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(items)):
+        for j in range(i):
+            if near(items[i], items[j]):
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(items))]
+
+
+def near(rows, radius=2):
+    """doc_id -> (fingerprint, component_id)."""
+    prints = [fingerprint(t) for _, t in rows]
+    roots = linked(prints, lambda a, b: (a ^ b).bit_count() <= radius)
+    lowest = {}
+    for (i, _), r in zip(rows, roots, strict=True):
+        if i is not None:
+            lowest[r] = min(i, lowest.get(r, i))
+    return [(i, f"{p:016x}", lowest.get(r)) for (i, _), p, r in zip(rows, prints, roots, strict=True)]
+
+
+def contamination(rows, items, window=10):
+    def words(t):
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+
+    windows = defaultdict(set)
+    for item, t in items:
+        w = words(t)
+        n = min(window, len(w))
+        for p in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[p : p + n])].add(str(item) if item is not None else "")
+    sizes = {len(w) for w in windows}
+    out = []
+    for i, t in rows:
+        w, hit, found = words(t), set(), set()
+        for p in range(len(w)):
+            for n in sizes:
+                key = tuple(w[p : p + n])
+                if len(key) == n and key in windows:
+                    hit.update(range(p, p + n))
+                    found |= windows[key]
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), digest, bool(hit)))
+    return out
+
+
+BASE = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def luhn(digits):
+    doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(n - 9 if n > 9 else n for n in doubled) % 10 == 0
+
+
+def personal(text):
+    spans = []
+    for order, (kind, pattern) in enumerate(BASE):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub(r"\D", "", m[0])
+            passes = {
+                "email": lambda m=m: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=digits: 14 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=digits: 10 <= len(d) <= 15,
+            }[kind]()
+            if passes:
+                spans.append((m.start(), order, m.end()))
+    return ",".join(f"{BASE[k][0]}:{s}:{e}" for s, k, e in sorted(spans))
+
+
+def pieces(rows, most=1024):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = Counter()
+    for i, t in rows:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        count = -(-len(ids) // most)
+        start, length = 0, len(ids) - most * (count - 1)
+        for p in range(count):
+            out[i, p, start, length, zlib.crc32(ids[start : start + length].tobytes())] += 1
+            start, length = start + length, most
+    return out
+
+
+def cosine_licenses(texts_statements, templates, threshold):
+    """The best (license, score) of each file from its list of statements, all as strings of words."""
+    import math
+
+    df, total = Counter(), 0
+    for said in texts_statements:
+        for s in said:
+            total += 1
+            df.update(set(s.split()))
+
+    def vector(s):
+        return {w: n * (math.log((1 + total) / (1 + df[w])) + 1) for w, n in Counter(s.split()).items()}
+
+    def cosine(a, b):
+        size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / size
+
+    vectors = [(name, vector(s)) for name, s in templates]
+    out = []
+    for said in texts_statements:
+        scores = [(-round(cosine(vector(s), v), 9), name) for s in said for name, v in vectors]
+        best = min(scores, default=(0, None))
+        out.append((best[1], -best[0]) if -best[0] >= threshold else (None, None))
+    return out
+
+
+def chats(rows):
+    """Rendered maximal conversations: conv_id -> (n_turns, copies, text)."""
+    said = defaultdict(set)
+    for conv, turn, role, text in rows:
+        said[conv].add((-1 if turn is None else turn, role or "", text or ""))
+    content = {c: tuple((r, t) for _, r, t in sorted(turns)) for c, turns in said.items()}
+    out = {}
+    for c, turns in content.items():
+        same = [x for x, other in content.items() if other == turns]
+        first = min(same, key=lambda x: (x is None, x or 0))
+        longer = any(len(o) > len(turns) and o[: len(turns)] == turns for o in content.values())
+        if c == first and not longer:
+            text = "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns)
+            out[c] = (len(turns), len(same), text)
+    return out
