@@ -24,7 +24,9 @@ HIDDEN = 16
 #: The training sample: most labelled rows, and most chunks of each.
 SAMPLE_ROWS = 3000
 SAMPLE_CHUNKS = 32
+#: Passes over the sample, and least number of steps, which a small sample takes in more passes.
 EPOCHS = 12
+STEPS = 600
 BATCH = 64
 #: Chunks convolved together when scoring.
 TOGETHER = 2048
@@ -109,8 +111,9 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> dict[st
     second = {k: np.zeros_like(v) for k, v in model.items()}
     steps = 0
     per_epoch = max(1, len(texts) // BATCH)
-    total = EPOCHS * per_epoch
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // per_epoch))
+    total = epochs * per_epoch
+    for _ in range(epochs):
         order = rng.permutation(len(texts))
         for b in range(per_epoch):
             chosen = order[b * BATCH : (b + 1) * BATCH]
