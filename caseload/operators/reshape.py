@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import normalised, repaired_header
@@ -41,28 +41,53 @@ def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def stack_sections(
-    grid: DataFrame, sections: Mapping[str, tuple[int, int, int]], name: str = "record_type"
+    grid: DataFrame,
+    tags: Sequence[str],
+    key: str,
+    *,
+    gap: int = 1,
+    end: str = "TOTAL",
+    level: str = "basic",
+    name: str = "record_type",
 ) -> DataFrame:
-    """Rows of several tables in one sheet, tagged with the table they belong to.
-
-    `sections` maps a tag to (header row, first row, last row). Adds the tag and `header_row`.
-    One pass: a row finds its sections by comparing its position with a literal list.
+    """Rows of several tables in one sheet, with the table they belong to and its header.
+
+    A table starts with a row that has a cell named `key`; the tables of a sheet get the tags in
+    order. Its rows start after `gap` more rows, and go on to the last row before the next
+    header whose key is `end`, or else to that header: nothing depends on how many there are.
+    Adds the tag, `header_row`, `header` (see `cell`) and `reason`, which is missing for the
+    table's rows and tells why another row is none. Header rows and rows above the first are
+    left out. One pass: windows over a sheet, which its format limits to 2**20 rows.
     """
-    bounds = F.array(
-        *[
-            F.struct(
-                F.lit(tag).alias(name),
-                F.lit(header).alias("header_row"),
-                F.lit(first).alias("first"),
-                F.lit(last).alias("last"),
-            )
-            for tag, (header, first, last) in sections.items()
-        ]
+    is_header = F.exists("cells", lambda c: normalised(c, level).eqNullSafe(F.lit(key)))
+    names = F.transform(repaired_header(F.col("cells")), lambda c: normalised(c, level))
+    above = (
+        Window.partitionBy("source_path").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    head = F.when(is_header, F.struct(F.col("row_idx").alias("row"), names.alias("names")))
+    found = grid.select(
+        "*",
+        is_header.alias("__is_header"),
+        F.count(head).over(above).alias("__number"),
+        F.last(head, ignorenulls=True).over(above).alias("__head"),
     )
-    holds = F.filter(bounds, lambda s: F.col("row_idx").between(s["first"], s["last"]))
-    tagged = grid.withColumn("__section", F.explode(holds))
-    return tagged.select(
-        *grid.columns, f"__section.{name}", F.col("__section.header_row").alias("header_row")
+    found = found.where(~F.col("__is_header") & (F.col("__number") > 0)).select(
+        *grid.columns,
+        F.get(F.array(*map(F.lit, tags)), F.col("__number").cast("int") - 1).alias(name),
+        F.col("__head.row").alias("header_row"),
+        F.col("__head.names").alias("header"),
+    )
+    is_end = F.trim(cell(key)) == end
+    last = F.max(F.when(is_end, F.col("row_idx"))).over(
+        Window.partitionBy("source_path", "header_row")
+    )
+    return found.withColumn("__last", last).select(
+        *found.columns,
+        F.when(F.col(name).isNull(), "a table too many")
+        .when(F.col("row_idx") <= F.col("header_row") + gap, "directly under the header")
+        .when(is_end, "total row")
+        .when(F.col("row_idx") > F.col("__last"), "after the total row")
+        .alias("reason"),
     )
 
 
@@ -87,56 +112,83 @@ def cell(name: str) -> Column:
     return F.get(F.col("cells"), F.array_position(F.col("header"), F.lit(name)).cast("int") - 1)
 
 
+def block_rows(
+    grid: DataFrame, *, first_row: int, closing: str | None, frame: DataFrame | None = None
+) -> DataFrame:
+    """Rows from `first_row` on, with `reason` where they stand after the last block.
+
+    The blocks of a sheet end before the first row whose first cell is `closing`.
+    """
+    rows = grid.where(F.col("row_idx") >= first_row)
+    if closing is None:
+        return rows.withColumn("reason", F.lit(None).cast("string"))
+    source = grid if frame is None else frame
+    is_closing = F.trim(F.get("cells", F.lit(0))) == closing
+    ends = source.where((F.col("row_idx") >= first_row) & is_closing)
+    ends = ends.groupBy("source_path").agg(F.min("row_idx").alias("__end"))
+    behind = F.col("row_idx") >= F.col("__end")
+    return rows.join(ends, "source_path", "left").select(
+        *grid.columns, F.when(behind, "after the last block").alias("reason")
+    )
+
+
 def decode_blocks(
     grid: DataFrame,
     *,
     header_row: int,
     first_row: int,
-    end_row: int,
     labels: Sequence[Mapping[str, str]],
     block: str,
     column: str,
     value: str,
+    closing: str | None = None,
+    frame: DataFrame | None = None,
 ) -> DataFrame:
     """Cells of a matrix of equal blocks as rows (sheet, block, labels, column, value).
 
-    Blocks are `len(labels)` rows high and fill `first_row` up to before `end_row`. The first
-    cell of a block's first row names the block, `labels` names its rows by offset, and
-    `header_row` names the columns. The last column is a total and is left out, and so are
-    cells without a value.
+    Blocks are `len(labels)` rows high and fill the sheet from `first_row` to its end, or up to
+    the row named `closing`. The first cell of a block's first row names the block, `labels`
+    names its rows by offset, and `header_row` names the columns. The last column is a total
+    and is left out, and so are cells without a value, such as all those of a note.
+
+    Names are joined by sheet and number of the block, so a sheet may have any number of them.
+    `frame` holds the rows of headers, names and closing labels, where the caller has them
+    apart; else they are looked up in `grid`.
     """
     height = len(labels)
+    source = grid if frame is None else frame
     position = F.col("row_idx") - first_row
     number, offset = F.floor(position / height), F.pmod(position, F.lit(height))
-    in_block = F.col("row_idx").between(first_row, end_row - 1)
-    is_name, is_header = in_block & (offset == 0), F.col("row_idx") == header_row
-    # One row per sheet: its column names, and the names of its blocks.
-    entry = F.struct(number, F.get("cells", F.lit(0)))
-    sheets = (
-        grid.where(is_name | is_header)
-        .groupBy("source_path")
-        .agg(
-            F.max(F.when(is_header, _inner_cells(F.col("cells")))).alias("__columns"),
-            F.map_from_entries(F.collect_list(F.when(is_name, entry))).alias("__names"),
-        )
+    columns = source.where(F.col("row_idx") == header_row).select(
+        "source_path", _inner_cells(F.col("cells")).alias("__columns")
+    )
+    names = source.where((F.col("row_idx") >= first_row) & (offset == 0)).select(
+        "source_path", number.alias("__number"), F.get("cells", F.lit(0)).alias(block)
     )
     by_offset = F.array(
         *[F.struct(*[F.lit(v).alias(k) for k, v in label.items()]) for label in labels]
     )
     # Names and labels are settled per row, before the row becomes as many rows as cells.
-    pairs = F.arrays_zip("__columns", _inner_cells(F.col("cells")).alias("values"))
-    rows = grid.where(in_block).join(sheets, "source_path", "left").select(
-        *SHEET,
-        F.try_element_at("__names", number).alias(block),
-        F.get(by_offset, offset).alias("__label"),
-        F.filter(pairs, lambda pair: pair["values"].isNotNull()).alias("__pairs"),
+    pairs = F.arrays_zip("__columns", "__values")
+    rows = block_rows(grid, first_row=first_row, closing=closing, frame=frame)
+    rows = (
+        rows.where("reason IS NULL")
+        .withColumns({"__number": number, "__values": _inner_cells(F.col("cells"))})
+        .join(columns, "source_path", "left")
+        .join(names, ["source_path", "__number"], "left")
+        .select(
+            *SHEET,
+            block,
+            F.get(by_offset, offset).alias("__label"),
+            F.filter(pairs, lambda pair: pair["__values"].isNotNull()).alias("__pairs"),
+        )
     )
     return rows.withColumn("__cell", F.explode("__pairs")).select(
         *SHEET,
         block,
         *[F.col("__label")[name].alias(name) for name in labels[0]],
         F.col("__cell")["__columns"].alias(column),
-        F.col("__cell")["values"].alias(value),
+        F.col("__cell")["__values"].alias(value),
     )
 
 

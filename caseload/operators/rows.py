@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from ..functions.scalars import column, number_or_null
 
 
-def rows_between(grid: DataFrame, first: int, last: int) -> DataFrame:
-    """Rows of each sheet by position, both ends included."""
-    return grid.where(F.col("row_idx").between(first, last))
+def keep_numeric_key(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
+    """Keep rows whose text key is a number (not totals or footnotes), as a long.
 
+    A number that is no long is no key either, see `integer_key`.
+    """
+    number = integer_key(key)
+    return df.where(number.isNotNull()).withColumn(name or key, number)
 
-def keep_numeric_key(df: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Keep rows whose text key is a number (not totals or footnotes), as a long."""
-    number = number_or_null(key)
-    return df.where(number.isNotNull()).withColumn(name or key, number.cast("bigint"))
+
+def integer_key(ref: Column | str) -> Column:
+    """A text key as a long; NULL for text that is no number, or one out of range."""
+    return number_or_null(ref).try_cast("bigint")
 
 
 def drop_value(df: DataFrame, ref: Column | str, value: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +48,6 @@ MARTS = {
     "mart_htw_caseload": (marts.mart_htw_caseload, "stg_htw_caseload"),
     "mart_mco_enrollment": (marts.mart_mco_enrollment, "stg_mco_enrollment_by_sda"),
 }
-REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "enrollment_by_county": raw.county_report,
-    "timeliness_medicaid": raw.timeliness_report,
-}
 
 
 def load_raw(
@@ -60,21 +56,26 @@ def load_raw(
     *,
     namespace: str = "raw",
     tolerate: bool = False,
+    fiscal_year: int = raw.MCO_FISCAL_YEAR,
 ) -> DataFrame:
     """Replace the raw tables from landed sheets; `landing` maps a table to its folder.
 
     A table that fails does not keep the others from loading. The failures are raised at the
-    end, or with `tolerate` only reported. Returns the load report, per table and per file.
+    end, or with `tolerate` only reported. Returns the load report, per table and per file:
+    every row under a header is in it, as loaded or with the reason why it is not.
+    `fiscal_year` is the year of the plan matrix, which its sheets don't tell.
     """
     outcomes: list[Outcome] = []
     per_file: list[DataFrame] = []
     for table, path in landing.items():
         grid = sheets.read_grid(spark, path)
+        given = {"fiscal_year": fiscal_year} if table == "mco_enrollment_by_sda" else {}
+        rows = RAW[table](grid, **given)
         outcomes.append(
-            publish_table(RAW[table](grid), table, namespace=namespace, audit_column="loaded_at")
+            publish_table(rows, table, namespace=namespace, audit_column="loaded_at")
         )
-        if table in REPORTS and outcomes[-1].status == "loaded":
-            per_file.append(REPORTS[table](grid))
+        if outcomes[-1].status == "loaded":
+            per_file.append(raw.REPORTS[table](grid))
     if not tolerate:
         raise_failed(outcomes)
     return reduce(DataFrame.unionByName, [load_report(spark, outcomes), *per_file])

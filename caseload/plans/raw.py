@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import flag_in
 from ..functions.names import month_from_name
-from ..functions.scalars import clean_text, date_to_epoch_micros, number_or_null
-from ..operators.reshape import cell, decode_blocks, stack_sections, with_header
-from ..operators.rows import drop_any_value, drop_value, keep_numeric_key, rows_between
-from ..sources.sinks import rows_per_file
+from ..functions.scalars import clean_text, date_to_epoch_micros, number_or_null, strip
+from ..operators.reshape import block_rows, cell, decode_blocks, stack_sections, with_header
+from ..operators.rows import drop_any_value, integer_key
+from ..sources.sinks import reasons_per_file
+
+Report = Callable[[DataFrame], DataFrame]
 
 # Sheet layouts, column names, codes and labels of the published tables.
 RISK_GROUP_HEADER_ROW = 2
 CHIP_HEADER_ROW = 1
 HTW_HEADER_ROW = 0
-SERIES_ROWS = 138
 RISK_GROUP_COLUMNS = [
     "medicaid_caseload",
     "aged_and_medicare_related",
@@ -53,10 +54,11 @@ COUNTY_COLUMNS = [
     "medicaid_clients_21_and_older",
 ]
 COUNTY_HEADER_ROW = 2
-TIMELINESS_SECTIONS = {"applications": (3, 5, 22), "redeterminations": (25, 27, 44)}
+TIMELINESS_TABLES = ["applications", "redeterminations"]
+TIMELINESS_KEY = "region"
 TIMELINESS_MEASURES = ["disposed", "timely", "percent"]
 GEOGRAPHIC_REGIONS = ["01", "02/09", "03", "04", "05", "06", "07", "08", "10", "11"]
-MCO_HEADER_ROW, MCO_FIRST_ROW, MCO_END_ROW = 1, 2, 202
+MCO_HEADER_ROW, MCO_FIRST_ROW, MCO_CLOSING = 1, 2, "Statewide"
 MCO_ROW_LABELS = [
     {"program": "TOTAL", "sub_program": "TOTAL"},
     {"program": "CHIP", "sub_program": "TOTAL"},
@@ -72,91 +74,99 @@ MCO_ROW_LABELS = [
 MCO_ENROLLMENT_TYPE, MCO_FISCAL_YEAR = "sfy_monthly_average", 2025
 
 
-def enrollment_by_risk_group(grid: DataFrame, n_rows: int = SERIES_ROWS) -> DataFrame:
-    """Month and eleven measures; the derived total of the child groups is left out."""
-    rows = _series_rows(grid, RISK_GROUP_HEADER_ROW, n_rows)
-    return rows.select(_month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES))
+def enrollment_by_risk_group(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
+    """Month and eleven measures; the derived total of the child groups is left out.
+
+    Here and below, `frame` holds the header rows of `grid` where the caller has them apart.
+    """
+    rows = _series_rows(grid, RISK_GROUP_HEADER_ROW, "month", frame)
+    return _loaded(rows).select(
+        _month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES)
+    )
 
 
-def chip_enrollment_detail(grid: DataFrame, n_rows: int = SERIES_ROWS) -> DataFrame:
+def chip_enrollment_detail(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
     """Month and four measures."""
-    rows = _series_rows(grid, CHIP_HEADER_ROW, n_rows)
-    return rows.select(_month_cell("month"), *_number_cells(CHIP_COLUMNS))
+    rows = _series_rows(grid, CHIP_HEADER_ROW, "month", frame)
+    return _loaded(rows).select(_month_cell("month"), *_number_cells(CHIP_COLUMNS))
 
 
-def htw_enrollment(grid: DataFrame, n_rows: int = SERIES_ROWS) -> DataFrame:
+def htw_enrollment(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
     """Month and caseload, under a title and a blank header."""
-    rows = _series_rows(grid, HTW_HEADER_ROW, n_rows)
     month, caseload = HTW_RENAMES
-    return rows.select(_month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"}))
+    rows = _series_rows(grid, HTW_HEADER_ROW, month, frame)
+    return _loaded(rows).select(
+        _month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"})
+    )
 
 
 def enrollment_by_county(grid: DataFrame) -> DataFrame:
-    """County rows of all monthly sheets, columns named by position, month from the name.
-
-    Rows that do not have exactly the eleven columns are left out, see `county_report`.
-    """
+    """County rows of all monthly sheets, columns named by position, month from the name."""
     code, county, *measures = COUNTY_COLUMNS
-    body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW).where(_county_width())
-    named = body.select(
-        "source_file", *[F.col("cells")[i].alias(name) for i, name in enumerate(COUNTY_COLUMNS)]
-    )
-    return keep_numeric_key(named, code).select(
-        code,
-        county,
-        *[number_or_null(name).alias(name) for name in measures],
+    cells = {name: F.get("cells", F.lit(i)) for i, name in enumerate(COUNTY_COLUMNS)}
+    return _loaded(_county_rows(grid)).select(
+        integer_key(cells[code]).alias(code),
+        cells[county].alias(county),
+        *[number_or_null(cells[name]).alias(name) for name in measures],
         date_to_epoch_micros(month_from_name("source_file")).alias("report_month"),
     )
 
 
-def county_report(grid: DataFrame) -> DataFrame:
-    """Rows per sheet that were loaded, and that had a wrong number of columns."""
-    body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW)
-    is_county = number_or_null(F.get("cells", F.lit(0))).isNotNull()
-    outcomes = {
-        ("loaded", ""): _county_width() & is_county,
-        ("skipped", f"not {len(COUNTY_COLUMNS)} columns"): ~_county_width(),
-    }
-    return rows_per_file(body, "enrollment_by_county", outcomes)
-
-
 def timeliness_medicaid(grid: DataFrame) -> DataFrame:
     """Both tables of all monthly sheets; sheets without a month in their name are skipped."""
-    month = month_from_name("source_file", on_unknown="skip")
-    dated = grid.withColumn("month", month).where("month IS NOT NULL")
-    rows = stack_sections(dated, TIMELINESS_SECTIONS)
-    headers = [header for header, _, _ in TIMELINESS_SECTIONS.values()]
-    named = with_header(rows, dated, headers, level="basic").select(
+    return _loaded(_timeliness_rows(grid)).select(
         cell("region").alias("region"),
         *_number_cells(TIMELINESS_MEASURES),
         "record_type",
         date_to_epoch_micros("month").alias("report_month"),
-    )
-    return drop_value(named, "region", "TOTAL").withColumn(
-        "is_geographic_region", flag_in("region", GEOGRAPHIC_REGIONS)
+        flag_in(cell("region"), GEOGRAPHIC_REGIONS).alias("is_geographic_region"),
     )
 
 
+def series_report(table: str, header_row: int, month: str) -> Report:
+    """Report of a sheet with one row per month."""
+    return lambda grid: reasons_per_file(_series_rows(grid, header_row, month), table)
+
+
+def county_report(grid: DataFrame) -> DataFrame:
+    return reasons_per_file(_county_rows(grid), "enrollment_by_county")
+
+
 def timeliness_report(grid: DataFrame) -> DataFrame:
-    """Rows per sheet that were read, and sheets whose name gives no month."""
-    month = month_from_name("source_file", on_unknown="skip")
-    rows = stack_sections(grid.withColumn("month", month), TIMELINESS_SECTIONS)
-    outcomes = {
-        ("loaded", ""): F.col("month").isNotNull(),
-        ("skipped", "no month in the name"): F.col("month").isNull(),
-    }
-    return rows_per_file(rows, "timeliness_medicaid", outcomes)
+    return reasons_per_file(_timeliness_rows(grid), "timeliness_medicaid")
+
+
+def mco_report(grid: DataFrame, closing: str = MCO_CLOSING) -> DataFrame:
+    rows = block_rows(grid, first_row=MCO_FIRST_ROW, closing=closing)
+    return reasons_per_file(rows, "mco_enrollment_by_sda")
+
+
+#: For each raw table, the rows of each file that were loaded, and that were not and why.
+REPORTS: dict[str, Report] = {
+    "enrollment_by_risk_group": series_report(
+        "enrollment_by_risk_group", RISK_GROUP_HEADER_ROW, "month"
+    ),
+    "chip_enrollment_detail": series_report("chip_enrollment_detail", CHIP_HEADER_ROW, "month"),
+    "htw_enrollment": series_report("htw_enrollment", HTW_HEADER_ROW, next(iter(HTW_RENAMES))),
+    "enrollment_by_county": county_report,
+    "timeliness_medicaid": timeliness_report,
+    "mco_enrollment_by_sda": mco_report,
+}
 
 
 def mco_enrollment_by_sda(
-    grid: DataFrame, end_row: int = MCO_END_ROW, fiscal_year: int = MCO_FISCAL_YEAR
+    grid: DataFrame,
+    fiscal_year: int = MCO_FISCAL_YEAR,
+    closing: str = MCO_CLOSING,
+    frame: DataFrame | None = None,
 ) -> DataFrame:
     """Cells of the plan-by-area matrix, derived total rows left out."""
     cells = decode_blocks(
         grid,
         header_row=MCO_HEADER_ROW,
         first_row=MCO_FIRST_ROW,
-        end_row=end_row,
+        closing=closing,
+        frame=frame,
         labels=MCO_ROW_LABELS,
         block="mco_name",
         column="sda",
@@ -175,22 +185,58 @@ def mco_enrollment_by_sda(
     )
 
 
-def _series_rows(grid: DataFrame, header_row: int, n_rows: int) -> DataFrame:
-    """The first rows under the header; what follows them is notes."""
-    body = rows_between(grid, header_row + 1, header_row + n_rows)
-    return with_header(body.withColumn("header_row", F.lit(header_row)), grid, [header_row])
+def _loaded(rows: DataFrame) -> DataFrame:
+    return rows.where("reason IS NULL")
+
+
+def _series_rows(
+    grid: DataFrame, header_row: int, month: str, frame: DataFrame | None = None
+) -> DataFrame:
+    """All rows under the header; those whose month cell is no date are notes."""
+    body = grid.where(F.col("row_idx") > header_row)
+    named = with_header(
+        body.withColumn("header_row", F.lit(header_row)),
+        grid if frame is None else frame,
+        [header_row],
+    )
+    return named.withColumn(
+        "reason",
+        F.when(_is_blank(), "blank row").when(_day(month).isNull(), "no date in the month cell"),
+    )
+
+
+def _county_rows(grid: DataFrame) -> DataFrame:
+    """All rows under the header; those without a county's number are totals or notes."""
+    body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW)
+    return body.withColumn(
+        "reason",
+        F.when(_is_blank(), "blank row")
+        .when(F.size("cells") != len(COUNTY_COLUMNS), f"not {len(COUNTY_COLUMNS)} columns")
+        .when(integer_key(F.get("cells", F.lit(0))).isNull(), "no county code"),
+    )
+
+
+def _timeliness_rows(grid: DataFrame) -> DataFrame:
+    """All rows of both tables; a sheet whose name gives no month has none to load."""
+    rows = stack_sections(grid, TIMELINESS_TABLES, TIMELINESS_KEY)
+    month = month_from_name("source_file", on_unknown="skip")
+    unknown = F.when(F.col("month").isNull(), "no month in the name")
+    return rows.withColumn("month", month).withColumn("reason", F.coalesce(unknown, "reason"))
+
+
+def _is_blank() -> Column:
+    return ~F.exists("cells", lambda c: F.coalesce(strip(c) != "", F.lit(False)))
+
+
+def _day(name: str) -> Column:
+    return F.substring(cell(name), 1, 10).try_cast("date")
 
 
 def _month_cell(name: str) -> Column:
-    day = F.substring(cell(name), 1, 10).try_cast("date")
-    return date_to_epoch_micros(day).alias("month")
+    return date_to_epoch_micros(_day(name)).alias("month")
 
 
 def _number_cells(names: Sequence[str], renames: Mapping[str, str] | None = None) -> list[Column]:
     """Measures by name; `renames` maps a header name to the table's, and others stay."""
     header = {new: old for old, new in (renames or {}).items()}
     return [number_or_null(cell(header.get(name, name))).alias(name) for name in names]
-
-
-def _county_width() -> Column:
-    return F.size("cells") == len(COUNTY_COLUMNS)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,16 +28,16 @@ def build_session(app: str = "caseload", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh sub-folder of the folder the cluster names in `spark.checkpoint.dir`.
+def shared_root(spark: SparkSession) -> str:
+    """The folder for tables between jobs: `spark.checkpoint.dir`, or else one in the warehouse.
 
-    Only a local session without that setting gets a folder of this machine; on a cluster
-    a machine-local folder would be lost with its executor, so there it is an error.
+    Both are the cluster's own settings and seen by all executors, whatever the master is.
+    Nothing is set on the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="caseload-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/caseload-{uuid.uuid4().hex}"
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between_jobs").rstrip("/")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh sub-folder of the shared root."""
+    return f"{shared_root(spark)}/caseload-{uuid.uuid4().hex}"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = "table STRING, file STRING, status STRING, n_rows BIGINT, message STRING"
@@ -79,25 +79,17 @@ def load_report(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def rows_per_file(
-    df: DataFrame, table: str, outcomes: Mapping[tuple[str, str], Column]
-) -> DataFrame:
-    """Report lines with the rows of each source file, by outcome, in one pass.
+def reasons_per_file(rows: DataFrame, table: str) -> DataFrame:
+    """Report lines with the rows of each source file: loaded, or not and why, in one pass.
 
-    `outcomes` maps (status, message) to the condition on the rows that it counts.
+    `rows` has `source_file`, and `reason`, which is missing for the rows that are loaded.
     """
-    counts = df.groupBy(F.col("source_file").alias("file")).agg(
-        *[F.count_if(rows).alias(f"n{i}") for i, rows in enumerate(outcomes.values())]
+    loaded = F.col("message").isNull()
+    counts = rows.groupBy(F.col("source_file").alias("file"), F.col("reason").alias("message"))
+    return counts.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(table).alias("table"),
+        "file",
+        F.when(loaded, "loaded").otherwise("skipped").alias("status"),
+        "n_rows",
+        F.coalesce("message", F.lit("")).alias("message"),
     )
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(status).alias("status"),
-                F.col(f"n{i}").alias("n_rows"),
-                F.lit(message).alias("message"),
-            )
-            for i, (status, message) in enumerate(outcomes)
-        ]
-    )
-    lined = counts.select(F.lit(table).alias("table"), "file", F.inline(lines))
-    return lined.where(F.col("n_rows") > 0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.labels import flag_in
 from ..functions.scalars import date_to_epoch_micros
 from ..plans.raw import COUNTY_CODE, GEOGRAPHIC_REGIONS
-from .tables import cents, month_of, table
+from .tables import cents, month_of, supplied_parts, table
 
 MONTHS_LATER = 292  # 1995-01 becomes 2019-05, and 2001-08 becomes 2025-12
 REGION_OF_LINE = {1: "01", 2: " 02/09 ", 3: "03", 4: "MEPD", 5: "TOTAL", 6: "ST OFFICE "}
@@ -224,11 +224,10 @@ def mco_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_suppkey", "l_partkey", "l_quantity")
+        supplied_parts(spark, sf_dir)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_suppkey", "p_type", F.col("p_brand").alias("sda"))
-        .agg((F.sum("l_quantity") / F.lit(8.0)).alias("enrollment"))
+        .agg((F.sum("quantity") / F.lit(8.0)).alias("enrollment"))
         .withColumn("label", F.try_element_at(labels, "p_type"))
         .select("l_suppkey", "label.program", "label.sub_program", "sda", "enrollment")
     )

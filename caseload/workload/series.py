@@ -19,7 +19,7 @@ from ..operators.metrics import (
     variance_vs_reported,
 )
 from ..operators.rows import drop_listed
-from .tables import div0, money_sum, month_of, table
+from .tables import div0, money_sum, month_of, supplied_parts, table
 
 # Two of the five priorities make up the total that shares refer to.
 COMPONENTS = ["1-URGENT", "2-HIGH"]
@@ -277,11 +277,10 @@ def market_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity by supplier, brand and type."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     return (
-        table(spark, sf_dir, "lineitem")
-        .select("l_suppkey", "l_partkey", "l_quantity")
+        supplied_parts(spark, sf_dir)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_suppkey", "p_brand", "p_type")
-        .agg(F.sum("l_quantity").alias("quantity"))
+        .agg(F.sum("quantity").alias("quantity"))
     )
 
 

@@ -6,6 +6,7 @@ The SQL side never sees a sheet: it derives the raw tables straight from the dri
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,12 @@ from ..session import shared_folder
 from ..sources import grid as landing
 from ..sources.sinks import publish_table
 from .raw_tables import (
+    CHIP_MONTHS,
     COUNTY_MONTHS,
+    HTW_MONTHS,
     MCO_CELLS,
     RAW_SQL,
+    RISK_GROUP_MONTHS,
     TIMELINESS_MONTHS,
     chip_months,
     county_months,
@@ -41,7 +45,9 @@ RISK_GROUP_HEADER = [
 ]
 CHIP_HEADER = ["Month", "CHIP Caseload", "New Enrollment", "Renewals", "Disenrollment"]
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-SUPPLIERS_PER_SHEET = 20
+SUPPLIERS_PER_SHEET = 64
+# Where notes stand: below any month, and below any supplier of a sheet.
+NOTES_ROW = 1_000_000
 
 
 def _texts(columns: Sequence[str]) -> list[Column]:
@@ -53,11 +59,17 @@ def _row(row_idx: int, cells: Sequence[str | None]) -> Column:
     return F.struct(F.lit(row_idx).alias("row_idx"), texts.alias("cells"))
 
 
-def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Column]) -> DataFrame:
-    """One sheet: its data rows, and the rows every such sheet has."""
+Sheet = tuple[DataFrame, DataFrame]
+
+
+def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Column]) -> Sheet:
+    """One sheet: all its rows, and the rows every such sheet has."""
     frame = spark.range(1).select(F.inline(F.array(*fixed)))
-    return data.select("row_idx", "cells").unionByName(frame).select(
-        F.lit(name).alias("source_path"), F.lit(name).alias("source_file"), "row_idx", "cells"
+    return tuple(
+        rows.select(
+            F.lit(name).alias("source_path"), F.lit(name).alias("source_file"), "row_idx", "cells"
+        )
+        for rows in (data.select("row_idx", "cells").unionByName(frame), frame)
     )
 
 
@@ -77,8 +89,7 @@ def _sheets(rows: DataFrame, frame: Column) -> DataFrame:
 
 
 def _row_of_month(first_row: int) -> Column:
-    months = (F.year("day") - 2019) * 12 + F.month("day") - 5
-    return (months + first_row).cast("int").alias("row_idx")
+    return (F.year("day") * 12 + F.month("day") + first_row).cast("int").alias("row_idx")
 
 
 def _dated_name(prefix: Column | str) -> Column:
@@ -87,29 +98,29 @@ def _dated_name(prefix: Column | str) -> Column:
     return F.concat(start, spelled, F.lit("-"), F.year("day"), F.lit(".xlsx"))
 
 
-def risk_group_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def risk_group_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
     months = risk_group_months(spark, sf_dir)
     cells = F.array(*_texts(months.columns), F.lit("1"))
     fixed = [
         _row(0, ["Caseload by risk group", *[None] * 12]),
         _row(2, RISK_GROUP_HEADER),
-        _row(142, ["Notes", *[None] * 12]),
+        _row(NOTES_ROW, ["Notes", *[None] * 12]),
     ]
     data = months.select(_row_of_month(3), cells.alias("cells"))
     return _sheet(spark, "risk-group.xlsx", data, fixed)
 
 
-def chip_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chip_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
     months = chip_months(spark, sf_dir)
     data = months.select(_row_of_month(2), F.array(*_texts(months.columns)).alias("cells"))
-    fixed = [_row(1, CHIP_HEADER), _row(140, ["Note: final", *[None] * 4])]
+    fixed = [_row(1, CHIP_HEADER), _row(NOTES_ROW, ["Note: final", *[None] * 4])]
     return _sheet(spark, "chip.xlsx", data, fixed)
 
 
-def htw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def htw_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
     months = htw_months(spark, sf_dir)
     data = months.select(_row_of_month(1), F.array(*_texts(months.columns)).alias("cells"))
-    fixed = [_row(0, ["Healthy Texas Women Caseload", None]), _row(139, ["Note", None])]
+    fixed = [_row(0, ["Healthy Texas Women Caseload", None]), _row(NOTES_ROW, ["Note", None])]
     return _sheet(spark, "htw.xlsx", data, fixed)
 
 
@@ -170,8 +181,11 @@ def timeliness_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sheets(rows, frame)
 
 
-def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sheets of twenty suppliers: a header with the brands, and ten rows per supplier."""
+def mco_sheets(spark: SparkSession, sf_dir: str) -> Sheet:
+    """Sheets of a header with the brands, ten rows per supplier, and a closing line.
+
+    The rows that name suppliers, the headers and the closing lines come from the suppliers alone.
+    """
     offset = F.create_map(
         *[
             F.lit(x)
@@ -182,6 +196,7 @@ def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     height = len(raw.MCO_ROW_LABELS)
     block = raw.MCO_FIRST_ROW + F.pmod("supplier", F.lit(SUPPLIERS_PER_SHEET)) * height
+    file = F.format_string("mco-%d.xlsx", F.floor(F.col("supplier") / SUPPLIERS_PER_SHEET))
     cells = (
         mco_cells(spark, sf_dir)
         .groupBy(
@@ -197,36 +212,39 @@ def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     brands = _texts([f"b{i}" for i in range(len(BRANDS))])
     programs = cells.select(
-        "supplier", "offset", F.array(F.lit("program"), *brands, F.lit("9")).alias("cells")
+        file.alias("source_file"),
+        (block + F.col("offset")).cast("int").alias("row_idx"),
+        F.array(F.lit("program"), *brands, F.lit("9")).alias("cells"),
     )
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"))
     name = F.format_string("Supplier\n%d ", "supplier")
-    suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("supplier"),
-        F.lit(0).alias("offset"),
+    names = suppliers.select(
+        file.alias("source_file"),
+        block.cast("int").alias("row_idx"),
         F.array(name, *[F.lit("1")] * len(BRANDS), F.lit("9")).alias("cells"),
     )
-    rows = programs.unionByName(suppliers).select(
-        F.format_string("mco-%d.xlsx", F.floor(F.col("supplier") / SUPPLIERS_PER_SHEET)).alias(
-            "source_file"
-        ),
-        F.lit(None).alias("day"),
-        (block + F.col("offset")).cast("int").alias("row_idx"),
-        "cells",
-        F.lit(1).alias("weight"),
+    ends = F.array(
+        _row(raw.MCO_HEADER_ROW, [None, *BRANDS, "Total"]),
+        _row(NOTES_ROW, [raw.MCO_CLOSING, *["1"] * len(BRANDS), "9"]),
+    )
+    files = suppliers.select(file.alias("source_file")).distinct()
+    frame = names.unionByName(files.select("source_file", F.inline(ends)))
+    return tuple(
+        rows.select(F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells")
+        for rows in (programs.unionByName(frame), frame)
     )
-    return _sheets(rows, F.array(_row(raw.MCO_HEADER_ROW, [None, *BRANDS, "Total"])))
 
 
 def raw_risk_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.enrollment_by_risk_group(risk_group_sheet(spark, sf_dir))
+    return raw.enrollment_by_risk_group(*risk_group_sheet(spark, sf_dir))
 
 
 def raw_chip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.chip_enrollment_detail(chip_sheet(spark, sf_dir))
+    return raw.chip_enrollment_detail(*chip_sheet(spark, sf_dir))
 
 
 def raw_htw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.htw_enrollment(htw_sheet(spark, sf_dir))
+    return raw.htw_enrollment(*htw_sheet(spark, sf_dir))
 
 
 def raw_county(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,9 +259,7 @@ def landed(spark: SparkSession, grid: DataFrame) -> DataFrame:
 
 
 def raw_timeliness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Landed, as the published sheets are: a filter on the name of a sheet that is still a
-    # plan would reach down to the lines it is made of.
-    return raw.timeliness_medicaid(landed(spark, timeliness_sheets(spark, sf_dir)))
+    return raw.timeliness_medicaid(timeliness_sheets(spark, sf_dir))
 
 
 RAW_TIMELINESS = f"""
@@ -253,7 +269,8 @@ WHERE report_month >= epoch_us(TIMESTAMP '2019-07-01')
 
 
 def raw_mco(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.mco_enrollment_by_sda(mco_sheets(spark, sf_dir))
+    grid, frame = mco_sheets(spark, sf_dir)
+    return raw.mco_enrollment_by_sda(grid, frame=frame)
 
 
 _MCO_FILE = f"'mco-' || CAST(l_suppkey // {SUPPLIERS_PER_SHEET} AS VARCHAR) || '.xlsx'"
@@ -267,12 +284,14 @@ FROM ({MCO_CELLS})
 
 def block_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bare decoder: total rows stay, names and values are still cell text."""
+    grid, frame = mco_sheets(spark, sf_dir)
     cells = decode_blocks(
-        mco_sheets(spark, sf_dir),
+        grid,
         header_row=raw.MCO_HEADER_ROW,
         first_row=raw.MCO_FIRST_ROW,
-        end_row=raw.MCO_END_ROW,
         labels=raw.MCO_ROW_LABELS,
+        closing=raw.MCO_CLOSING,
+        frame=frame,
         block="name",
         column="brand",
         value="value",
@@ -316,27 +335,59 @@ SELECT *, count(*) OVER () AS n_loaded, true AS audited FROM ({SERIES_TREND})
 
 
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows loaded and skipped per sheet, for both tables that come from many sheets."""
-    counties = raw.county_report(county_sheets(spark, sf_dir))
-    timeliness = raw.timeliness_report(landed(spark, timeliness_sheets(spark, sf_dir)))
-    return counties.unionByName(timeliness)
+    """Rows loaded and not, and why, per sheet of all six tables."""
+    series = {
+        "enrollment_by_risk_group": risk_group_sheet,
+        "chip_enrollment_detail": chip_sheet,
+        "htw_enrollment": htw_sheet,
+    }
+    reports = [raw.REPORTS[name](sheet(spark, sf_dir)[0]) for name, sheet in series.items()]
+    reports.append(raw.county_report(county_sheets(spark, sf_dir)))
+    reports.append(raw.timeliness_report(timeliness_sheets(spark, sf_dir)))
+    reports.append(raw.mco_report(mco_sheets(spark, sf_dir)[0]))
+    return reduce(DataFrame.unionByName, reports)
 
 
 _SPELLED = "['" + "', '".join(MONTH_IN_NAME) + "'][month(day)] || '-' || year(day) || '.xlsx'"
+_TIMELINESS_FILE = (
+    "CASE WHEN day < DATE '2019-07-01' THEN 'timeliness-summary-' ELSE 'timeliness-medicaid-' END || "
+    + _SPELLED
+)
+
+
+def _series_lines(table_name: str, file: str, months: str) -> str:
+    return f"""
+SELECT '{table_name}' AS "table", '{file}' AS file, 'loaded' AS status,
+  (SELECT count(*) FROM ({months})) AS n_rows, '' AS message
+UNION ALL SELECT '{table_name}', '{file}', 'skipped', 1, 'no date in the month cell'"""
+
+
 FILE_REPORT = f"""
 WITH c AS (SELECT day, count(*) AS n FROM ({COUNTY_MONTHS}) GROUP BY ALL),
-t AS (SELECT day, count(*) AS n FROM ({TIMELINESS_MONTHS}) GROUP BY ALL)
-SELECT 'enrollment_by_county' AS "table", 'enrollment-by-county-final-' || {_SPELLED} AS file,
-  'loaded' AS status, n AS n_rows, '' AS message FROM c
-UNION ALL
-SELECT 'enrollment_by_county', 'enrollment-by-county-final-' || {_SPELLED}, 'skipped', 1,
-  'not 11 columns' FROM c
-UNION ALL
-SELECT 'timeliness_medicaid',
-  CASE WHEN day < DATE '2019-07-01' THEN 'timeliness-summary-' ELSE 'timeliness-medicaid-' END
-    || {_SPELLED},
-  CASE WHEN day < DATE '2019-07-01' THEN 'skipped' ELSE 'loaded' END, n,
-  CASE WHEN day < DATE '2019-07-01' THEN 'no month in the name' ELSE '' END FROM t
+t AS (
+  SELECT day, count(*) FILTER (WHERE region = 'TOTAL') AS totals, count(*) AS n
+  FROM ({TIMELINESS_MONTHS}) GROUP BY ALL
+),
+-- Lines stand from the row under the header on; the first of them is directly under it.
+u AS (
+  SELECT *, {_TIMELINESS_FILE} AS file, day >= DATE '2019-07-01' AS dated FROM t
+)
+{_series_lines("enrollment_by_risk_group", "risk-group.xlsx", RISK_GROUP_MONTHS)}
+UNION ALL {_series_lines("chip_enrollment_detail", "chip.xlsx", CHIP_MONTHS)}
+UNION ALL {_series_lines("htw_enrollment", "htw.xlsx", HTW_MONTHS)}
+UNION ALL SELECT 'enrollment_by_county', 'enrollment-by-county-final-' || {_SPELLED},
+  unnest(['loaded', 'skipped', 'skipped']), unnest([n, 3, 1]),
+  unnest(['', 'no county code', 'not 11 columns']) FROM c
+UNION ALL SELECT 'timeliness_medicaid', file, 'skipped', n + 2, 'no month in the name'
+  FROM u WHERE NOT dated
+UNION ALL SELECT 'timeliness_medicaid', file, 'loaded', n - totals, '' FROM u WHERE dated
+UNION ALL SELECT 'timeliness_medicaid', file, 'skipped', totals + 2, 'total row'
+  FROM u WHERE dated
+UNION ALL SELECT 'mco_enrollment_by_sda', {_MCO_FILE}, 'loaded', count(*), '' FROM (
+    SELECT DISTINCT l_suppkey, sub_program FROM ({MCO_CELLS})
+    UNION ALL SELECT s_suppkey, 'TOTAL' FROM supplier) AS l GROUP BY ALL
+UNION ALL SELECT DISTINCT 'mco_enrollment_by_sda', {_MCO_FILE}, 'skipped', 1,
+  'after the last block' FROM (SELECT s_suppkey AS l_suppkey FROM supplier)
 """
 
 QUERIES = {

@@ -66,3 +66,12 @@ def div0(top: str, bottom: str) -> str:
         f"WHEN ({bottom}) = 0 THEN 0.0 "
         f"ELSE CAST(({top}) AS DOUBLE) / CAST(({bottom}) AS DOUBLE) END)"
     )
+
+
+def supplied_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity by supplier and part: a busy part is one row per supplier before it is joined."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_suppkey", "l_partkey")
+        .agg(F.sum("l_quantity").alias("quantity"))
+    )

@@ -12,13 +12,16 @@ from caseload.plans.staging import RISK_GROUP_CATEGORIES
 from caseload.session import shared_folder
 from caseload.sources import grid as landing
 from caseload.sources import sinks
-from landing import land_all, months, write
+from landing import MONTHS, PLANS, land_all, months, write
 
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     report = load_raw(spark, land_all(tmp_path_factory.mktemp("landing"))).collect()
-    return {(r.table, r.file, r.status): r for r in report}
+    lines = {}
+    for r in report:
+        lines.setdefault((r.table, r.file, r.status), []).append(r)
+    return lines
 
 
 @pytest.fixture(scope="module")
@@ -27,21 +30,38 @@ def built(spark, loaded):
 
 
 def test_load_report(loaded):
-    rows = {table: r.n_rows for (table, file, status), r in loaded.items() if file is None}
+    rows = {table: rs[0].n_rows for (table, file, _), rs in loaded.items() if file is None}
+    plan_cells = sum(1 if b == 4 else 4 for b in range(PLANS))
     assert rows == {
-        "enrollment_by_risk_group": 138,
-        "chip_enrollment_detail": 138,
-        "htw_enrollment": 138,
+        "enrollment_by_risk_group": MONTHS,
+        "chip_enrollment_detail": MONTHS,
+        "htw_enrollment": MONTHS,
         "enrollment_by_county": 3 * 255,
-        "timeliness_medicaid": 4 * 2 * 10,
-        "mco_enrollment_by_sda": 7 * (19 * 4 + 1),
+        "timeliness_medicaid": 4 * 2 * 45,
+        "mco_enrollment_by_sda": 7 * plan_cells,
+    }
+
+
+def test_every_row_under_a_header_is_reported(loaded):
+    lines = {}
+    for (_, file, _), rs in loaded.items():
+        if file:
+            lines.setdefault(file, {}).update({r.message: r.n_rows for r in rs})
+    assert lines["monthly-enrollment-by-risk-group.jsonl"] == {
+        "": MONTHS, "blank row": 1, "no date in the month cell": 1,
+    }
+    assert lines["chip-enrollment-detail.jsonl"] == {"": MONTHS, "no date in the month cell": 1}
+    assert lines["htw.jsonl"] == {"": MONTHS, "no date in the month cell": 1}
+    county = "medicaid-enrollment-by-county-final-"
+    assert lines[f"{county}may-2024.jsonl"] == {"": 255, "no county code": 4, "blank row": 1}
+    assert lines[f"{county}july-2024.jsonl"] == {"not 11 columns": 1}
+    assert lines["timeliness-medicaid-jan-2025.jsonl"] == {
+        "": 90, "directly under the header": 2, "total row": 2, "after the total row": 2,
+    }
+    assert lines["timeliness-notes.jsonl"] == {"no month in the name": 2}
+    assert lines["mco-enrollment-by-sda-final-sfy25.jsonl"] == {
+        "": 10 * PLANS, "after the last block": 2,
     }
-    per_file = {(f, s): (r.n_rows, r.message) for (t, f, s), r in loaded.items() if f}
-    narrow = "medicaid-enrollment-by-county-final-july-2024.jsonl"
-    assert per_file[(narrow, "skipped")] == (1, "not 11 columns")
-    assert per_file[("timeliness-notes.jsonl", "skipped")] == (1, "no month in the name")
-    assert per_file[("timeliness-medicaid-jan-2025.jsonl", "loaded")] == (22, "")
-    assert per_file[("medicaid-enrollment-by-county-final-may-2024.jsonl", "loaded")] == (255, "")
 
 
 def test_raw_risk_groups(spark, loaded):
@@ -57,6 +77,7 @@ def test_raw_timeliness_by_header_name(spark, loaded):
     raw = spark.table("RAW.timeliness_medicaid")
     assert raw.where("region = 'TOTAL'").count() == 0
     assert raw.where("region is null").count() == 8
+    assert raw.where("region = 'all regions' or region like '*%'").count() == 0
     assert raw.where("is_geographic_region").select("region").distinct().count() == 4
     for row in raw.where("region = '01'").collect():
         assert row.disposed == 100.0 and row.percent == row.timely / row.disposed
@@ -64,19 +85,19 @@ def test_raw_timeliness_by_header_name(spark, loaded):
 
 def test_raw_plan_names(spark, loaded):
     raw = spark.table("RAW.mco_enrollment_by_sda")
-    assert raw.select("mco_name").distinct().count() == 20
+    assert raw.select("mco_name").distinct().count() == PLANS
     assert raw.where("mco_name = 'Plan 4'").count() == 7
     assert raw.where("program = 'TOTAL' or sub_program = 'TOTAL'").count() == 0
 
 
 def test_mart_sizes(built):
     assert built == {
-        "mart_enrollment_trends": 1380,
+        "mart_enrollment_trends": 10 * MONTHS,
         "mart_enrollment_by_county": 3 * 255 * 8,
-        "mart_timeliness_performance": 4 * 2 * 6,
-        "mart_chip_enrollment": 138,
-        "mart_htw_caseload": 138,
-        "mart_mco_enrollment": 7 * (19 * 4 + 1),
+        "mart_timeliness_performance": 4 * 2 * (6 + 35),
+        "mart_chip_enrollment": MONTHS,
+        "mart_htw_caseload": MONTHS,
+        "mart_mco_enrollment": 7 * sum(1 if b == 4 else 4 for b in range(PLANS)),
     }
 
 
@@ -106,9 +127,8 @@ def test_county_mart(spark, built):
 
 def test_timeliness_mart(spark, built):
     mart = spark.table("MARTS.mart_timeliness_performance").where("record_type = 'applications'")
-    assert {r.region for r in mart.select("region").distinct().collect()} == {
-        "01", "02/09", "03", "04", "05", "VIC",
-    }
+    regions = {r.region for r in mart.select("region").distinct().collect()}
+    assert regions == {"01", "02/09", "03", "04", "05", "VIC", *(f"R{i}" for i in range(35))}
     series = mart.where("region = '01'").orderBy("report_month").collect()
     ratios = [0.80, 0.81, 0.82, 0.83]
     assert [r.pct_timely for r in series] == ratios
@@ -132,7 +152,7 @@ def test_htw_mart(spark, built):
     mart = spark.table("MARTS.mart_htw_caseload").orderBy("report_month").collect()
     switch = [r for r in mart if r.report_month == date(2025, 8, 1)][0]
     assert (switch.count_methodology, switch.mom_change_caseload) == ("average_daily_caseload", 1.5)
-    assert len(months(138)) == len(mart)
+    assert len(months(MONTHS)) == len(mart)
 
 
 def test_plan_shares(spark, built):
@@ -150,7 +170,7 @@ def test_declared_checks(spark, built):
     # Region 05 disposes of nothing, so its staged percentage is missing in each month and type.
     failed = [(r.dataset, r.check, r.column, r.n_failed) for r in report if not r.passed]
     assert failed == [("stg_timeliness_medicaid", "not_null_where", "pct_timely", 8)]
-    assert {r.n_rows for r in report if r.dataset == "mart_enrollment_trends"} == {1380}
+    assert {r.n_rows for r in report if r.dataset == "mart_enrollment_trends"} == {10 * MONTHS}
 
 
 def test_unknown_month_fails_the_table_and_not_the_others(spark, tmp_path):
@@ -160,7 +180,7 @@ def test_unknown_month_fails_the_table_and_not_the_others(spark, tmp_path):
     with pytest.raises(RuntimeError, match="enrollment_by_county"):
         load_raw(spark, kept, namespace="raw_failing")
     report = load_raw(spark, kept, namespace="raw_failing", tolerate=True).collect()
-    assert {(r.table, r.status) for r in report} == {
+    assert {(r.table, r.status) for r in report if r.file is None} == {
         ("enrollment_by_county", "failed"),
         ("htw_enrollment", "loaded"),
     }

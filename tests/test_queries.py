@@ -6,12 +6,21 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from caseload.workload import REGISTERED
 from compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def queries():
+    return {name: query for name, (query, _) in REGISTERED.items()}
+
+
+def oracle_sql():
+    return {name: sql for name, (_, sql) in REGISTERED.items() if sql}
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)

@@ -42,11 +42,6 @@ def test_keep_numeric_key(spark):
     assert sorted(r.k for r in rows.keep_numeric_key(df, "k").collect()) == [1, 255]
 
 
-def test_rows_between(spark):
-    grid = sheet(spark, [(i, ["x"]) for i in range(10)])
-    assert sorted(r.row_idx for r in rows.rows_between(grid, 3, 5).collect()) == [3, 4, 5]
-
-
 def test_wide_to_long_drops_missing_cells_and_unlisted_totals(spark):
     df = spark.createDataFrame([(1, 9.0, 4.0, 5.0), (2, 3.0, 3.0, None)], "id INT, total DOUBLE, a DOUBLE, b DOUBLE")
     long = wide_to_long(df, ["id"], ["a", "b"], "name", "value")
@@ -63,11 +58,17 @@ def test_union_by_name_fills_missing_columns(spark):
     assert {tuple(r) for r in union_by_name(a, b).collect()} == {(1, "x", None), (2, None, 2.5)}
 
 
-def test_sections_may_overlap(spark):
-    grid = sheet(spark, [(i, [str(i)]) for i in range(6)])
-    out = stack_sections(grid, {"a": (0, 1, 3), "b": (2, 3, 4)}, "tag")
-    got = {(r.tag, r.row_idx, r.header_row) for r in out.collect()}
-    assert got == {("a", 1, 0), ("a", 2, 0), ("a", 3, 0), ("b", 3, 2), ("b", 4, 2)}
+def test_sections_go_on_to_their_last_total_or_the_next_header(spark):
+    rows = ["title", "Region", "gap", "a", "TOTAL", "b", "TOTAL", "note", "region", "gap", "c", "d", "Region", "gap", "e"]
+    grid = sheet(spark, [(i, [None, text]) for i, text in enumerate(rows)])
+    out = stack_sections(grid, ["one", "two"], "region", name="tag")
+    got = {(r.tag, r.row_idx, r.header_row, r.reason) for r in out.collect()}
+    assert got == {
+        ("one", 2, 1, "directly under the header"), ("one", 3, 1, None), ("one", 4, 1, "total row"),
+        ("one", 5, 1, None), ("one", 6, 1, "total row"), ("one", 7, 1, "after the total row"),
+        ("two", 9, 8, "directly under the header"), ("two", 10, 8, None), ("two", 11, 8, None),
+        (None, 13, 12, "a table too many"), (None, 14, 12, "a table too many"),
+    }
 
 
 def test_cells_by_name_in_sheets_of_different_order(spark):
@@ -102,7 +103,7 @@ def test_decode_blocks(spark):
         ],
     )
     out = decode_blocks(
-        grid, header_row=1, first_row=2, end_row=8, labels=LABELS, block="n", column="c", value="v"
+        grid, header_row=1, first_row=2, closing="All", labels=LABELS, block="n", column="c", value="v"
     )
     assert {tuple(r)[2:] for r in out.collect()} == {
         ("A\nCo", "TOTAL", "east", "3"),
@@ -121,9 +122,34 @@ def test_decode_blocks_keeps_sheets_apart(spark):
 
     grid = sheet(spark, lines("e1", "A", "1"), "x").union(sheet(spark, lines("e2", "B", "2"), "y"))
     out = decode_blocks(
-        grid, header_row=1, first_row=2, end_row=5, labels=LABELS, block="n", column="c", value="v"
+        grid, header_row=1, first_row=2, labels=LABELS, block="n", column="c", value="v"
     )
     assert {(r.source_file, r.n, r.c, r.v) for r in out.collect()} == {
         ("x", "A", "e1", "1"),
         ("y", "B", "e2", "2"),
     }
+
+
+def test_a_sheet_of_ten_thousand_blocks(spark):
+    blocks = spark.range(10_000).selectExpr(
+        "CAST(id AS STRING) AS name",
+        "inline(transform(array(0, 1, 2), o -> struct(CAST(2 + 3 * id + o AS INT) AS row_idx, o)))",
+    )
+    data = blocks.selectExpr(
+        "'s' AS source_path", "'s' AS source_file", "row_idx",
+        "array(if(o = 0, name, 'x'), CAST(o AS STRING), '9') AS cells",
+    )
+    frame = sheet(spark, [(1, [None, "east", "T"]), (30_002, ["All", "1", "1"]), (30_003, ["z", "1", "1"])], "s")
+    out = decode_blocks(
+        data.unionByName(frame), header_row=1, first_row=2, closing="All", labels=LABELS, block="n", column="c", value="v"
+    )
+    assert out.count() == 30_000
+    assert out.selectExpr("count(DISTINCT n) AS n").first().n == 10_000
+    assert {tuple(r)[2:] for r in out.where("n = '777'").collect()} == {
+        ("777", "TOTAL", "east", "0"), ("777", "one", "east", "1"), ("777", "two", "east", "2"),
+    }
+
+
+def test_a_key_out_of_range_is_no_key(spark):
+    df = spark.createDataFrame([("1",), ("1e30",), ("-1e30",), ("9e18",)], "k STRING")
+    assert sorted(r.k for r in rows.keep_numeric_key(df, "k").collect()) == [1, 9 * 10**18]
