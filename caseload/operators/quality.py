@@ -1,7 +1,7 @@
 """Declared data checks, run as one aggregation per dataset and reported as rows.
 
-A report has the columns (dataset, check, column, n_rows, n_failed, passed). All checks that
-look at one row at a time share a single pass over the dataset.
+A report has the columns (dataset, check, column, n_rows, n_failed, passed). All checks of a dataset
+share a single read of it.
 """
 
 from __future__ import annotations
@@ -50,6 +50,13 @@ class ShareCheck:
     tolerance: float = 1e-9
 
 
+@dataclass(frozen=True)
+class SingleValueCheck:
+    """Fails by the number of values beyond the first; missing values are ignored."""
+
+    column: str
+
+
 @dataclass(frozen=True)
 class RowCountCheck:
     """Fails by the number of rows missing or in excess."""
@@ -57,7 +64,7 @@ class RowCountCheck:
     expected: int
 
 
-Check = RowCheck | UniqueCheck | RelationCheck | ShareCheck | RowCountCheck
+Check = RowCheck | UniqueCheck | RelationCheck | ShareCheck | SingleValueCheck | RowCountCheck
 
 
 def not_null(column: str, where: Column | None = None) -> RowCheck:
@@ -89,27 +96,64 @@ def shares_sum_to_one(column: str, *keys: str, tolerance: float = 1e-9) -> Share
     return ShareCheck(column, keys, tolerance)
 
 
+def single_value(column: str) -> SingleValueCheck:
+    return SingleValueCheck(column)
+
+
 def row_count(expected: int) -> RowCountCheck:
     return RowCountCheck(expected)
 
 
 def run_checks(df: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFrame:
-    """The report of one dataset."""
-    by_row = [c for c in checks if isinstance(c, RowCheck | RowCountCheck)]
-    parts = [_one_pass(df, by_row)] if by_row else []
-    for check in checks:
-        if isinstance(check, UniqueCheck):
-            parts.append(_unique(df, check))
-        elif isinstance(check, RelationCheck):
-            parts.append(_relationship(df, check))
-        elif isinstance(check, ShareCheck):
-            parts.append(_shares(df, check))
-    return (
-        reduce(DataFrame.unionByName, parts)
-        .withColumn("dataset", F.lit(dataset))
-        .withColumn("passed", F.col("n_failed") == 0)
-        .select(*REPORT)
+    """The report of one dataset, from one read of it.
+
+    Rows are first counted by each key that a check asks for (grouping sets, with map-side
+    combine), together with the failures of all checks that look at one row at a time. A frequent
+    key is one row by the time it is joined to a parent or counted as a duplicate.
+    """
+    keys = list(dict.fromkeys(k for c in checks if (k := _keys(c))))
+    failures = {
+        f"__f{i}": F.count_if(c.failing) for i, c in enumerate(checks) if isinstance(c, RowCheck)
+    }
+    shares = {
+        f"__f{i}": F.sum(c.column) for i, c in enumerate(checks) if isinstance(c, ShareCheck)
+    }
+    sums = [F.count(F.lit(1)).alias("__n")]
+    sums += [e.alias(name) for name, e in (failures | shares).items()]
+    columns = list(dict.fromkeys(c for k in keys for c in k))
+    if len(keys) > 1:
+        sets = [[F.col(c) for c in key] for key in keys]
+        grouped = df.groupingSets(sets, *columns).agg(*sums, F.grouping_id().alias("__set"))
+    else:
+        grouped = df.groupBy(*columns).agg(*sums).withColumn("__set", F.lit(0))
+    # The set of a key, as Spark numbers it: a bit for each column that is not in it.
+    number = {
+        key: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in key) for key in keys
+    }
+    first = F.col("__set") == (number[keys[0]] if keys else 0)
+    lines = []
+    for i, check in enumerate(checks):
+        rows = F.col("__set") == number[key] if (key := _keys(check)) else first
+        if isinstance(check, RelationCheck):
+            grouped = _with_parent(grouped, check, rows, f"__f{i}")
+        lines.append((check, rows, _failed(check, rows, f"__f{i}")))
+    counted = grouped.agg(
+        *[_total(rows, "__n").alias(f"n{i}") for i, (_, rows, _) in enumerate(lines)],
+        *[failed.alias(f"f{i}") for i, (_, _, failed) in enumerate(lines)],
     )
+    report = F.array(
+        *[
+            F.struct(
+                F.lit(dataset).alias("dataset"),
+                *_label(check),
+                F.col(f"n{i}").alias("n_rows"),
+                F.col(f"f{i}").alias("n_failed"),
+                (F.col(f"f{i}") == 0).alias("passed"),
+            )
+            for i, (check, _, _) in enumerate(lines)
+        ]
+    )
+    return counted.select(F.inline(report)).select(*REPORT)
 
 
 def run_all(datasets: Mapping[str, tuple[DataFrame, Sequence[Check]]]) -> DataFrame:
@@ -123,59 +167,69 @@ def offending_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.where(~F.col(column).isin(list(values))).groupBy(column).count()
 
 
-def _one_pass(df: DataFrame, checks: Sequence[RowCheck | RowCountCheck]) -> DataFrame:
-    rows = F.count(F.lit(1))
-    named = [
-        ("row_count", "", F.abs(rows - check.expected))
-        if isinstance(check, RowCountCheck)
-        else (check.check, check.column, F.count_if(check.failing))
-        for check in checks
-    ]
-    counted = df.agg(
-        rows.alias("n_rows"), *[failed.alias(f"f{i}") for i, (_, _, failed) in enumerate(named)]
-    )
-    lines = [
-        F.struct(*_label(check, [column]), F.col(f"f{i}").alias("n_failed"))
-        for i, (check, column, _) in enumerate(named)
-    ]
-    return counted.select("n_rows", F.inline(F.array(*lines)))
-
-
-def _unique(df: DataFrame, check: UniqueCheck) -> DataFrame:
-    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in check.columns])
-    sizes = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.count_if(keyed & (F.col("n") > 1)).alias("n_failed"),
-    ).select(*_label("unique", check.columns), "n_rows", "n_failed")
-
-
-def _relationship(df: DataFrame, check: RelationCheck) -> DataFrame:
-    # Counting the rows of each key first keeps a frequent key from filling a join task.
-    aliases = [f"__k{i}" for i in range(len(check.columns))]
-    sizes = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).toDF(*aliases, "n")
-    known = check.parent.select(*check.parent_columns).distinct().toDF(*aliases)
-    found = sizes.join(known.withColumn("__found", F.lit(True)), aliases, "left")
-    keyed = reduce(Column.__and__, [F.col(a).isNotNull() for a in aliases])
-    orphan = F.when(keyed & F.col("__found").isNull(), F.col("n")).otherwise(0)
-    return found.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(orphan), F.lit(0)).alias("n_failed"),
-    ).select(*_label("relationship", check.columns), "n_rows", "n_failed")
-
-
-def _shares(df: DataFrame, check: ShareCheck) -> DataFrame:
-    sums = df.groupBy(*check.keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(check.column).alias("share")
-    )
-    return sums.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.count_if(F.abs(F.col("share") - 1) > check.tolerance).alias("n_failed"),
-    ).select(*_label("shares_sum_to_one", [check.column]), "n_rows", "n_failed")
+def _keys(check: Check) -> tuple[str, ...]:
+    """The columns that a check counts by."""
+    if isinstance(check, UniqueCheck | RelationCheck):
+        return check.columns
+    if isinstance(check, SingleValueCheck):
+        return (check.column,)
+    return check.keys if isinstance(check, ShareCheck) else ()
+
+
+def _total(rows: Column, name: str) -> Column:
+    return F.coalesce(F.sum(F.when(rows, F.col(name))), F.lit(0)).cast("bigint")
+
+
+def _present(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
 
-def _label(check: str, columns: Sequence[str]) -> list[Column]:
-    return [F.lit(check).alias("check"), F.lit(", ".join(columns)).alias("column")]
+def _failed(check: Check, rows: Column, name: str) -> Column:
+    """The number that a check reports as failed, over the counted groups."""
+    if isinstance(check, RowCheck):
+        return _total(rows, name)
+    if isinstance(check, RowCountCheck):
+        return F.abs(_total(rows, "__n") - check.expected)
+    if isinstance(check, UniqueCheck):
+        return F.count_if(rows & _present(check.columns) & (F.col("__n") > 1))
+    if isinstance(check, SingleValueCheck):
+        return F.greatest(F.count_if(rows & _present([check.column])) - 1, F.lit(0))
+    if isinstance(check, RelationCheck):
+        return _total(rows & _present(check.columns) & F.col(name).isNull(), "__n")
+    return F.count_if(rows & (F.abs(F.col(name) - 1) > check.tolerance))
+
+
+def _with_parent(grouped: DataFrame, check: RelationCheck, rows: Column, name: str) -> DataFrame:
+    """Mark the groups whose key is in the parent.
+
+    Groups of other keys have no key here. They are joined by a hash of their own, which spreads
+    them over the tasks.
+    """
+    aliases = [f"{name}_{i}" for i in range(len(check.columns))]
+    parent = check.parent.select(*check.parent_columns).distinct().toDF(*aliases)
+    parent = parent.withColumns({f"{name}_hash": F.xxhash64(*aliases), name: F.lit(True)})
+    own = F.when(rows, F.xxhash64(*check.columns)).otherwise(
+        F.xxhash64(F.lit("other"), *[c for c in grouped.columns if not c.startswith("__f")])
+    )
+    same = own == F.col(f"{name}_hash")
+    for column, alias in zip(check.columns, aliases):
+        same = same & (F.col(column) == F.col(alias))
+    return grouped.join(parent, same, "left").drop(*aliases, f"{name}_hash")
+
+
+def _label(check: Check) -> list[Column]:
+    if isinstance(check, RowCheck):
+        kind, columns = check.check, [check.column]
+    elif isinstance(check, RowCountCheck):
+        kind, columns = "row_count", []
+    elif isinstance(check, ShareCheck):
+        kind, columns = "shares_sum_to_one", [check.column]
+    elif isinstance(check, SingleValueCheck):
+        kind, columns = "single_value", [check.column]
+    else:
+        kind = "unique" if isinstance(check, UniqueCheck) else "relationship"
+        columns = check.columns
+    return [F.lit(kind).alias("check"), F.lit(", ".join(columns)).alias("column")]
 
 
 def _names(columns: str | Sequence[str]) -> tuple[str, ...]:

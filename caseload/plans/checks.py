@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import Check, accepted_values, not_null, unique
+from ..operators.quality import (
+    Check,
+    accepted_values,
+    in_range,
+    not_null,
+    relationship,
+    shares_sum_to_one,
+    single_value,
+    unique,
+)
 
 # Columns that must be present, and the values that labels may take.
 AUDIT_COLUMN = "dbt_loaded_at"
@@ -92,6 +104,35 @@ GRAIN = {
     "stg_timeliness_medicaid": ["report_month", "region", "record_type"],
     "stg_mco_enrollment_by_sda": ["mco_name", "program", "sub_program", "sda"],
 }
+# What the documentation of the models says of them, beyond the declared checks: fractions that
+# lie between 0 and 1, shares that sum to one, marts whose keys are those of their staging
+# frame, and plans of one fiscal year.
+FRACTIONS = {
+    "mart_timeliness_performance": ["pct_timely", "src_percent"],
+    "mart_chip_enrollment": ["renewal_rate", "disenrollment_rate"],
+    "mart_mco_enrollment": ["mco_share_of_sda", "mco_share_of_program"],
+}
+SHARES = {
+    "mart_mco_enrollment": {
+        "mco_share_of_sda": ["program", "sub_program", "sda"],
+        "mco_share_of_program": ["program", "sub_program"],
+    },
+}
+ORIGINS = {
+    "mart_enrollment_trends": ("stg_enrollment_by_risk_group", ["report_month", "risk_group"]),
+    "mart_enrollment_by_county": (
+        "stg_enrollment_by_county", ["report_month", "county_code", "risk_group"],
+    ),
+    "mart_timeliness_performance": (
+        "stg_timeliness_medicaid", ["report_month", "region", "record_type"],
+    ),
+    "mart_chip_enrollment": ("stg_chip_enrollment", ["report_month"]),
+    "mart_htw_caseload": ("stg_htw_caseload", ["report_month"]),
+    "mart_mco_enrollment": (
+        "stg_mco_enrollment_by_sda", ["mco_name", "program", "sub_program", "sda"],
+    ),
+}
+SINGLE = {"mart_mco_enrollment": ["fiscal_year"]}
 
 
 def declared_checks(table: str, with_audit: bool = True) -> list[Check]:
@@ -109,3 +150,13 @@ def declared_checks(table: str, with_audit: bool = True) -> list[Check]:
 def grain_checks(table: str) -> list[Check]:
     """The composite key of a staging table, which the declared checks leave untested."""
     return [unique(*GRAIN[table])] if table in GRAIN else []
+
+
+def documented_checks(table: str, staged: Mapping[str, DataFrame]) -> list[Check]:
+    """What the documentation says of a mart; `staged` maps staging names to their frames."""
+    checks: list[Check] = [in_range(c, 0, 1) for c in FRACTIONS.get(table, [])]
+    checks += [shares_sum_to_one(c, *keys) for c, keys in SHARES.get(table, {}).items()]
+    if table in ORIGINS:
+        origin, keys = ORIGINS[table]
+        checks.append(relationship(keys, staged[origin], keys))
+    return checks + [single_value(c) for c in SINGLE.get(table, [])]

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import run_checks
+from ..operators.quality import Check, run_all
 from ..sources import grid as sheets
 from ..sources.sinks import (
     Outcome,
@@ -19,7 +19,7 @@ from ..sources.sinks import (
     with_audit_time,
 )
 from . import marts, raw, staging
-from .checks import AUDIT_COLUMN, declared_checks, grain_checks
+from .checks import AUDIT_COLUMN, declared_checks, documented_checks, grain_checks
 
 RAW = {
     "enrollment_by_risk_group": raw.enrollment_by_risk_group,
@@ -109,15 +109,14 @@ def build_models(
     return load_report(spark, outcomes)
 
 
+def model_checks(name: str, staged: Mapping[str, DataFrame]) -> list[Check]:
+    """The declared checks of a model, those of its grain, and what its documentation says."""
+    return [*declared_checks(name), *grain_checks(name), *documented_checks(name, staged)]
+
+
 def check_models(spark: SparkSession, *, mart_namespace: str = "marts") -> DataFrame:
-    """The report of all declared checks, and of the grain of the staging views."""
+    """The report of all checks on the staging views and the mart tables."""
     target = target_namespace(mart_namespace, "default")
-    reports = [
-        run_checks(spark.table(name), name, [*declared_checks(name), *grain_checks(name)])
-        for name in STAGING
-    ]
-    reports += [
-        run_checks(spark.table(f"`{target}`.`{name}`"), name, declared_checks(name))
-        for name in MARTS
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    staged = {name: spark.table(name) for name in STAGING}
+    models = staged | {name: spark.table(f"`{target}`.`{name}`") for name in MARTS}
+    return run_all({name: (df, model_checks(name, staged)) for name, df in models.items()})

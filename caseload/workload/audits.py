@@ -17,19 +17,21 @@ from ..operators.quality import (
     shares_sum_to_one,
     unique,
 )
+from ..plans import pipeline
 from ..plans.checks import (
     ACCEPTED,
     AUDIT_COLUMN,
+    FRACTIONS,
     GRAIN,
+    ORIGINS,
     REQUIRED,
     REQUIRED_IN_REGIONS,
+    SHARES,
+    SINGLE,
     UNIQUE,
-    declared_checks,
-    grain_checks,
 )
-from ..plans.pipeline import MARTS, RAW, STAGING
-from ..session import shared_folder
-from ..sources.sinks import publish_table, raise_failed, with_audit_time
+from ..plans.pipeline import MARTS, STAGING
+from ..sources.sinks import with_audit_time
 from .models import MART_SQL, STAGING_SQL
 from .raw_tables import raw_tables
 from .series import MARKET_SHARE, market_share
@@ -131,25 +133,14 @@ DQ_REPORT = _report(
 
 
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks, and those of the grain, on the twelve models.
-
-    The raw tables are published to the shared folder first, as in the batch: all models and
-    checks then read those, and the driver's tables are read once per raw table.
-    """
-    folder = shared_folder(spark)
-    outcomes = [
-        publish_table(raw_tables(spark, sf_dir, name), name, path=f"{folder}/{name}")
-        for name in RAW
-    ]
-    raise_failed(outcomes)
+    """All checks on the twelve models: declared, of the grain, and from the documentation."""
     staged = {
-        name: build(spark.read.parquet(f"{folder}/{source}"))
-        for name, (build, source) in STAGING.items()
+        name: build(raw_tables(spark, sf_dir, source)) for name, (build, source) in STAGING.items()
     }
     models = staged | {name: build(staged[source]) for name, (build, source) in MARTS.items()}
     return run_all(
         {
-            name: (with_audit_time(df, AUDIT_COLUMN), [*declared_checks(name), *grain_checks(name)])
+            name: (with_audit_time(df, AUDIT_COLUMN), pipeline.model_checks(name, staged))
             for name, df in models.items()
         }
     )
@@ -171,35 +162,53 @@ def _model_lines(name: str) -> list[str]:
     lines += [
         _line(name, "unique", ", ".join(k), model_of, _duplicates(model_of, k)) for k in keys
     ]
+    lines += [
+        _line(name, "in_range", c, model_of, _where(f"{c} < 0 OR {c} > 1"))
+        for c in FRACTIONS.get(name, [])
+    ]
+    lines += [_share_line(name, c, ", ".join(k), MODELS[name]) for c, k in SHARES.get(name, {}).items()]
+    if name in ORIGINS:
+        origin, keys = ORIGINS[name]
+        same = " AND ".join(f"o.{k} = m.{k}" for k in keys)
+        present = " AND ".join(f"m.{k} IS NOT NULL" for k in keys)
+        lines.append(
+            _line(name, "relationship", ", ".join(keys), f"{model_of} AS m",
+                  _where(f"{present} AND NOT EXISTS (SELECT 1 FROM ({MODELS[origin]}) AS o WHERE {same})"))
+        )
+    lines += [
+        _line(name, "single_value", c, model_of, f"greatest(count(DISTINCT {c}) - 1, 0)")
+        for c in SINGLE.get(name, [])
+    ]
     return lines
 
 
+def _share_line(dataset: str, column: str, keys: str, source: str) -> str:
+    sums = f"(SELECT count(*) AS n, sum({column}) AS share FROM ({source}) GROUP BY {keys})"
+    failed = _where("abs(share - 1) > 1e-9")
+    return _line(dataset, "shares_sum_to_one", column, sums, failed, "sum(n)")
+
+
 MODEL_CHECKS = _report([line for name in MODELS for line in _model_lines(name)])
 
 
 def shares_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shares of suppliers summed over what they are shares of, and checked to be one."""
-    shares = market_share(spark, sf_dir)
-    return run_all(
-        {
-            "type": (shares, [shares_sum_to_one("share_of_type", "p_brand", "p_type")]),
-            "brand": (shares, [shares_sum_to_one("share_of_brand", "p_brand")]),
-            "brand_by_type": (shares, [shares_sum_to_one("share_of_brand", "p_brand", "p_type")]),
-        }
-    )
+    """Shares of suppliers summed over what they are shares of, and checked to be one.
 
-
-def _share_line(dataset: str, column: str, keys: str) -> str:
-    sums = f"(SELECT count(*) AS n, sum({column}) AS share FROM ({MARKET_SHARE}) GROUP BY {keys})"
-    failed = _where("abs(share - 1) > 1e-9")
-    return _line(dataset, "shares_sum_to_one", column, sums, failed, "sum(n)")
+    The shares of brands are also summed over types, where they are not.
+    """
+    checks = [
+        shares_sum_to_one("share_of_type", "p_brand", "p_type"),
+        shares_sum_to_one("share_of_brand", "p_brand"),
+        shares_sum_to_one("share_of_brand", "p_brand", "p_type"),
+    ]
+    return run_all({"market_share": (market_share(spark, sf_dir), checks)})
 
 
 SHARES_SUM = _report(
     [
-        _share_line("type", "share_of_type", "p_brand, p_type"),
-        _share_line("brand", "share_of_brand", "p_brand"),
-        _share_line("brand_by_type", "share_of_brand", "p_brand, p_type"),
+        _share_line("market_share", "share_of_type", "p_brand, p_type", MARKET_SHARE),
+        _share_line("market_share", "share_of_brand", "p_brand", MARKET_SHARE),
+        _share_line("market_share", "share_of_brand", "p_brand, p_type", MARKET_SHARE),
     ]
 )
 

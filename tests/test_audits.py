@@ -60,6 +60,25 @@ def test_shares_sum_to_one(spark):
     assert results(report) == {("shares_sum_to_one", "s"): (5, 1, False)}
 
 
+def test_checks_of_every_kind_share_one_read(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 0.5, 7), (1, "a", 0.5, 7), (2, "b", 1.0, 8), (None, "b", None, None)],
+        "k INT, g STRING, s DOUBLE, y INT",
+    )
+    parent = spark.createDataFrame([(1,), (5,)], "k INT")
+    checks = [
+        quality.not_null("k"), quality.unique("k"), quality.unique("k", "g"),
+        quality.relationship("k", parent, "k"), quality.shares_sum_to_one("s", "g"),
+        quality.single_value("y"), quality.row_count(4), quality.relationship("g", df.limit(1), "g"),
+    ]
+    report = quality.run_checks(df, "d", checks).collect()
+    assert [(r.check, r.column, r.n_rows, r.n_failed) for r in report] == [
+        ("not_null", "k", 4, 1), ("unique", "k", 4, 1), ("unique", "k, g", 4, 1),
+        ("relationship", "k", 4, 1), ("shares_sum_to_one", "s", 4, 0),
+        ("single_value", "y", 4, 1), ("row_count", "", 4, 0), ("relationship", "g", 4, 2),
+    ]
+
+
 def test_checks_on_an_empty_dataset_pass(spark):
     df = spark.createDataFrame([], "k INT, s DOUBLE")
     checks = [

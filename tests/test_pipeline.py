@@ -166,7 +166,7 @@ def test_plan_shares(spark, built):
 
 def test_declared_checks(spark, built):
     report = check_models(spark).collect()
-    assert len(report) == 96 + 4
+    assert len(report) == 96 + 4 + 15
     # Region 05 disposes of nothing, so its staged percentage is missing in each month and type.
     failed = [(r.dataset, r.check, r.column, r.n_failed) for r in report if not r.passed]
     assert failed == [("stg_timeliness_medicaid", "not_null_where", "pct_timely", 8)]
@@ -214,3 +214,49 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(root) and second.startswith(root) and first != second
+
+
+PINNED = {
+    "stg_enrollment_by_risk_group": 6,
+    "stg_enrollment_by_county": 7,
+    "stg_chip_enrollment": 6,
+    "stg_htw_caseload": 5,
+    "stg_timeliness_medicaid": 11,
+    "stg_mco_enrollment_by_sda": 9,
+    "mart_enrollment_trends": 8,
+    "mart_enrollment_by_county": 11,
+    "mart_timeliness_performance": 11,
+    "mart_chip_enrollment": 7,
+    "mart_htw_caseload": 6,
+    "mart_mco_enrollment": 13,
+}
+
+
+def test_the_checks_of_each_model_are_pinned(spark, built):
+    """Counts of declared checks and grains, and all that the documentation adds."""
+    report = check_models(spark).collect()
+    added = {"in_range", "shares_sum_to_one", "relationship", "single_value"}
+    counts, documented = {}, set()
+    for r in report:
+        if r.check in added:
+            documented.add((r.dataset, r.check, r.column))
+        else:
+            counts[r.dataset] = counts.get(r.dataset, 0) + 1
+    assert counts == PINNED
+    assert documented == {
+        ("mart_timeliness_performance", "in_range", "pct_timely"),
+        ("mart_timeliness_performance", "in_range", "src_percent"),
+        ("mart_chip_enrollment", "in_range", "renewal_rate"),
+        ("mart_chip_enrollment", "in_range", "disenrollment_rate"),
+        ("mart_mco_enrollment", "in_range", "mco_share_of_sda"),
+        ("mart_mco_enrollment", "in_range", "mco_share_of_program"),
+        ("mart_mco_enrollment", "shares_sum_to_one", "mco_share_of_sda"),
+        ("mart_mco_enrollment", "shares_sum_to_one", "mco_share_of_program"),
+        ("mart_mco_enrollment", "single_value", "fiscal_year"),
+        ("mart_enrollment_trends", "relationship", "report_month, risk_group"),
+        ("mart_enrollment_by_county", "relationship", "report_month, county_code, risk_group"),
+        ("mart_timeliness_performance", "relationship", "report_month, region, record_type"),
+        ("mart_chip_enrollment", "relationship", "report_month"),
+        ("mart_htw_caseload", "relationship", "report_month"),
+        ("mart_mco_enrollment", "relationship", "mco_name, program, sub_program, sda"),
+    }
