@@ -2,9 +2,10 @@
 
 A *series* is a frame with one row per entity (`by` columns) and period, as a `groupBy` on
 those columns makes it. Its windows are then no longer than the calendar, however large the
-data behind it. For rows that are not grouped, pass `piece`: a column that grows with
-the period, so that each window holds one piece and not a whole series. `cut_evenly` makes
-one that no busy entity or hour can fill.
+data behind it. A frame of one series has no entities; `single_series` says that it is grouped.
+For rows that are not grouped, pass `piece`: a column that grows with the period, so that each
+window holds one piece and not a whole series. `cut_evenly` makes one that no busy entity, hour
+or moment can fill.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import column, ratio
-from ..session import shared_folder
 
 
 def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> WindowSpec:
@@ -24,16 +24,32 @@ def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> Window
     return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
 
 
-def cut_evenly(df: DataFrame, period: Sequence[str], name: str = "piece") -> DataFrame:
-    """Number the rows' ranges of the period order, ranges holding about as many rows each.
+def _below(name: str):
+    return lambda bound: bound < F.col(name)
 
-    There are as many ranges as shuffle partitions. The numbers hold for one run only, so
-    the frame is written to the shared folder and read from there, at once.
+
+def cut_evenly(
+    df: DataFrame, period: Sequence[str], name: str = "piece", pieces: int | None = None
+) -> DataFrame:
+    """Add the place of each row in the period order, in steps that hold about as many rows each.
+
+    The steps are approximate percentiles of the period's columns (by default one per shuffle
+    partition), computed by a subquery of the query that uses them: the place is a function of
+    the row alone. A first column equal to a percentile may be a busy moment, so such rows are
+    cut further by the next columns.
     """
-    folder = shared_folder(df.sparkSession)
-    ranges = df.repartitionByRange(*[F.asc(c) for c in period])
-    ranges.withColumn(name, F.spark_partition_id()).write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    n = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / n for i in range(1, n)] or [0.5]
+    bounds = {f"__bounds{i}": (c, F.percentile_approx(c, shares, 100 * n)) for i, c in enumerate(period)}
+    held = df.withColumns({b: df.agg(percentiles).scalar() for b, (_, percentiles) in bounds.items()})
+    below = {
+        b: F.size(F.filter(b, _below(c))) for b, (c, _) in bounds.items()
+    }
+    first, *rest = bounds
+    equal = F.coalesce(F.array_contains(first, F.col(period[0])), F.lit(False))
+    ties = [F.when(equal, below[b]).otherwise(0).alias(f"tie{b}") for b in rest]
+    place = F.struct(below[first].alias("below"), equal.alias("equal"), *ties)
+    return held.withColumn(name, place).drop(*bounds)
 
 
 def prior_values(
@@ -43,12 +59,14 @@ def prior_values(
     period: str | Sequence[str],
     by: Sequence[str] = (),
     piece: Column | None = None,
+    single_series: bool = False,
 ) -> DataFrame:
     """Add the values of the rows before, nearest first, one column per name.
 
     Rows are taken in period order within the same entity. It is the row before, not the
     calendar period before: a gap is stepped over.
     """
+    _require_bounded(by, piece, single_series)
     steps = range(1, len(names) + 1)
     if piece is None:
         window = series_window(period, by)
@@ -75,6 +93,14 @@ def prior_values(
     return marked.join(carried, "__piece", "left").select(*df.columns, *found)
 
 
+def _require_bounded(by: Sequence[str], piece: Column | None, single_series: bool) -> None:
+    if not by and piece is None and not single_series:
+        raise ValueError(
+            "one window would hold all rows: pass by or piece, or single_series=True for a frame "
+            "that is grouped to one row per period"
+        )
+
+
 def _rows_before_piece(
     keyed: DataFrame, value: str, rows: int, period: str | Sequence[str], by_entity: bool
 ) -> DataFrame:
@@ -133,9 +159,10 @@ def period_change(
     change: str = "mom_change",
     pct: str | None = "mom_change_pct",
     piece: Column | None = None,
+    single_series: bool = False,
 ) -> DataFrame:
     """Add the change against the row before, see `change_columns`."""
-    lagged = prior_values(df, value, ["__prior"], period, by, piece)
+    lagged = prior_values(df, value, ["__prior"], period, by, piece, single_series)
     return lagged.select(*df.columns, *change_columns(value, "__prior", change, pct))
 
 
@@ -148,8 +175,10 @@ def rolling_mean(
     *,
     rows: int = 3,
     piece: Column | None = None,
+    single_series: bool = False,
 ) -> DataFrame:
     """Add the mean over this row and the `rows - 1` before it, missing values left out."""
+    _require_bounded(by, piece, single_series)
     if piece is None:
         frame = series_window(period, by).rowsBetween(1 - rows, 0)
         return df.withColumn(name, F.avg(value).over(frame))
@@ -176,29 +205,38 @@ def share_of(
 
     The totals are joined null-safe and sum a conditional value instead of filtering: both
     keep Catalyst from pushing a filter of their own below them, so that `df` and its totals
-    read one and the same aggregate and Spark runs that only once. No side is hinted:
-    adaptive execution broadcasts totals that turn out small, and splits skewed groups
-    where they are not.
+    read one and the same aggregate and Spark runs that only once. Totals over some of another
+    share's keys are summed from that share's totals, and join the rows together with them. No
+    side is hinted: adaptive execution broadcasts totals that turn out small, and splits skewed
+    groups where they are not.
     """
-    out = df
-    for name, keys in shares.items():
+    def measure_of(name: str) -> Column:
+        limited = component is not None and (component_shares is None or name in component_shares)
+        return F.when(component, F.col(value)) if limited else F.col(value)
+
+    def share(name: str) -> Column:
+        present = [F.col(key).isNotNull() for key in shares[name]]
         limited = component is not None and (component_shares is None or name in component_shares)
-        measure = F.when(component, F.col(value)) if limited else F.col(value)
-        as_key = {key: f"__key{i}" for i, key in enumerate(keys)}
-        totals = (
-            df.groupBy(*keys).agg(F.sum(measure).alias("__total")).withColumnsRenamed(as_key)
-        )
-        same_group = [F.col(key).eqNullSafe(F.col(alias)) for key, alias in as_key.items()]
-        present = [F.col(key).isNotNull() for key in keys]
         if limited and mask_outside:
             present.append(component)
-        share = F.when(reduce(Column.__and__, present), ratio(value, "__total"))
-        out = (
-            out.join(totals, reduce(Column.__and__, same_group), "left")
-            .withColumn(name, share)
-            .drop("__total", *as_key.values())
-        )
-    return out
+        return F.when(reduce(Column.__and__, present), ratio(value, f"__total_{name}")).alias(name)
+
+    out, todo = df, list(shares)
+    while todo:
+        widest = max(todo, key=lambda name: len(shares[name]))
+        nested = [n for n in todo if set(shares[n]) <= set(shares[widest])]
+        todo = [n for n in todo if n not in nested]
+        keys = list(shares[widest])
+        as_key = {key: f"__key{i}" for i, key in enumerate(keys)}
+        totals = df.groupBy(*keys).agg(*[F.sum(measure_of(n)).alias(f"__total_{n}") for n in nested])
+        for n in nested:
+            if set(shares[n]) != set(keys):
+                coarser = F.sum(f"__total_{n}").over(Window.partitionBy(*shares[n]))
+                totals = totals.withColumn(f"__total_{n}", coarser)
+        totals = totals.withColumnsRenamed(as_key)
+        same = [F.col(key).eqNullSafe(F.col(alias)) for key, alias in as_key.items()]
+        out = out.join(totals, reduce(Column.__and__, same), "left").drop(*as_key.values())
+    return out.select(*df.columns, *map(share, shares))
 
 
 def variance_vs_reported(computed: Column | str, reported: Column | str) -> Column:
@@ -216,8 +254,9 @@ def stock_flow_variance(
     *,
     name: str = "caseload_reconciliation_variance_pct",
     piece: Column | None = None,
+    single_series: bool = False,
 ) -> DataFrame:
     """Add the part of a stock that the stock before and the flows do not explain."""
-    lagged = prior_values(df, stock, ["__prior"], period, by, piece)
+    lagged = prior_values(df, stock, ["__prior"], period, by, piece, single_series)
     implied = F.col("__prior") + F.col(inflow) - F.col(outflow)
     return lagged.withColumn(name, ratio(F.col(stock) - implied, stock)).drop("__prior")

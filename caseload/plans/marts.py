@@ -94,6 +94,7 @@ def mart_chip_enrollment(staging: DataFrame) -> DataFrame:
         "report_month",
         change="mom_change_caseload",
         pct="mom_change_pct_caseload",
+        single_series=True,
     )
     rated = changed.withColumns(
         {
@@ -102,7 +103,12 @@ def mart_chip_enrollment(staging: DataFrame) -> DataFrame:
         }
     )
     return stock_flow_variance(
-        rated, "chip_caseload", "new_enrollment", "disenrollment", "report_month"
+        rated,
+        "chip_caseload",
+        "new_enrollment",
+        "disenrollment",
+        "report_month",
+        single_series=True,
     )
 
 
@@ -114,17 +120,20 @@ def mart_htw_caseload(staging: DataFrame) -> DataFrame:
         "report_month",
         change="mom_change_caseload",
         pct="mom_change_pct_caseload",
+        single_series=True,
     )
 
 
-def mart_mco_enrollment(staging: DataFrame) -> DataFrame:
+def mart_mco_enrollment(staging: DataFrame, by_year: bool = False) -> DataFrame:
     """Each row's share of its service area and of its program.
 
-    Totals are not split by fiscal year: one year is loaded at a time.
+    Totals are split by fiscal year only with `by_year`; without it one year is loaded at a
+    time, and a check of the model fails where several meet.
     """
+    year = ["fiscal_year"] if by_year else []
     shares = {
-        "mco_share_of_sda": ["program", "sub_program", "sda"],
-        "mco_share_of_program": ["program", "sub_program"],
+        "mco_share_of_sda": [*year, "program", "sub_program", "sda"],
+        "mco_share_of_program": [*year, "program", "sub_program"],
     }
     return share_of(staging, "enrollment_avg", shares).select(
         "fiscal_year",

@@ -202,7 +202,12 @@ def stock_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     changed = period_change(
-        days, "caseload", "report_day", change="change_caseload", pct="change_pct_caseload"
+        days,
+        "caseload",
+        "report_day",
+        change="change_caseload",
+        pct="change_pct_caseload",
+        single_series=True,
     )
     rated = changed.withColumns(
         {
@@ -211,7 +216,9 @@ def stock_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
             "disenrollment_rate": ratio("disenrollment", "caseload"),
         }
     )
-    return stock_flow_variance(rated, "caseload", "new_enrollment", "disenrollment", "report_day")
+    return stock_flow_variance(
+        rated, "caseload", "new_enrollment", "disenrollment", "report_day", single_series=True
+    )
 
 
 STOCK_FLOW = f"""
@@ -253,6 +260,7 @@ def single_series_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "report_month",
         change="mom_change_caseload",
         pct="mom_change_pct_caseload",
+        single_series=True,
     )
 
 

@@ -47,7 +47,7 @@ def test_changes_of_a_series_sum_to_last_less_first(spark):
 
 
 def test_change_without_entities(spark):
-    out = period_change(frame(spark, [("a", 1, 2.0), ("b", 2, 3.0)]), "v", "t", pct=None)
+    out = period_change(frame(spark, [("a", 1, 2.0), ("b", 2, 3.0)]), "v", "t", pct=None, single_series=True)
     assert out.columns == ["g", "t", "v", "mom_change"]
     assert by_key(out, "t")[(2,)].mom_change == 1.0
 
@@ -89,13 +89,9 @@ def test_pieces_without_entities(spark):
 
 def test_even_pieces_split_a_busy_entity_and_moment(spark):
     rows = [("hot", 7, float(i)) for i in range(2000)] + [("b", i, float(i)) for i in range(50)]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        cut = cut_evenly(frame(spark, rows), ["t", "v"])
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    cut = cut_evenly(frame(spark, rows), ["t", "v"], pieces=8)
     sizes = [r["count"] for r in cut.groupBy("piece").count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 2 * len(rows) / 4
+    assert max(sizes) < 2 * len(rows) / 8
     out = prior_values(cut, "v", ["b"], ["t", "v"], ["g"], piece=F.col("piece"))
     got = {(r.g, r.v): r.b for r in out.collect()}
     assert got == {(g, v): v - 1 if v else None for g, _, v in rows}
@@ -188,11 +184,28 @@ def test_exact_flows_leave_no_variance(spark):
     for t in range(1, 20):
         stock += t - 2.0
         rows.append((t, stock, float(t), 2.0))
-    out = stock_flow_variance(frame(spark, rows, STOCK), "stock", "i", "o", "t", name="x")
+    out = stock_flow_variance(frame(spark, rows, STOCK), "stock", "i", "o", "t", name="x", single_series=True)
     assert {r.t: r.x for r in out.collect()} == {0: None, **{t: 0.0 for t in range(1, 20)}}
 
 
 def test_variance_of_inexact_flows(spark):
     rows = [(0, 100.0, 0.0, 0.0), (1, 80.0, 10.0, 20.0), (2, 0.0, 1.0, 1.0)]
-    out = stock_flow_variance(frame(spark, rows, STOCK), "stock", "i", "o", "t", name="x")
+    out = stock_flow_variance(frame(spark, rows, STOCK), "stock", "i", "o", "t", name="x", single_series=True)
     assert {r.t: r.x for r in out.collect()} == {0: None, 1: (80 - 90) / 80, 2: 0.0}
+
+
+def test_a_window_over_all_rows_must_be_asked_for(spark):
+    df = frame(spark, [("a", 1, 2.0)])
+    for run in (lambda: period_change(df, "v", "t"), lambda: rolling_mean(df, "v", "m", "t")):
+        with pytest.raises(ValueError, match="single_series"):
+            run()
+
+
+def test_shares_of_nested_totals_join_once(spark):
+    rows = [("a", 1, 1.0), ("a", 2, 3.0), ("b", 1, 4.0), (None, 1, 2.0)]
+    out = share_of(frame(spark, rows), "v", {"fine": ["g", "t"], "coarse": ["t"]})
+    assert {(r.g, r.t): (r.fine, r.coarse) for r in out.collect()} == {
+        ("a", 1): (1.0, 1 / 7), ("a", 2): (1.0, 1.0), ("b", 1): (1.0, 4 / 7), (None, 1): (None, 2 / 7),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
