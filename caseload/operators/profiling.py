@@ -43,18 +43,26 @@ def fractional_profile(
     return seen.select(F.inline(F.array(*lines)))
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """How often each value occurs, most frequent first; missing values are left out."""
-    present = df.where(F.col(column).isNotNull())
-    return group_sizes(present, column).orderBy(F.desc("count"), column)
+def value_counts(
+    df: DataFrame, column: str, *, weight: str | None = None, ordered: bool = True
+) -> DataFrame:
+    """How often each value occurs, most frequent first; missing values are left out.
+
+    `ordered=False` saves the sort where the result goes on into another frame.
+    """
+    counts = group_sizes(df.where(F.col(column).isNotNull()), column, weight=weight)
+    return counts.orderBy(F.desc("count"), column) if ordered else counts
 
 
-def group_sizes(df: DataFrame, *columns: str) -> DataFrame:
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("count"))
+def group_sizes(df: DataFrame, *columns: str, weight: str | None = None) -> DataFrame:
+    """Rows per group; `weight` is a column with the rows that each row stands for."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*columns).agg(rows.alias("count"))
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct().orderBy(column)
+def distinct_values(df: DataFrame, column: str, *, ordered: bool = True) -> DataFrame:
+    values = df.select(column).distinct()
+    return values.orderBy(column) if ordered else values
 
 
 def distinct_count(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
@@ -69,6 +77,24 @@ def describe_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column STRING, type STRING")
 
 
+def profile_columns(df: DataFrame) -> DataFrame:
+    """Columns, types, and how many rows have a value and how many none, in one pass."""
+    fields = df.schema.fields
+    counted = df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(f.name).alias(f"n{i}") for i, f in enumerate(fields)]
+    )
+    lines = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col(f"n{i}").alias("n_present"),
+            (F.col("rows") - F.col(f"n{i}")).alias("n_missing"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return counted.select(F.inline(F.array(*lines)))
+
+
 def last_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The last n rows in ascending order, without sorting the whole frame."""
     return df.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)

@@ -90,12 +90,15 @@ def build_models(
 ) -> DataFrame:
     """Offer the staging views over the raw tables and replace the mart tables.
 
-    Returns the load report of the marts and raises if one of them failed.
+    `only` names the marts to build; then only their views are offered. Returns the load report
+    of the marts and raises if one of them failed.
     """
     source = target_namespace(raw_namespace, "default")
+    needed = {view for name, (_, view) in MARTS.items() if only is None or name in only}
     staged = {
         name: build(spark.table(f"`{source}`.`{table}`"))
         for name, (build, table) in STAGING.items()
+        if name in needed
     }
     for name, frame in staged.items():
         publish_view(with_audit_time(frame, AUDIT_COLUMN), name)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from ..operators.quality import (
     accepted_values,
     in_range,
     not_null,
-    offending_values,
     relationship,
     row_count,
     run_all,
@@ -242,24 +243,28 @@ GROUP BY name
 
 
 def value_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frequencies, group sizes, distinct counts and values outside a list, of documents."""
+    """Frequencies, group sizes, distinct counts and values outside a list, of documents.
+
+    All but the distinct counts come from the sizes of the groups of both columns.
+    """
     documents = table(spark, sf_dir, "documents").select("lang", "source", "doc_id")
-    languages = profiling.value_counts(documents, "lang")
-    sources = profiling.distinct_values(documents, "source")
     groups = profiling.group_sizes(documents, "lang", "source")
+    languages = profiling.value_counts(groups, "lang", weight="count", ordered=False)
+    sources = profiling.distinct_values(groups.where("count > 0"), "source", ordered=False)
     distinct = profiling.distinct_count(documents, "lang", "source", "doc_id")
-    odd = offending_values(documents, "lang", ["en", "fr"])
+    odd = languages.where(~F.col("lang").isin("en", "fr"))
+    counts = F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in distinct.columns]
+    )
+    distinct = distinct.select(F.inline(counts))
     frames = [
         _profile("value_counts", languages, F.col("lang"), F.col("count")),
         _profile("distinct_values", sources, F.col("source"), F.lit(1).cast("bigint")),
         _profile("group_sizes", groups, F.concat_ws("/", "lang", "source"), F.col("count")),
-        *[_profile("distinct_count", distinct, F.lit(c), F.col(c)) for c in distinct.columns],
+        _profile("distinct_count", distinct, F.col("name"), F.col("n")),
         _profile("offending_values", odd, F.col("lang"), F.col("count")),
     ]
-    first, *rest = frames
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _profile(kind: str, df: DataFrame, value, count) -> DataFrame:
@@ -306,6 +311,27 @@ SELECT *, CAST(open_cents AS DOUBLE) / nullif(CAST(finished_cents AS DOUBLE), 0)
 ORDER BY report_month DESC LIMIT 15
 """
 
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of the lines, and how many rows have a value."""
+    return profiling.profile_columns(table(spark, sf_dir, "lineitem"))
+
+
+COLUMN_PROFILE = """
+WITH d AS (
+  SELECT column_name, CASE column_type
+      WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+      ELSE lower(column_type) END AS type
+  FROM (DESCRIBE SELECT * FROM lineitem)
+), n AS (
+  SELECT name, n_present FROM (SELECT count(COLUMNS(*)) FROM lineitem)
+  UNPIVOT (n_present FOR name IN (COLUMNS(*)))
+)
+SELECT column_name AS "column", type, n_present,
+  (SELECT count(*) FROM lineitem) - n_present AS n_missing
+FROM d JOIN n ON name = column_name
+"""
+
+
 def first_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the first twelve months, by month."""
     months = profiling.group_sizes(
@@ -327,6 +353,7 @@ QUERIES = {
     "shares_sum": (shares_sum, SHARES_SUM),
     "fractional_profile": (fractional_profile, FRACTIONAL_PROFILE),
     "value_profile": (value_profile, VALUE_PROFILE),
+    "column_profile": (column_profile, COLUMN_PROFILE),
     "ratio_last_n": (ratio_last_n, RATIO_LAST_N),
     "first_months": (first_months, FIRST_MONTHS),
 }

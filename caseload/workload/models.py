@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from ..functions.sql import register_sql_functions
-from ..plans.pipeline import MARTS, STAGING
+from ..plans.checks import AUDIT_COLUMN
+from ..plans.pipeline import MARTS, STAGING, build_models
 from ..plans.raw import COUNTY_CODE
-from ..sources.sinks import publish_view
+from ..sources.sinks import publish_table, publish_view, raise_failed, target_namespace
 from .raw_tables import RAW_SQL, raw_tables
 from .tables import div0
 
@@ -28,6 +32,7 @@ def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _DATE = "CAST(make_timestamp({}) AS DATE)"
+# Published column names.
 _COUNTY_VALUES = [
     "aged_and_medicare_related", "disability_related", "parents", "pregnant_women",
     "breast_and_cervical_cancer", "childrens_medicaid", "medicaid_clients_under_21",
@@ -176,9 +181,32 @@ FROM (SELECT *, lag(chip_caseload) OVER (ORDER BY report_month) AS before
 """
 
 
+def catalog_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart by way of the catalog: raw table, view and mart by name, in routed namespaces.
+
+    The namespaces are new ones, so nothing that a user has is replaced.
+    """
+    run = uuid.uuid4().hex
+    name, (_, view) = "mart_enrollment_trends", MARTS["mart_enrollment_trends"]
+    _, source = STAGING[view]
+    outcome = publish_table(
+        raw_tables(spark, sf_dir, source), source, namespace=f" raw_{run} ", audit_column="loaded_at"
+    )
+    raise_failed([outcome])
+    built = build_models(spark, raw_namespace=f"raw_{run}", mart_namespace=f"marts_{run}", only=[name])
+    loaded = spark.table(f"`{target_namespace(f'marts_{run}', 'default')}`.`{name}`")
+    return loaded.drop(AUDIT_COLUMN).withColumn("n_loaded", F.lit(built.first()["n_rows"]))
+
+
+CATALOG_MODELS = f"""
+SELECT *, count(*) OVER () AS n_loaded FROM ({MART_SQL["mart_enrollment_trends"]})
+"""
+
+
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: model(spark, sf_dir, name)
 
 
 QUERIES = {name: (_query(name), sql) for name, sql in {**STAGING_SQL, **MART_SQL}.items()}
+QUERIES["catalog_models"] = (catalog_models, CATALOG_MODELS)
 QUERIES["sql_rates"] = (sql_rates, SQL_RATES)
