@@ -65,10 +65,10 @@ Sheet = tuple[DataFrame, DataFrame]
 def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Column]) -> Sheet:
     """One sheet: all its rows, and the rows every such sheet has."""
     frame = spark.range(1).select(F.inline(F.array(*fixed)))
+    # A name that every row has, but no literal: sheets are joined by it.
+    file = F.when(F.col("row_idx") >= 0, F.lit(name))
     return tuple(
-        rows.select(
-            F.lit(name).alias("source_path"), F.lit(name).alias("source_file"), "row_idx", "cells"
-        )
+        rows.select(file.alias("source_path"), file.alias("source_file"), "row_idx", "cells")
         for rows in (data.select("row_idx", "cells").unionByName(frame), frame)
     )
 

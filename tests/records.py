@@ -1,0 +1,54 @@
+"""Input records that queries read, from Spark's event log: python tests/records.py <sf dir> query ...
+
+Prints a JSON object. A plan tells less: stages that ran and came up empty are not in the final one.
+"""
+
+from __future__ import annotations
+
+import json
+import sys
+import tempfile
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+def main(sf_dir: str, names: list[str]) -> None:
+    from caseload.session import build_session
+    from caseload.workload import REGISTERED
+
+    folder = tempfile.mkdtemp(prefix="records-")
+    spark = build_session(
+        "records",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__ui__showConsoleProgress="false",
+        spark__eventLog__enabled="true",
+        spark__eventLog__dir=f"file://{folder}",
+        spark__eventLog__compress="false",
+        spark__eventLog__rolling__enabled="false",
+        spark__sql__warehouse__dir=f"{folder}/warehouse",
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    spans = {}
+    for name in names:
+        began = time.time() * 1000
+        REGISTERED[name][0](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        spans[name] = (began, time.time() * 1000)
+    spark.stop()
+    read = dict.fromkeys(names, 0)
+    for log in Path(folder).iterdir():
+        for line in log.open() if log.is_file() else ():
+            if '"SparkListenerTaskEnd"' in line:
+                event = json.loads(line)
+                at = event["Task Info"]["Launch Time"]
+                records = event.get("Task Metrics", {}).get("Input Metrics", {}).get("Records Read", 0)
+                for name, (began, ended) in spans.items():
+                    if began <= at <= ended:
+                        read[name] += records
+    print(json.dumps(read))
+
+
+if __name__ == "__main__":
+    main(sys.argv[1], sys.argv[2:])

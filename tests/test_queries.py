@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -86,3 +90,30 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*l_returnflag", plan)
     plan = final_plan(lines.where(F.col("l_shipdate") >= "1998-01-01").select("l_orderkey"))
     assert re.search(r"PushedFilters: \[[^\]]*l_shipdate", plan)
+
+
+#: Reads of each table that a query may need: the rows of all its tables, so often.
+READS = {
+    "series_trend": {"orders": 1},
+    "market_share": {"lineitem": 1, "part": 1},
+    "shares_sum": {"lineitem": 1, "part": 1},
+    "raw_enrollment_by_risk_group": {"orders": 1},
+    "raw_chip_enrollment_detail": {"orders": 1},
+    "raw_htw_enrollment": {"lineitem": 1},
+    "raw_enrollment_by_county": {"orders": 1, "customer": 1, "nation": 1},
+    "raw_timeliness_medicaid": {"lineitem": 1},
+    "raw_mco_enrollment_by_sda": {"lineitem": 1, "part": 1, "supplier": 5},
+    "block_decode": {"lineitem": 1, "part": 1, "supplier": 5},
+    "dq_report": {"orders": 2, "lineitem": 1, "customer": 1, "nation": 1},
+    "event_changes": {"events": 3},
+}
+
+
+def test_input_records(con):
+    """As counted in the event log; sheets add their few fixed rows."""
+    command = [sys.executable, str(Path(__file__).with_name("records.py")), SF_DIR, *READS]
+    done = subprocess.run(command, capture_output=True, text=True, timeout=600, check=True)
+    read = json.loads(done.stdout.strip().splitlines()[-1])
+    for name, tables in READS.items():
+        sizes = {t: con.execute(f"SELECT count(*) FROM {t}").fetchall()[0][0] for t in tables}
+        assert 0 < read[name] <= sum(n * sizes[t] for t, n in tables.items()) + 2, name
