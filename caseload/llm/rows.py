@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_root
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,29 +74,15 @@ def anti_rows(df: DataFrame, dropped: DataFrame) -> DataFrame:
     return keyed.join(dropped.toDF(name), name, "left_anti").drop(name)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir.
-
-    A local session without that setting, as in tests, gets a folder of its own; on a cluster its lack
-    is an error.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="caseload-llm-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
 def freeze(df: DataFrame) -> DataFrame:
-    """The frame, computed once and written under the shared folder.
+    """The frame, computed once and written to the folder the cluster names in spark.checkpoint.dir.
 
-    Lineage ends there, so a lost executor loses nothing.
+    Lineage ends there, so a lost executor loses nothing. Where that setting is missing, the folder
+    is one in the warehouse, which all executors share too.
     """
-    shared_root(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -82,14 +82,16 @@ def shuffled_shards(
     parts = sorted(counts)
     # A row of `shards` numbers for each partition of the input, whatever the number of rows.
     matrix = communication_matrix([counts[p] for p in parts], shards, seed)
-    sent = {p: matrix[i].tolist() for i, p in enumerate(parts)}
+    sent = docs.sparkSession.sparkContext.broadcast((np.array(parts), matrix))
 
     def deal(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        counts = np.array(sent.get(part, [0] * shards))
+        known, matrix = sent.value
+        at = np.flatnonzero(known == part)
+        counts = matrix[at[0]] if len(at) else np.zeros(shards, np.int64)
         rng = np.random.default_rng([seed, part])
         shard = rng.permutation(np.repeat(np.arange(shards, dtype=np.int32), counts))
         at = 0

@@ -6,16 +6,15 @@ last one returns the packed sequences. The operators are those of caseload.llm w
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from caseload.llm.decontaminate import drop_contaminated
 from caseload.llm.exact_dedup import drop_exact_copies
 from caseload.llm.packing import pack
 from caseload.llm.quality import drop_low_quality, trained
-from caseload.llm.rows import read_table, shared_root
+from caseload.llm.rows import read_table
 from caseload.llm.simhash import drop_near_copies
+from caseload.session import shared_folder
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +52,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents; what each one keeps lies in the shared folder."""
     docs = read_table(spark, sf_dir, "documents")
-    folder = f"{shared_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = shared_folder(spark)
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
