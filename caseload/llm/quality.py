@@ -171,8 +171,8 @@ def sample_chunks(body: bytes, most: int) -> np.ndarray:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """Chunks and labels of at most `most` labelled rows, those first by a hash of their id.
+) -> DataFrame:
+    """doc_id, label and chunks of at most `most` labelled rows, those first by a hash of their id.
 
     A row labelled several times counts as its lowest label. The chunks are cut in the tasks.
     """
@@ -203,10 +203,41 @@ def labelled_sample(
     id_type = texts.schema["doc_id"].dataType.simpleString()
     parts = found.mapInArrow(rows, f"doc_id {id_type}, label int, chunks binary")
     # Rows that repeat an id: the first text in byte order.
-    one = parts.groupBy("doc_id", "label").agg(F.min("chunks").alias("chunks")).collect()
-    one.sort(key=lambda r: (str(r["doc_id"]), r["label"]))
-    texts = [np.frombuffer(bytes(r["chunks"]), np.uint8).reshape(-1, CHUNK + REACH) for r in one]
-    return texts, np.array([min(1, max(0, r["label"])) for r in one], np.float32)
+    return parts.groupBy("doc_id", "label").agg(F.min("chunks").alias("chunks"))
+
+
+def trained(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    most: int = SAMPLE_ROWS,
+) -> dict[str, np.ndarray]:
+    """The network, trained by one task on the bounded sample; only its weights come to the driver."""
+
+    def fit(batches):
+        import io
+
+        import pyarrow as pa
+
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (str(r["doc_id"]), r["label"]))
+        texts = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK + REACH) for r in rows]
+        model = train(texts, np.array([min(1, max(0, r["label"])) for r in rows], np.float32))
+        held = io.BytesIO()
+        np.savez(held, **model)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([held.getvalue()], pa.binary())})
+
+    import io
+
+    sample = labelled_sample(docs, labels, id_col, text_col, label_col, most)
+    # One partition of at most `most` small rows; an empty one trains too.
+    row = sample.coalesce(1).mapInArrow(fit, "model binary").first()
+    if row is None:
+        return train([], np.zeros(0, np.float32))
+    with np.load(io.BytesIO(row["model"])) as model:
+        return dict(model)
 
 
 def scores_of(bodies, model) -> np.ndarray:
@@ -229,10 +260,6 @@ def scores_of(bodies, model) -> np.ndarray:
     return probability(combined(np.concatenate(values), np.array(starts)), model)
 
 
-def trained(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality"):
-    return train(*labelled_sample(docs, labels, id_col, text_col, label_col, SAMPLE_ROWS))
-
-
 def quality_scores(
     docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
