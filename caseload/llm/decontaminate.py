@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, numbered, row_key
+from .rows import column, field, numbered, row_key, slices
 
 #: Words of a window.
 WINDOW = 10
@@ -302,14 +302,13 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int)
 
 def _searched(docs: DataFrame, text_name: str, block: DataFrame, window: int, emit, schema: str) -> DataFrame:
     """Search one block of items in all rows of `docs`; `emit` turns a piece's matches into batches."""
-    items = block.sparkSession.sparkContext.broadcast(
-        Items(sorted((r["item_id"], bytes(r["body"])) for r in block.collect()), window)
-    )
+    built = Items(sorted((r["item_id"], bytes(r["body"])) for r in block.collect()), window)
+    # Arrays and lists alone: the class goes with the function.
+    items = block.sparkSession.sparkContext.broadcast(vars(built))
 
     def rows(batches):
-        from caseload.llm.rows import field, slices
-
-        known = items.value
+        known = Items.__new__(Items)
+        vars(known).update(items.value)
         for batch in slices(batches, text_name, SHARD_BYTES):
             texts = field(batch, text_name)
             offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
@@ -347,8 +346,6 @@ def contamination(
     def emit(known, batch, n_words, found):
         import pyarrow as pa
 
-        from caseload.llm.rows import field
-
         none = (np.zeros((0, 2), np.int64), 0, ())
         each = [found.get(i, none) for i in range(len(n_words))]
         yield pa.RecordBatch.from_pydict(

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import anti_rows, freeze, texts_of
+from .rows import anti_rows, cells, field, freeze, texts_of
 
 #: White space that doesn't count: [\x20\x09-\x0D].
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -31,8 +31,6 @@ def _hashed(texts: DataFrame, hash_of: Callable[[bytes], bytes], with_content: b
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             hashes, points, contents = [], [], []
             for body in cells(batch, "body"):

@@ -15,7 +15,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, row_key
+from .rows import cells, column, field, row_key
 
 #: Fixed values of HTML: elements without an end, with raw text, that are not shown, and that end a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -288,8 +288,6 @@ def main_texts(
     def extracted(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             texts = [model.extract(body.decode("utf-8", "replace")) for body in cells(batch, "body")]
             names = ("row_key", "page_id", "url")

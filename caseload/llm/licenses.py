@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .rows import column, freeze, row_key
+from .rows import cells, column, field, freeze, row_key
 
 #: Least cosine of a statement and a template.
 THRESHOLD = 0.75
@@ -158,8 +158,6 @@ def own_licenses(files: DataFrame, threshold: float) -> DataFrame:
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             row, found = [], []
             for i, body in enumerate(cells(batch, "body")):

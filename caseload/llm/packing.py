@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import freeze, texts_of
+from .rows import cells, field, freeze, texts_of
 
 SEQUENCE = 1024
 #: Id after each document.
@@ -107,8 +107,6 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, most: int) -> DataFra
 
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         encoder, end = Encoder(), np.array([END], "<u4").tobytes()
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []

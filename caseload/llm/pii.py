@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import freeze, texts_of
+from .rows import cells, field, freeze, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -140,8 +140,6 @@ def spans_of(texts: DataFrame) -> DataFrame:
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         kind_of = pa.list_(
             pa.struct(
                 [
@@ -203,8 +201,6 @@ def occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
         import pyarrow as pa
 
-        from caseload.llm.rows import cells
-
         bits, counted, wanted = flags.value, Counter(), {}
 
         def is_wanted(pattern: str) -> bool:

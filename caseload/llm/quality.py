@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rows import column, numbered, row_key
+from .rows import cells, column, field, numbered, row_key
 
 CHUNK = 128
 STRIDE = 2
@@ -192,8 +192,6 @@ def labelled_sample(
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             cut = [sample_chunks(body, SAMPLE_CHUNKS).tobytes() for body in cells(batch, "body")]
             yield pa.RecordBatch.from_pydict(
@@ -278,8 +276,6 @@ def quality_scores(
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             names = ("row_key", "doc_id", "held_out")
             score = scores_of(cells(batch, "body"), model)
@@ -300,8 +296,6 @@ def drop_low_quality(docs: DataFrame, model: dict, text_col: str = "text", least
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells
-
         for batch in batches:
             yield batch.filter(pa.array(scores_of(cells(batch, name), model) >= least))
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .rows import anti_rows, freeze, texts_of
+from .rows import anti_rows, cells, field, freeze, texts_of
 
 #: Most fingerprints of a shard that is not cut further.
 SHARD = 1024
@@ -68,8 +68,6 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import cells, field
-
         for batch in batches:
             found = [fingerprint(body, width) for body in cells(batch, "body")]
             yield pa.RecordBatch.from_pydict(
@@ -195,8 +193,6 @@ def links(distinct: DataFrame, radius: int, most: int = SHARD) -> DataFrame:
     def rows(batches):
         import pyarrow as pa
 
-        from caseload.llm.rows import field
-
         def chains(mask, value, prints):
             if len(prints) < 2:
                 return None

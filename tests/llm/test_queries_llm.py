@@ -110,3 +110,31 @@ def test_the_pipeline_takes_awkward_rows(spark, tmp_path):
 
 def test_run_packs_the_whole_table(spark):
     assert corpus_pipeline.run(spark, SMALL).where("length > 0").count() > 100
+
+
+FAR = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").getOrCreate()
+from __spark_entry__ import queries
+spark.conf.set("spark.sql.shuffle.partitions", "4")
+for name, query in queries().items():
+    if name.startswith("op"):
+        print(name, query(spark, {small!r}).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """From another folder, and without a folder named for checkpoints."""
+    import os
+    import subprocess
+
+    script = FAR.format(root=str(Path(__file__).resolve().parents[2]), small=SMALL)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900
+    )
+    lines = [line.split() for line in done.stdout.splitlines() if line.startswith("op")]
+    assert len(lines) == 10, done.stderr[-2000:]
+    assert all(int(n) > 0 for _, n in lines)
