@@ -100,6 +100,8 @@ class Tree:
         attribute = re.compile(r"\b(class|id|role|y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
         self.tag, self.parent, self.names, self.text, self.block = ["#page"], [-1], [()], [""], [0]
         self.label: list[int | None] = [None]
+        # How many elements of each tag are open, so that none is looked for in vain.
+        self.opened: Counter[str] = Counter()
         open_, hidden, block = [0], 0, 0
         for kind, name, rest in tokens(html):
             if kind == "text":
@@ -135,17 +137,18 @@ class Tree:
                             words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
                     names = tuple(sorted(set(words)))
                 open_.append(self._add(name, open_[-1], names, "", block, label))
+                self.opened[name] += 1
             else:
                 if hidden:
                     hidden -= name in UNSEEN
                     continue
                 if name in BLOCK:
                     block += 1
-                at = len(open_) - 1
-                while at > 0 and self.tag[open_[at]] != name:
-                    at -= 1
-                if at > 0:
-                    del open_[at:]
+                if self.opened[name]:
+                    at = len(open_) - 1
+                    while self.tag[open_[at]] != name:
+                        at -= 1
+                    self._cut(open_, at)
 
     def _add(self, tag, parent, names, text, block, label=None) -> int:
         self.tag.append(tag)
@@ -156,11 +159,18 @@ class Tree:
         self.label.append(label)
         return len(self.tag) - 1
 
+    def _cut(self, open_: list[int], at: int) -> None:
+        for node in open_[at:]:
+            self.opened[self.tag[node]] -= 1
+        del open_[at:]
+
     def _close(self, open_: list[int], ends: tuple[str, ...], but: tuple[str, ...]) -> None:
+        if not any(self.opened[tag] for tag in ends):
+            return
         for at in range(len(open_) - 1, 0, -1):
             tag = self.tag[open_[at]]
             if tag in ends:
-                del open_[at:]
+                self._cut(open_, at)
                 return
             if tag in but:
                 return

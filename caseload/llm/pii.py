@@ -44,8 +44,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Looser shapes of each kind.
 LOOSE = {
     "email": re.compile(
-        r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\{at\}) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]+)+"
-        r"|[A-Za-z0-9._%+-]+ at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}) ?"
+        r"[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]{1,63})+"
+        r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63})+"
         r"|(?<![^\s<(\"'])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{2,63}(?![.\w@-])"
     ),
     "ip": re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])"),

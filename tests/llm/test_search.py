@@ -28,6 +28,17 @@ def test_base_spans_are_those_of_the_patterns(text):
     assert ",".join(f"{names[k]}:{s}:{e}" for s, k, e in base_spans(text)) == brute.personal(text)
 
 
+def test_long_runs_are_searched_in_linear_time():
+    import time
+
+    from caseload.llm.pii import candidates
+
+    began = time.process_time()
+    for text in ("a" * 300_000 + " x@y", "1" * 300_000 + " x@y", "+1" * 100_000, "(at)" * 50_000, "1:" * 100_000):
+        candidates(text, base_spans(text))
+    assert time.process_time() - began < 20
+
+
 def test_personal_data_of_awkward_rows(spark):
     docs = brute.awkward(spark, PRIVATE)
     found = personal_data(docs).collect()
