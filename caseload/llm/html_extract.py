@@ -20,7 +20,18 @@ from .rows import cells, column, field, row_key
 #: Fixed values of HTML: elements without an end, with raw text, that are not shown, and that end a paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style title template noscript iframe noembed noframes object svg math".split())
+UNSEEN = frozenset("head template noscript svg".split())
+#: Raw text that is shown; that of the other raw elements is passed over with them.
+SHOWN = frozenset(["textarea"])
+#: What may stand in a head; anything else ends it, as its end tag is optional.
+IN_HEAD = frozenset("title meta link script style base noscript template noframes basefont bgsound".split())
+#: Elements of other languages, in which "/>" ends an element; tags that can't be in them and end them; and those of their elements that may hold such tags.
+FOREIGN = ("svg", "math")
+BREAKS = frozenset(
+    """b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta
+    nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split()
+)
+HOLDERS = ("foreignobject", "desc", "mi", "mo", "mn", "ms", "mtext", "annotation-xml")
 BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre
@@ -56,7 +67,7 @@ def tokens(html: str):
     import re
 
     mark = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|(!--)|([!?/]))")
-    place = 0
+    place = foreign = 0
     while place < len(html):
         start = html.find("<", place)
         if start < 0:
@@ -82,10 +93,13 @@ def tokens(html: str):
         else:
             name, place = found[2].lower(), found.end()
             yield ("end" if found[1] else "start"), name, found[3]
-            if not found[1] and name in RAW:
+            ended = found[3].endswith("/")
+            if name in FOREIGN:
+                foreign = max(0, foreign - 1) if found[1] else foreign + (not ended)
+            if not found[1] and name in RAW and not (foreign and ended):
                 closing = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(html, place)
                 inside = html[place : closing.start() if closing else len(html)]
-                if name == "textarea":
+                if name in SHOWN:
                     yield "text", "", inside
                 place = closing.start() if closing else len(html)
 
@@ -102,21 +116,35 @@ class Tree:
         self.label: list[int | None] = [None]
         # How many elements of each tag are open, so that none is looked for in vain.
         self.opened: Counter[str] = Counter()
-        open_, hidden, block = [0], 0, 0
+        # The elements that are open in one that is not shown, which comes first.
+        hidden: list[str] = []
+        within: Counter[str] = Counter()
+        open_, block = [0], 0
         for kind, name, rest in tokens(html):
             if kind == "text":
+                if hidden == ["head"] and not rest.isspace():
+                    self._uncover(hidden, within, 0)
                 if not hidden and not rest.isspace():
                     self._add(TEXT, open_[-1], (), entities.unescape(rest) if "&" in rest else rest, block)
                 elif not hidden and self.text[-1] and self.block[-1] == block:
                     self.text[-1] += " "
                 continue
             if kind == "start":
-                if hidden:
-                    hidden += name in UNSEEN and name not in VOID
+                ended = rest.endswith("/")
+                if hidden == ["head"] and name not in IN_HEAD:
+                    self._uncover(hidden, within, 0)
+                elif within["svg"] and name in BREAKS:
+                    self._break_out(hidden, within)
+                if name in RAW and name not in SHOWN:
                     continue
-                if name in UNSEEN:
-                    hidden = 1
+                if hidden or name in UNSEEN:
+                    foreign = name in FOREIGN or within["svg"] or within["math"]
+                    if name not in VOID and not (foreign and ended):
+                        hidden.append(name)
+                        within[name] += 1
                     continue
+                if self.opened["math"] and name in BREAKS:
+                    self._close(open_, ("math",), HOLDERS)
                 if name in BLOCK:
                     block += 1
                     self._close(open_, ("p",), ("table", "td", "th", "button"))
@@ -126,6 +154,8 @@ class Tree:
                     self.text[-1] += " "
                 if name in VOID:
                     continue
+                if ended and (name == "math" or self.opened["math"]):
+                    continue
                 names, label = (), None
                 if "=" in rest:
                     words = []
@@ -139,8 +169,15 @@ class Tree:
                 open_.append(self._add(name, open_[-1], names, "", block, label))
                 self.opened[name] += 1
             else:
+                if hidden and not within[name] and self.opened[name]:
+                    # The end of an element around it.
+                    self._uncover(hidden, within, 0)
                 if hidden:
-                    hidden -= name in UNSEEN
+                    if within[name]:
+                        at = len(hidden) - 1
+                        while hidden[at] != name:
+                            at -= 1
+                        self._uncover(hidden, within, at)
                     continue
                 if name in BLOCK:
                     block += 1
@@ -159,6 +196,18 @@ class Tree:
         self.label.append(label)
         return len(self.tag) - 1
 
+    def _uncover(self, hidden: list[str], within: Counter[str], at: int) -> None:
+        within.subtract(hidden[at:])
+        del hidden[at:]
+
+    def _break_out(self, hidden: list[str], within: Counter[str]) -> None:
+        for at in range(len(hidden) - 1, -1, -1):
+            if hidden[at] == "svg":
+                self._uncover(hidden, within, at)
+                return
+            if hidden[at] in HOLDERS:
+                return
+
     def _cut(self, open_: list[int], at: int) -> None:
         for node in open_[at:]:
             self.opened[self.tag[node]] -= 1

@@ -192,12 +192,35 @@ PAGES = {
     "<nav><ul><li><a href='/'>Home</a></li></ul></nav>": "",
 }
 
+#: Elements that are not shown and whose ends are missing or in the start tag; and ones that are shown.
+UNENDED = {
+    "<html><head><title>t</title><body><article><p>Body.</p></article></body></html>": "Body.",
+    "<html><head><meta charset=x><noscript><link href=x></noscript><article><p>Body.</p></article></html>": "Body.",
+    "<html><head><title>t</title><style>p{}</style></head><body><article><p>Body.</p></article></body></html>": "Body.",
+    "<article><p>a</p><svg class='i'/><p>b <math/>c</p></article>": "a\n\nb c",
+    "<article><p>a</p><svg><style/><title/><path d='M0'/><text>x</text></svg><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><svg><path d='M0'><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><svg><foreignObject><p>x</p></foreignObject></svg><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><div><noscript><p>x</p><div>y</div></div><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><div><template><b>x</b></div><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><object data='x'><param name=n><p>b</p></article>": "a\n\nb",
+    "<article><p>a</p><object data='x'><p>b</p></object><p>c</p></article>": "a\n\nb\n\nc",
+    "<article><p>So <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math> holds.</p><p>b</p></article>": "So x=2 holds.\n\nb",
+    "<article><p>a</p><math><mi>x<p>b</p></article>": "a\n\nx\n\nb",
+    "<article><noscript><svg/><noscript>x</noscript></noscript><p>a</p></article>": "a",
+}
+
 
 @pytest.mark.parametrize("page", PAGES)
 def test_the_text_of_pages(model, page):
     assert model.extract(page) == PAGES[page]
 
 
+@pytest.mark.parametrize("page", UNENDED)
+def test_what_is_not_shown_ends_with_what_is_around_it(model, page):
+    assert model.extract(page) == UNENDED[page]
+
+
 def test_marginals_are_those_of_all_labellings(model):
     """Sum-product against the sum over every labelling of a small tree."""
     from itertools import product
