@@ -247,9 +247,9 @@ def good_patterns(spans: DataFrame, texts: DataFrame) -> DataFrame:
         spans.groupBy("pattern", "kind", "instance")
         .agg(F.max("known").alias("seed"), F.count("*").alias("n"))
     )
-    # Only patterns with enough instances of any standing can ever be good.
-    frequent = edges.groupBy("pattern", "kind").agg(F.count("*").alias("instances"), F.max("seed").alias("seeded"))
-    frequent = freeze(frequent.where((F.col("instances") >= MIN_INSTANCES) & F.col("seeded")).select("pattern", "kind"))
+    # Only patterns with enough instances of any standing can ever be good; those without a seed are learned in the rounds.
+    frequent = edges.groupBy("pattern", "kind").agg(F.count("*").alias("instances"))
+    frequent = freeze(frequent.where(F.col("instances") >= MIN_INSTANCES).select("pattern", "kind"))
     if frequent.isEmpty():
         return frequent
     counts = occurrences(texts, frequent.select("pattern").distinct()).withColumnRenamed("n", "total")

@@ -66,6 +66,19 @@ def test_contexts_of_known_entities_find_unseen_ones(spark):
         assert found[100 + n] == ""
 
 
+def test_instances_of_a_round_teach_new_contexts(spark):
+    seeds = [f"office phone: +1 (55{i}) 555-010{i} for help" for i in range(6)]
+    learned = [f"office phone: 555 010 12{i}4 for help" for i in range(4)]
+    # No base match stands behind these words: they are known by the numbers above only.
+    again = [f"or reach me at 555 010 12{i}4 for help" for i in range(4)]
+    unseen = [f"or reach me at 555 777 98{i}3 for help" for i in range(3)]
+    docs = brute.awkward(spark, [*seeds, *learned, *again, *unseen])
+    found = {r.doc_id: r.spans for r in personal_data(docs).collect()}
+    for n, text in enumerate([*learned, *again, *unseen], len(seeds)):
+        start = text.index("555")
+        assert found[100 + n] == f"phone:{start}:{start + 12}"
+
+
 def contaminated_table(spark, seed=2):
     rng = random.Random(seed)
     words = ["the", "of", "a", "an", "longer-word", "extraordinarily", "é", "naïveté", "X1", "in", "on"]
