@@ -34,6 +34,12 @@ HELD = 100_000
 #: Code points looked back for the words before a span.
 BEFORE = 200
 
+#: Marks that open what they stand before, and marks that end a word even where no white space follows.
+OPENING = "<([{\"\u201c\u201e\u2018\u00ab"
+GLUE = ":="
+#: An apostrophe opens where a word may start.
+QUOTE = re.compile(r"'(?<![^\s']')")
+
 #: The base patterns. Digits of an IP start where no digit is before, which changes no match.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -114,12 +120,27 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return free
 
 
+def apart(text: str) -> str:
+    """The text in small letters, with white space for opening marks and behind words that are glued to the next."""
+    for mark in OPENING:
+        text = text.replace(mark, " ")
+    for mark in GLUE:
+        text = text.replace(mark, mark + " ")
+    if "'" in text:
+        text = QUOTE.sub(" ", text)
+    return text.lower()
+
+
 def contexts(text: str, start: int) -> list[str]:
-    """The lexical patterns before a place: one word, two words. None inside a word or at the start."""
-    if start == 0 or not text[start - 1].isspace():
-        return []
+    """The lexical patterns before a place: one word, two words. None inside a word or at the start.
+
+    Opening marks are passed over, and a word may be glued to what follows, as in 'tel:555'.
+    """
     begin = max(0, start - BEFORE)
-    words = text[begin:start].lower().split()
+    before = apart(text[begin:start])
+    if not before or not before[-1].isspace():
+        return []
+    words = before.split()
     if begin and not text[begin - 1].isspace():
         words = words[1:]
     return [" ".join(words[-n:]) for n in (1, 2) if len(words) >= n]
@@ -221,7 +242,7 @@ def occurrences(texts: DataFrame, patterns: DataFrame) -> DataFrame:
 
         for batch in batches:
             for body in cells(batch, "body"):
-                words = body.decode("utf-8", "replace").lower().split()
+                words = apart(body.decode("utf-8", "replace")).split()
                 here = {w: n for w, n in Counter(words[:-1]).items() if is_wanted(w)}
                 counted.update(here)
                 if here:

@@ -79,6 +79,30 @@ def test_instances_of_a_round_teach_new_contexts(spark):
         assert found[100 + n] == f"phone:{start}:{start + 12}"
 
 
+def test_words_before_opening_and_glued_marks(spark):
+    from caseload.llm.pii import apart, contexts
+
+    for text, words in {
+        "write to <jo@x.org>": ["to", "write to"],
+        "(ask) Tel:555": ["tel:", "ask) tel:"],
+        "see (\"'555": ["see"],
+        "a mail='jo": ["mail=", "a mail="],
+        "don't555": [],
+        "<555": [],
+    }.items():
+        start = max(text.rfind("555"), text.rfind("jo"))
+        assert contexts(text, start) == words
+        # The same words are counted over whole texts.
+        assert apart(text).split()[: len(words)] == (words[-1].split() if words else apart(text).split()[:0])
+    seeds = [f"to <jo{i}@example.com> or tel:+1 (55{i}) 555-010{i} now" for i in range(6)]
+    unseen = [f"to <ann{i} (at) example (dot) com> or tel:555-010-12{i}4 now" for i in range(4)]
+    docs = brute.awkward(spark, [*seeds, *unseen])
+    found = {r.doc_id: r.spans for r in personal_data(docs).collect()}
+    for n, text in enumerate(unseen, len(seeds)):
+        mail, phone = text.index("ann"), text.index("555")
+        assert found[100 + n] == f"email:{mail}:{text.index('>')},phone:{phone}:{phone + 12}"
+
+
 def contaminated_table(spark, seed=2):
     rng = random.Random(seed)
     words = ["the", "of", "a", "an", "longer-word", "extraordinarily", "é", "naïveté", "X1", "in", "on"]
