@@ -6,9 +6,10 @@ rolling hash of that prefix. A conversation whose whole hash is the hash of a pr
 one goes (an anti-join on distinct prefixes); of equal conversations the one with the smallest id stays.
 What is left is rendered.
 
-Only hashes are numbered and joined; texts move once, to be rendered. Rolling hashes are computed in
-ranges of turn numbers and carried over ranges, and a long conversation is rendered in parts, one for
-each range, so it is no single task's work.
+Only hashes are numbered and joined; texts move once, to be rendered, and those of turns that share their
+number with others are sorted too. Turns get their places from one sort over all conversations. Rolling hashes
+are computed in blocks of places and carried over blocks, and a long conversation is rendered in parts, so it is
+no single task's work, whatever its turn numbers are.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .rows import column, freeze
 
-#: Turn numbers of a range.
+#: Turn numbers of a range, places of a block, and most turns of a part.
 RANGE = 256
 #: Fixed values of the chat markup: how a turn begins and ends.
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
@@ -37,33 +38,58 @@ def _turns(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_c
     )
 
 
+def _hashes() -> list[Column]:
+    """The two halves of a turn's hash."""
+    return [F.xxhash64(F.lit(1), "role", "text").alias("h"), F.xxhash64(F.lit(2), "text", "role").alias("g")]
+
+
+def _in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """The frame, frozen, with `seq`, which rises with the keys: a total sort, so that no key is one task's."""
+    return freeze(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("seq", F.monotonically_increasing_id()))
+
+
+def _carried(sums: DataFrame, over: str, names: dict[str, Column]) -> DataFrame:
+    """For each conversation and value of `over`, what its rows before it come to."""
+    before = Window.partitionBy("conv").orderBy(over).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumns({n: F.coalesce(c.over(before), F.lit(0)) for n, c in names.items()})
+
+
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """One row per distinct turn: conv, conv_id, turn, range, h, g and place, from 0 by turn, role and text."""
+    hashed = turns.select("conv", "conv_id", "turn", "range", *_hashes()).distinct()
+    tied = freeze(hashed.groupBy("conv", "turn").agg(F.count("*").alias("n")).where("n > 1").select("conv", "turn"))
+    if tied.isEmpty():
+        hashed = hashed.withColumn("tie", F.lit(0).cast("bigint"))
+    else:
+        # Turns with one number follow each other by role and text, which only these need to be sorted by.
+        said = turns.join(tied, ["conv", "turn"], "left_semi").select("conv", "turn", "role", "text").distinct()
+        ties = _in_order(said, "conv", "turn", "role", "text").select(
+            "conv", "turn", *_hashes(), F.col("seq").alias("tie")
+        )
+        hashed = hashed.join(ties, ["conv", "turn", "h", "g"], "left")
+    ordered = _in_order(hashed, "conv", "turn", "tie").withColumn("cell", F.shiftright("seq", 33))
+    # The rows of a conversation in a partition stand together, so their numbers are gapless.
+    cells = ordered.groupBy("conv", "cell").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    cells = _carried(cells, "cell", {"base": F.sum("n")})
+    place = (F.col("seq") - F.col("first") + F.col("base")).alias("place")
+    return ordered.join(cells, ["conv", "cell"]).select("conv", "conv_id", "turn", "range", "h", "g", place)
+
+
 def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """One row per distinct turn: conv, conv_id, place from 0, x and y (the hash of the prefix up to and
-    with it), before_x and before_y (up to it)."""
-    hashed = turns.select(
-        "conv", "conv_id", "turn", "range",
-        F.xxhash64(F.lit(1), "role", "text").alias("h"), F.xxhash64(F.lit(2), "text", "role").alias("g"),
-    ).distinct()
-
-    def carried(sums: DataFrame, names: dict[str, Column]) -> DataFrame:
-        before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-        return sums.select("conv", "range", *(F.coalesce(c.over(before), F.lit(0)).alias(n) for n, c in names.items()))
-
-    sizes = hashed.groupBy("conv", "range").agg(F.count("*").alias("n"))
-    bases = carried(sizes, {"base": F.sum("n")})
-    order = Window.partitionBy("conv", "range").orderBy("turn", "h", "g")
-    placed = hashed.withColumn("at", F.row_number().over(order) - 1).join(bases, ["conv", "range"])
-    placed = placed.withColumn("place", F.col("base") + F.col("at"))
+    """One row per distinct turn: conv, conv_id, turn, range, h, g, place from 0, block of places, x and y (the
+    hash of the prefix up to and with it), before_x and before_y (up to it)."""
+    placed = placed_turns(turns).withColumn("block", F.floor(F.col("place") / RANGE).cast("bigint"))
     placed = placed.withColumns({"p": F.xxhash64("place", "h", "g"), "q": F.xxhash64("g", "place", "h")})
-    totals = placed.groupBy("conv", "range").agg(F.bit_xor("p").alias("p"), F.bit_xor("q").alias("q"))
-    earlier = carried(totals, {"ranges_x": F.bit_xor("p"), "ranges_y": F.bit_xor("q")})
+    totals = placed.groupBy("conv", "block").agg(F.bit_xor("p").alias("sum_p"), F.bit_xor("q").alias("sum_q"))
+    earlier = _carried(totals, "block", {"blocks_x": F.bit_xor("sum_p"), "blocks_y": F.bit_xor("sum_q")})
+    order = Window.partitionBy("conv", "block").orderBy("place")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rolled = placed.withColumns({"x": F.bit_xor("p").over(upto), "y": F.bit_xor("q").over(upto)})
-    rolled = rolled.join(earlier, ["conv", "range"])
-    x = F.col("x").bitwiseXOR(F.col("ranges_x"))
-    y = F.col("y").bitwiseXOR(F.col("ranges_y"))
+    rolled = rolled.join(earlier, ["conv", "block"])
+    x = F.col("x").bitwiseXOR(F.col("blocks_x"))
+    y = F.col("y").bitwiseXOR(F.col("blocks_y"))
     return rolled.select(
-        "conv", "conv_id", "range", "place", x.alias("x"), y.alias("y"),
+        "conv", "conv_id", "turn", "range", "h", "g", "place", "block", x.alias("x"), y.alias("y"),
         x.bitwiseXOR(F.col("p")).alias("before_x"), y.bitwiseXOR(F.col("q")).alias("before_y"),
     )
 
@@ -94,18 +120,29 @@ def formatted_chats(
     """The maximal conversations, rendered: conv_id, part, n_turns, copies, text.
 
     A part holds RANGE turn numbers, so a usual conversation is one row, and the parts of a long one
-    are concatenated in order. Turns repeated in a conversation count once; different turns with one
+    are concatenated in order. Where more than RANGE different turns have their numbers in one range, the
+    parts of that conversation hold RANGE places instead, so no part has more turns. Turns repeated in a conversation count once; different turns with one
     number follow each other by role and text. Missing roles and texts are empty, missing turn numbers
     come first, and rows without a conversation are one conversation. An empty table gives no rows.
     """
     rows = _turns(turns, conv_col, turn_col, role_col, text_col)
     prefixes = freeze(prefix_hashes(rows))
     kept = freeze(maximal_conversations(prefixes))
-    parts = prefixes.select("conv", "range").distinct().join(kept, "conv")
-    # Repeated turns meet in the map tasks.
-    said = F.sort_array(F.collect_set(F.struct("turn", "role", "text")))
-    lines = F.transform(said, lambda t: F.concat(F.lit(BEGIN), t["role"], F.lit("\n"), t["text"], F.lit(END)))
-    rendered = rows.groupBy("conv", "range").agg(F.min("conv_id").alias("conv_id"), F.array_join(lines, "").alias("text"))
-    return rendered.join(parts, ["conv", "range"]).select(
-        "conv_id", F.col("range").alias("part"), "n_turns", "copies", "text"
-    )
+    full = prefixes.groupBy("conv", "range").agg(F.count("*").alias("n")).where(F.col("n") > RANGE)
+    full = freeze(full.select("conv").distinct())
+
+    def rendered(said: DataFrame, part: str, parts: DataFrame) -> DataFrame:
+        # Repeated turns meet in the map tasks.
+        turns = F.sort_array(F.collect_set(F.struct("turn", "role", "text")))
+        lines = F.transform(turns, lambda t: F.concat(F.lit(BEGIN), t["role"], F.lit("\n"), t["text"], F.lit(END)))
+        texts = said.groupBy("conv", part).agg(F.min("conv_id").alias("conv_id"), F.array_join(lines, "").alias("text"))
+        return texts.join(parts, ["conv", part]).select("conv_id", F.col(part).alias("part"), "n_turns", "copies", "text")
+
+    if full.isEmpty():
+        return rendered(rows, "range", prefixes.select("conv", "range").distinct().join(kept, "conv"))
+    usual = prefixes.join(full, "conv", "left_anti").select("conv", "range").distinct().join(kept, "conv")
+    by_range = rendered(rows.join(full, "conv", "left_anti"), "range", usual)
+    places = prefixes.join(full, "conv", "left_semi")
+    said = rows.join(full, "conv", "left_semi").select("conv", "conv_id", "turn", "role", "text").distinct()
+    said = said.select("*", *_hashes()).join(places.select("conv", "turn", "h", "g", "block"), ["conv", "turn", "h", "g"])
+    return by_range.unionByName(rendered(said, "block", places.select("conv", "block").distinct().join(kept, "conv")))

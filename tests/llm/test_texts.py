@@ -163,6 +163,24 @@ def test_long_chats_come_in_parts(spark):
     assert text == "".join(f"<|im_start|>user\nturn {t}<|im_end|>\n" for t in range(1000))
 
 
+def test_no_part_has_more_turns_than_a_range(spark):
+    # All turns without a number, a number with many texts, and one with the first of them; and one with gaps.
+    lost = [(None, None, "user", f"lost {i}") for i in range(1000)]
+    same = [(5, 3, "user", f"said {i}") for i in range(600)] + [(5, 4, "assistant", "b")]
+    first = [(6, 3, "user", t) for t in sorted(f"said {i}" for i in range(600))[:300]]
+    gaps = [(7, t, "user", f"turn {t}") for t in range(200, 300)]
+    rows = [*lost, *same, *first, *gaps, *lost[:50], *same[:50]]
+    parts = formatted_chats(chat_rows(spark, rows)).orderBy("conv_id", "part").collect()
+    assert max(r["text"].count("<|im_start|>") for r in parts) == 256
+    found = {}
+    for r in parts:
+        text = found.get(r["conv_id"], (0, 0, ""))[2] + r["text"]
+        found[r["conv_id"]] = (r["n_turns"], r["copies"], text)
+    assert found == brute.chats(rows)
+    assert set(found) == {None, 5, 7}
+    assert [r["part"] for r in parts] == [0, 1, 2, 3, 0, 1, 2, 0, 1]
+
+
 @pytest.fixture(scope="module")
 def model():
     return Model(labelled_pages())
