@@ -1,6 +1,7 @@
 """Licence scans: TF-IDF cosine of licence statements to templates, inherited down directories.
 
-Statements are the sentences of a whole text that have a cue word; equal ones are scored once. Vectors
+Statements are the parts of a text that have a cue word: sentences, paragraphs joined over line breaks and
+comment marks, the comment block at its head, and the whole text. Equal ones are scored once. Vectors
 are sparse rows (statement, word, weight), with document frequencies counted over all statements of all
 files. The best template above the threshold is a file's own licence. The licence of a licence file is
 its directory's, and a file without one has that of the nearest directory above it, found by joining
@@ -18,8 +19,6 @@ from .rows import cells, column, field, freeze, row_key
 
 #: Least cosine of a statement and a template.
 THRESHOLD = 0.75
-#: Code points of a statement on either side of its cue.
-REACH = 500
 
 #: Characteristic statements of published licences, by SPDX identifier.
 TEMPLATES = (
@@ -80,34 +79,127 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+#: What stands after the permission in the MIT licence, and after the terms in others.
+_MIT_END = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+    'the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+    "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+    "OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_END = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
+    "name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "
+    'AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED '
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+    "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+    "POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _template(name: str, beginning: str) -> str:
+    return next(text for n, text in TEMPLATES if n == name and text.startswith(beginning))
+
+
+def _gnu(name: str, version: str) -> tuple[str, str]:
+    """The first paragraph of a file's notice under a GNU licence, and the whole notice."""
+    first = (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+        "later version."
+    )
+    return first, (
+        f"{first} This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        f"the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more "
+        f"details. You should have received a copy of the GNU {name} along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>."
+    )
+
+
+_GNU = (
+    ("GPL-3.0", "General Public License", "3", "29 June 2007"),
+    ("GPL-2.0", "General Public License", "2", "June 1991"),
+    ("LGPL-3.0", "Lesser General Public License", "3", "29 June 2007"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1", "February 1999"),
+    ("AGPL-3.0", "Affero General Public License", "3", "19 November 2007"),
+)
+
+#: Whole licences and notices, and the headings of licences that are longer than a page.
+TEMPLATES += (
+    ("MIT", f"MIT License {_template('MIT', 'Permission')} {_MIT_END}"),
+    ("BSD-3-Clause", f"BSD 3-Clause License {_template('BSD-3-Clause', 'Redistribution')} {_BSD_END}"),
+    (
+        "Apache-2.0",
+        f"{_template('Apache-2.0', 'Licensed under the Apache License, Version 2.0 (')} You may obtain a copy of the "
+        "License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF '
+        "ANY KIND, either express or implied. See the License for the specific language governing permissions and "
+        "limitations under the License.",
+    ),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *((spdx, text) for spdx, name, version, _ in _GNU for text in _gnu(name, version)),
+    *((spdx, f"GNU {name} Version {version}, {date}") for spdx, name, version, date in _GNU),
+)
+
 #: Words that mark a statement, and names of licence files.
 CUE = re.compile(
-    r"licen[sc]|rights reserved|spdx|public domain|permission is hereby granted|redistribution and use"
-    r"|free software|source code form|creative commons|\bcc[ -]?(?:by|0)\b",
+    r"licen[sc]|rights\W+reserved|spdx|public\W+domain|permission\W+is\W+hereby\W+granted|redistribution\W+and\W+use"
+    r"|free\W+software|source\W+code\W+form|creative\W+commons|\bcc[ -]?(?:by|0)\b",
     re.IGNORECASE,
 )
 LICENSE_FILE = r"(?i)^(un)?(licen[sc]e|copying|copyright|notice)([-_.].*)?$"
 SENTENCE_END = re.compile(r"[.!?](?=\s)|\n")
 WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+#: The comments at the head of a file, and lines without a letter or digit, which may hold comment marks.
+HEADER = re.compile(
+    r"(?:#![^\n]*\n)?\s*+(?:/\*.*?\*/|<!--.*?-->|(?:[ \t]*+(?://|\#|--|;|%)[^\n]*+(?:\n|$)|[ \t]*+\n)+)", re.DOTALL
+)
+GAP = re.compile(r"\n(?:[^\w\n]*+\n)+")
 
 
 def words_of(statement: str) -> str:
     return " ".join(WORDS.findall(statement.lower()))
 
 
-def statements(text: str) -> list[str]:
-    """The distinct sentences with a cue word, as their words; a line break ends a sentence too."""
-    found, place = {}, 0
+def _sentences(text: str, found: dict[str, None]) -> None:
+    place = 0
     while cue := CUE.search(text, place):
-        low, high = max(place, cue.start() - REACH), min(len(text), cue.end() + REACH)
-        start = low
-        for end in SENTENCE_END.finditer(text, low, cue.start()):
+        start = place
+        for end in SENTENCE_END.finditer(text, place, cue.start()):
             start = end.end()
-        stop = SENTENCE_END.search(text, cue.end(), high)
-        place = stop.end() if stop else high
+        stop = SENTENCE_END.search(text, cue.end())
+        place = stop.end() if stop else len(text)
         if words := words_of(text[start:place]):
             found[words] = None
-    return list(found)
+
+
+def statements(text: str) -> list[str]:
+    """The distinct parts of a text with a cue word, as their words: the sentences of its lines, its paragraphs and
+    their sentences, the comments at its head, and the text as a whole. Comment marks are no words."""
+    found: dict[str, None] = {}
+    if not CUE.search(text):
+        return []
+    text = text.replace("\r\n", "\n")
+    _sentences(text, found)
+    header = HEADER.match(text)
+    for part in (*GAP.split(text), header[0] if header else "", text):
+        if CUE.search(part):
+            _sentences(part.replace("\n", " "), found)
+            found[words_of(part)] = None
+    return [words for words in found if words]
 
 
 def _words(statement: Column) -> Column:
@@ -115,15 +207,16 @@ def _words(statement: Column) -> Column:
 
 
 def scored_statements(distinct: DataFrame, threshold: float) -> DataFrame:
-    """(statement, license, score) of the statements that are like a template.
+    """(key, license, score) of the statements that are like a template.
 
-    `distinct` has statement and n, the number of files that have it. A statement that is as close to
+    `distinct` has key, statement and n, the number of files that have it; only the key goes with each word, as a
+    statement may be a whole text. A statement that is as close to
     several templates has the license that comes first in the alphabet.
     """
     spark: SparkSession = distinct.sparkSession
     rows = [(i, name, words_of(text)) for i, (name, text) in enumerate(TEMPLATES)]
     templates = spark.createDataFrame(rows, "template int, license string, statement string")
-    words = distinct.withColumn("word", _words(F.col("statement"))).groupBy("statement", "word")
+    words = distinct.select("key", "n", _words(F.col("statement")).alias("word")).groupBy("key", "word")
     words = freeze(words.agg(F.count("*").alias("tf"), F.first("n").alias("n")))
     of_templates = templates.withColumn("word", _words(F.col("statement")))
     of_templates = of_templates.groupBy("template", "license", "word").agg(F.count("*").alias("tf"))
@@ -133,22 +226,22 @@ def scored_statements(distinct: DataFrame, threshold: float) -> DataFrame:
         "word", (F.log((1.0 + total) / (1.0 + F.col("df"))) + 1).alias("idf")
     )
     rare = F.lit(1.0 + total)
-    weights = words.join(idf, "word").select("statement", "word", (F.col("tf") * F.col("idf")).alias("weight"))
-    sizes = weights.groupBy("statement").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("size"))
+    weights = words.join(idf, "word").select("key", "word", (F.col("tf") * F.col("idf")).alias("weight"))
+    sizes = weights.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("size"))
     t_weights = of_templates.join(idf, "word", "left").withColumn(
         "t_weight", F.col("tf") * F.coalesce("idf", F.log(rare) + 1)
     )
     t_sizes = t_weights.groupBy("template").agg(F.sqrt(F.sum(F.col("t_weight") * F.col("t_weight"))).alias("t_size"))
     # A row for each word of each template: a table of fixed size.
     t_side = F.broadcast(t_weights.join(t_sizes, "template").select("template", "license", "word", "t_weight", "t_size"))
-    dots = weights.join(t_side, "word").groupBy("statement", "template", "license", "t_size").agg(
+    dots = weights.join(t_side, "word").groupBy("key", "template", "license", "t_size").agg(
         F.sum(F.col("weight") * F.col("t_weight")).alias("dot")
     )
     cosine = F.round(F.col("dot") / (F.col("size") * F.col("t_size")), 9)
-    scored = dots.join(sizes, "statement").withColumn("score", cosine).where(F.col("score") >= threshold)
+    scored = dots.join(sizes, "key").withColumn("score", cosine).where(F.col("score") >= threshold)
     best = F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("best")
-    return scored.groupBy("statement").agg(best).select(
-        "statement", F.col("best.license").alias("license"), (-F.col("best.order")).alias("score")
+    return scored.groupBy("key").agg(best).select(
+        "key", F.col("best.license").alias("license"), (-F.col("best.order")).alias("score")
     )
 
 
@@ -167,11 +260,12 @@ def own_licenses(files: DataFrame, threshold: float) -> DataFrame:
             keys = field(batch, "row_key").take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_pydict({"row_key": keys, "statement": pa.array(found, pa.string())})
 
-    said = freeze(files.select("row_key", "body").mapInArrow(rows, "row_key string, statement string"))
+    said = files.select("row_key", "body").mapInArrow(rows, "row_key string, statement string")
+    said = freeze(said.withColumn("key", F.md5("statement")))
     # A statement that a third of all files have is one row from here on.
-    scored = scored_statements(said.groupBy("statement").agg(F.count("*").alias("n")), threshold)
+    scored = scored_statements(said.groupBy("key", "statement").agg(F.count("*").alias("n")), threshold)
     best = F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("best")
-    return said.join(scored, "statement").groupBy("row_key").agg(best).select(
+    return said.select("row_key", "key").join(scored, "key").groupBy("row_key").agg(best).select(
         "row_key", F.col("best.license").alias("own_license"), (-F.col("best.order")).alias("score")
     )
 

@@ -220,3 +220,31 @@ def test_scores_are_those_of_brute_force(spark):
     expected = brute.cosine_licenses(said, [(n, words_of(t)) for n, t in TEMPLATES], THRESHOLD)
     found = license_scan(files, "path", "text")
     assert Counter((r.own_license, r.score) for r in found.collect()) == Counter(expected)
+
+
+def test_wrapped_and_commented_licences_are_known(spark):
+    import textwrap
+
+    from caseload.llm.licenses import _gnu
+
+    def wrapped(text, width=70, mark=""):
+        return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+    mit = max((t for n, t in TEMPLATES if n == "MIT"), key=len).removeprefix("MIT License ")
+    first, rest = mit.split(" The above", 1)
+    mit = f"{wrapped(first)}\n\n{wrapped('The above' + rest)}"
+    apache = max((t for n, t in TEMPLATES if n == "Apache-2.0"), key=len)
+    gnu = {name: _gnu(*of) for name, *of in (("GPL-3.0", "General Public License", "3"), ("GPL-2.0", "General Public License", "2"))}
+    rows = [
+        ("m/LICENSE", f"Copyright (c) 2020 Jo Doe\n\n{mit}\n", "MIT"),
+        ("m/a/main.c", "int main;", "MIT"),
+        ("c/mit.js", "/*\n" + textwrap.indent(f"Copyright (c) 2020 Jo Doe\n\n{mit}", " * ", lambda _: True) + "\n */\nf();", "MIT"),
+        ("c/apache.py", f"#!/usr/bin/python\n{wrapped(apache, 60, '# ')}\n\nimport os", "Apache-2.0"),
+        ("c/gpl.cc", f"{wrapped(gnu['GPL-3.0'][1], 60, '// ')}\nint x;", "GPL-3.0"),
+        ("c/gpl2.cc", f"{wrapped(gnu['GPL-2.0'][1], 60, '// ')}\nint x;", "GPL-2.0"),
+        ("g/COPYING", "    GNU GENERAL PUBLIC LICENSE\n       Version 3, 29 June 2007\n\n Everyone may copy it.", "GPL-3.0"),
+        ("n/none.txt", "Of the license\nwe know nothing.", None),
+    ]
+    files = spark.createDataFrame(rows, "path string, text string, expected string")
+    found = {r.path: r.license for r in license_scan(files, "path", "text").collect()}
+    assert found == {path: name for path, _, name in rows}
