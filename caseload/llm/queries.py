@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import round_trip_digests
 from .chat import formatted_chats
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
 from .html_extract import Model, main_texts
 from .html_pages import labelled_pages
+from .lexical_search import search
 from .licenses import license_scan
+from .merkle import manifest
 from .packing import pack
 from .pii import personal_data
 from .quality import quality_scores, trained
@@ -78,6 +81,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"), Model(labelled_pages())).drop("row_key")
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(read_table(spark, sf_dir, "documents")).drop("row_key")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read_table(spark, sf_dir, "documents"), proofs=False).drop("tree")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("item")
+
+
 OP4_SQL = """
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -152,6 +167,120 @@ FROM kept JOIN turns USING (conv_id)
 GROUP BY ALL
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE
+crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, s: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+),
+changed AS (
+  SELECT d.*, CASE WHEN xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+           list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ord(s) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 2 = 0
+         THEN replace(text, chr(10), '') ELSE text END AS tampered
+  FROM documents AS d, crc
+),
+parts AS (
+  SELECT source, doc_id, text, tampered,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+  FROM changed
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM (
+    SELECT source, doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(tampered) || ':' || tampered, '-')) AS spoiled
+    FROM parts
+  )
+),
+nodes AS (
+  SELECT source, 0 AS level, pos, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3, n
+),
+subroots AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1
+),
+top AS (
+  SELECT 0 AS level, pos, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, pos // 3, n
+),
+heights AS (SELECT source, max(level) AS height FROM nodes GROUP BY source),
+steps AS (
+  SELECT l.source, l.doc_id, l.pos, n.level,
+         coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos < l.pos // CAST(pow(3, n.level) AS BIGINT)), '') AS before,
+         coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos > l.pos // CAST(pow(3, n.level) AS BIGINT)), '') AS after
+  FROM leaves AS l JOIN heights AS t ON l.source IS NOT DISTINCT FROM t.source
+  JOIN nodes AS n ON n.source IS NOT DISTINCT FROM l.source AND n.level < t.height
+   AND n.pos // 3 = l.pos // CAST(pow(3, n.level + 1) AS BIGINT)
+  GROUP BY ALL
+),
+top_steps AS (
+  SELECT s.source, n.level,
+         coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos < s.pos // CAST(pow(3, n.level) AS BIGINT)), '') AS before,
+         coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos > s.pos // CAST(pow(3, n.level) AS BIGINT)), '') AS after
+  FROM subroots AS s JOIN top AS n ON n.n > 1 AND n.pos // 3 = s.pos // CAST(pow(3, n.level + 1) AS BIGINT)
+  GROUP BY s.source, s.pos, n.level
+),
+lower_paths AS (
+  SELECT source, pos, list(before || '|' || after ORDER BY level) AS path, string_agg(before || after, '' ORDER BY level) AS proof
+  FROM steps GROUP BY source, pos
+),
+upper_paths AS (
+  SELECT source, list(before || '|' || after ORDER BY level) AS path, string_agg(before || after, '' ORDER BY level) AS proof
+  FROM top_steps GROUP BY source
+),
+folded AS (
+  SELECT l.doc_id, l.leaf, s.subroot, r.h AS root,
+         sha256(coalesce(a.proof, '') || coalesce(b.proof, '')) AS proof_sha256,
+         list_reduce([l.spoiled] || coalesce(a.path, []) || coalesce(b.path, []),
+           lambda x, step: sha256(split_part(step, '|', 1) || x || split_part(step, '|', 2))) AS folded_root
+  FROM leaves AS l
+  JOIN subroots AS s ON l.source IS NOT DISTINCT FROM s.source
+  JOIN top AS r ON r.n = 1
+  LEFT JOIN lower_paths AS a ON a.source IS NOT DISTINCT FROM l.source AND a.pos = l.pos
+  LEFT JOIN upper_paths AS b ON b.source IS NOT DISTINCT FROM l.source
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+OP13_SQL = r"""
+WITH found AS (
+  SELECT doc_id, row_number() OVER () AS doc, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+asked AS (
+  SELECT DISTINCT item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS item FROM benchmark)
+),
+lengths AS (SELECT doc, doc_id, count(*) AS n FROM found GROUP BY doc, doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+places AS (SELECT doc, term, count(*) AS tf FROM found WHERE term IN (SELECT term FROM asked) GROUP BY doc, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM places, whole GROUP BY term, docs
+),
+scored AS (
+  SELECT item, item_id, doc, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN places USING (term) JOIN weights USING (term) JOIN lengths USING (doc), whole
+  GROUP BY item, item_id, doc, doc_id
+),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -163,4 +292,7 @@ QUERIES = {
     "op8_license_scan": (op8_license_scan, None),
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
     "op10_html_extraction": (op10_html_extraction, None),
+    "op11_bpe_round_trip": (op11_bpe_round_trip, None),
+    "op12_merkle_manifest": (op12_merkle_manifest, OP12_SQL),
+    "op13_lexical_search": (op13_lexical_search, OP13_SQL),
 }
