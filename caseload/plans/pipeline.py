@@ -29,6 +29,15 @@ RAW = {
     "timeliness_medicaid": raw.timeliness_medicaid,
     "mco_enrollment_by_sda": raw.mco_enrollment_by_sda,
 }
+# The sheets of the published workbooks, by name or place.
+SHEETS: dict[str, str | int] = {
+    "enrollment_by_risk_group": "Caseload by RG",
+    "chip_enrollment_detail": "CHIP Regular Caseload",
+    "htw_enrollment": "Summary",
+    "enrollment_by_county": "Summary",
+    "timeliness_medicaid": "Medicaid",
+    "mco_enrollment_by_sda": 0,
+}
 STAGING = {
     "stg_enrollment_by_risk_group": (
         staging.stg_enrollment_by_risk_group,
