@@ -112,86 +112,98 @@ def cell(name: str) -> Column:
     return F.get(F.col("cells"), F.array_position(F.col("header"), F.lit(name)).cast("int") - 1)
 
 
+def under_header(grid: DataFrame, header_row: int, level: str = "full") -> DataFrame:
+    """Rows below `header_row`, with the names of their own sheet's header in `header`, see `cell`.
+
+    One pass: a window over a sheet, which its format limits to 2**20 rows.
+    """
+    names = F.transform(repaired_header(F.col("cells")), lambda c: normalised(c, level))
+    header = F.max(F.when(F.col("row_idx") == header_row, names)).over(Window.partitionBy("source_path"))
+    found = grid.where(F.col("row_idx") >= header_row).withColumn("header", header)
+    return found.where(F.col("row_idx") > header_row)
+
+
 def block_rows(
-    grid: DataFrame, *, first_row: int, closing: str | None, frame: DataFrame | None = None
+    grid: DataFrame, *, header_row: int, first_row: int, height: int, closing: str | None = None
 ) -> DataFrame:
-    """Rows from `first_row` on, with `reason` where they stand after the last block.
+    """Rows of a matrix of equal blocks, with what `block_cells` needs of their sheet.
 
-    The blocks of a sheet end before the first row whose first cell is `closing`.
+    Blocks are `height` rows high and fill the sheet from `first_row` to its end, or up to the row
+    whose first cell is `closing`; rows from there on have a `reason`. Adds `block_columns` (the names
+    of the header row, without its first and last cell), `block_name` (the first cell of a block's
+    first row) and `block_offset`. One pass: windows over a sheet.
     """
-    rows = grid.where(F.col("row_idx") >= first_row)
-    if closing is None:
-        return rows.withColumn("reason", F.lit(None).cast("string"))
-    source = grid if frame is None else frame
-    is_closing = F.trim(F.get("cells", F.lit(0))) == closing
-    ends = source.where((F.col("row_idx") >= first_row) & is_closing)
-    ends = ends.groupBy("source_path").agg(F.min("row_idx").alias("__end"))
-    behind = F.col("row_idx") >= F.col("__end")
-    return rows.join(ends, "source_path", "left").select(
-        *grid.columns, F.when(behind, "after the last block").alias("reason")
+    below = F.col("row_idx") >= first_row
+    position, first_cell = F.col("row_idx") - first_row, F.get("cells", F.lit(0))
+    sheet = Window.partitionBy("source_path")
+    ends = F.min(F.when(below & (F.trim(first_cell) == closing), F.col("row_idx"))) if closing else None
+    found = (
+        grid.where(below | (F.col("row_idx") == header_row))
+        .withColumns({"__number": F.floor(position / height), "block_offset": F.pmod(position, F.lit(height))})
+        .withColumns(
+            {
+                "block_columns": F.max(
+                    F.when(F.col("row_idx") == header_row, _inner_cells(F.col("cells")))
+                ).over(sheet),
+                "block_name": F.max(F.when(below & (F.col("block_offset") == 0), first_cell)).over(
+                    Window.partitionBy("source_path", "__number")
+                ),
+                "__end": F.lit(None).cast("int") if ends is None else ends.over(sheet),
+            }
+        )
     )
+    reason = F.when(F.col("row_idx") >= F.col("__end"), "after the last block")
+    return found.where(below).withColumn("reason", reason).drop("__number", "__end")
 
 
-def decode_blocks(
-    grid: DataFrame,
-    *,
-    header_row: int,
-    first_row: int,
-    labels: Sequence[Mapping[str, str]],
-    block: str,
-    column: str,
-    value: str,
-    closing: str | None = None,
-    frame: DataFrame | None = None,
+def block_cells(
+    rows: DataFrame, *, labels: Sequence[Mapping[str, str]], block: str, column: str, value: str
 ) -> DataFrame:
-    """Cells of a matrix of equal blocks as rows (sheet, block, labels, column, value).
+    """Cells of the rows that `block_rows` gives as rows (sheet, block, labels, column, value).
 
-    Blocks are `len(labels)` rows high and fill the sheet from `first_row` to its end, or up to
-    the row named `closing`. The first cell of a block's first row names the block, `labels`
-    names its rows by offset, and `header_row` names the columns. The last column is a total
-    and is left out, and so are cells without a value, such as all those of a note.
-
-    Names are joined by sheet and number of the block, so a sheet may have any number of them.
-    `frame` holds the rows of headers, names and closing labels, where the caller has them
-    apart; else they are looked up in `grid`.
+    `labels` names a block's rows by offset. The last column is a total and is left out, and so are
+    cells without a value, such as all those of a note.
     """
-    height = len(labels)
-    source = grid if frame is None else frame
-    position = F.col("row_idx") - first_row
-    number, offset = F.floor(position / height), F.pmod(position, F.lit(height))
-    columns = source.where(F.col("row_idx") == header_row).select(
-        "source_path", _inner_cells(F.col("cells")).alias("__columns")
-    )
-    names = source.where((F.col("row_idx") >= first_row) & (offset == 0)).select(
-        "source_path", number.alias("__number"), F.get("cells", F.lit(0)).alias(block)
-    )
     by_offset = F.array(
         *[F.struct(*[F.lit(v).alias(k) for k, v in label.items()]) for label in labels]
     )
     # Names and labels are settled per row, before the row becomes as many rows as cells.
-    pairs = F.arrays_zip("__columns", "__values")
-    rows = block_rows(grid, first_row=first_row, closing=closing, frame=frame)
-    rows = (
-        rows.where("reason IS NULL")
-        .withColumns({"__number": number, "__values": _inner_cells(F.col("cells"))})
-        .join(columns, "source_path", "left")
-        .join(names, ["source_path", "__number"], "left")
-        .select(
-            *SHEET,
-            block,
-            F.get(by_offset, offset).alias("__label"),
-            F.filter(pairs, lambda pair: pair["__values"].isNotNull()).alias("__pairs"),
-        )
+    pairs = F.arrays_zip("block_columns", "__values")
+    settled = rows.withColumn("__values", _inner_cells(F.col("cells"))).select(
+        *SHEET,
+        F.col("block_name").alias(block),
+        F.get(by_offset, F.col("block_offset")).alias("__label"),
+        F.filter(pairs, lambda pair: pair["__values"].isNotNull()).alias("__pairs"),
     )
-    return rows.withColumn("__cell", F.explode("__pairs")).select(
+    return settled.withColumn("__cell", F.explode("__pairs")).select(
         *SHEET,
         block,
         *[F.col("__label")[name].alias(name) for name in labels[0]],
-        F.col("__cell")["__columns"].alias(column),
+        F.col("__cell")["block_columns"].alias(column),
         F.col("__cell")["__values"].alias(value),
     )
 
 
+def decode_blocks(
+    grid: DataFrame,
+    *,
+    header_row: int,
+    first_row: int,
+    labels: Sequence[Mapping[str, str]],
+    block: str,
+    column: str,
+    value: str,
+    closing: str | None = None,
+) -> DataFrame:
+    """Cells of a matrix of equal blocks as rows, see `block_rows` and `block_cells`."""
+    rows = block_rows(
+        grid, header_row=header_row, first_row=first_row, height=len(labels), closing=closing
+    )
+    return block_cells(
+        rows.where("reason IS NULL"), labels=labels, block=block, column=column, value=value
+    )
+
+
 def _inner_cells(cells: Column) -> Column:
     """All cells but the first (a label) and the last (a total)."""
     return F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 2, F.lit(0)))

@@ -15,6 +15,7 @@ from ..sources.sinks import (
     publish_table,
     publish_view,
     raise_failed,
+    reasons_per_file,
     target_namespace,
     with_audit_time,
 )
@@ -84,7 +85,7 @@ def load_raw(
             publish_table(rows, table, namespace=namespace, audit_column="loaded_at")
         )
         if outcomes[-1].status == "loaded":
-            per_file.append(raw.REPORTS[table](grid))
+            per_file.append(reasons_per_file(RAW[table].judge(grid), table))
     if not tolerate:
         raise_failed(outcomes)
     return reduce(DataFrame.unionByName, [load_report(spark, outcomes), *per_file])

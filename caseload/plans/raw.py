@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.labels import flag_in
 from ..functions.names import month_from_name
 from ..functions.scalars import clean_text, date_to_epoch_micros, number_or_null, strip
-from ..operators.reshape import block_rows, cell, decode_blocks, stack_sections, with_header
+from ..operators.reshape import block_cells, block_rows, cell, stack_sections, under_header
 from ..operators.rows import drop_any_value, integer_key
-from ..sources.sinks import reasons_per_file
-
-Report = Callable[[DataFrame], DataFrame]
 
 # Sheet layouts, column names, codes and labels of the published tables.
 RISK_GROUP_HEADER_ROW = 2
@@ -74,37 +72,76 @@ MCO_ROW_LABELS = [
 MCO_ENROLLMENT_TYPE, MCO_FISCAL_YEAR = "sfy_monthly_average", 2025
 
 
-def enrollment_by_risk_group(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
-    """Month and eleven measures; the derived total of the child groups is left out.
+@dataclass(frozen=True)
+class RawTable:
+    """How a raw table comes from landed sheets.
 
-    Here and below, `frame` holds the header rows of `grid` where the caller has them apart.
+    `judge` gives all rows under a header, each with the `reason` why it is not loaded, if there is
+    one; `load` makes the table from the rows without a reason.
     """
-    rows = _series_rows(grid, RISK_GROUP_HEADER_ROW, "month", frame)
-    return _loaded(rows).select(
-        _month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES)
+
+    judge: Callable[[DataFrame], DataFrame]
+    load: Callable[..., DataFrame]
+
+    def __call__(self, grid: DataFrame, **given) -> DataFrame:
+        return self.load(self.judge(grid).where("reason IS NULL"), **given)
+
+
+def _judge_series(header_row: int, month: str) -> Callable[[DataFrame], DataFrame]:
+    """Of a sheet with one row per month: rows whose month cell is no date are notes."""
+
+    def judge(grid: DataFrame) -> DataFrame:
+        no_date = F.when(_day(month).isNull(), "no date in the month cell")
+        return under_header(grid, header_row).withColumn(
+            "reason", F.when(_is_blank(), "blank row").otherwise(no_date)
+        )
+
+    return judge
+
+
+def _judge_county(grid: DataFrame) -> DataFrame:
+    """Rows without a county's number are totals or notes."""
+    body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW)
+    return body.withColumn(
+        "reason",
+        F.when(_is_blank(), "blank row")
+        .when(F.size("cells") != len(COUNTY_COLUMNS), f"not {len(COUNTY_COLUMNS)} columns")
+        .when(integer_key(F.get("cells", F.lit(0))).isNull(), "no county code"),
     )
 
 
-def chip_enrollment_detail(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
-    """Month and four measures."""
-    rows = _series_rows(grid, CHIP_HEADER_ROW, "month", frame)
-    return _loaded(rows).select(_month_cell("month"), *_number_cells(CHIP_COLUMNS))
+def _judge_timeliness(grid: DataFrame) -> DataFrame:
+    """Rows of both tables; a sheet whose name gives no month has none to load."""
+    rows = stack_sections(grid, TIMELINESS_TABLES, TIMELINESS_KEY)
+    month = month_from_name("source_file", on_unknown="skip")
+    unknown = F.when(F.col("month").isNull(), "no month in the name")
+    return rows.withColumn("month", month).withColumn("reason", F.coalesce(unknown, "reason"))
 
 
-def htw_enrollment(grid: DataFrame, frame: DataFrame | None = None) -> DataFrame:
-    """Month and caseload, under a title and a blank header."""
-    month, caseload = HTW_RENAMES
-    rows = _series_rows(grid, HTW_HEADER_ROW, month, frame)
-    return _loaded(rows).select(
-        _month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"})
+def judge_plan_matrix(closing: str = MCO_CLOSING) -> Callable[[DataFrame], DataFrame]:
+    """Rows of the plan-by-area matrix, up to its closing label."""
+    return lambda grid: block_rows(
+        grid, header_row=MCO_HEADER_ROW, first_row=MCO_FIRST_ROW, height=len(MCO_ROW_LABELS), closing=closing
     )
 
 
-def enrollment_by_county(grid: DataFrame) -> DataFrame:
-    """County rows of all monthly sheets, columns named by position, month from the name."""
+def _load_risk_group(rows: DataFrame) -> DataFrame:
+    return rows.select(_month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES))
+
+
+def _load_chip(rows: DataFrame) -> DataFrame:
+    return rows.select(_month_cell("month"), *_number_cells(CHIP_COLUMNS))
+
+
+def _load_htw(rows: DataFrame) -> DataFrame:
+    month, caseload = HTW_RENAMES
+    return rows.select(_month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"}))
+
+
+def _load_county(rows: DataFrame) -> DataFrame:
     code, county, *measures = COUNTY_COLUMNS
     cells = {name: F.get("cells", F.lit(i)) for i, name in enumerate(COUNTY_COLUMNS)}
-    return _loaded(_county_rows(grid)).select(
+    return rows.select(
         integer_key(cells[code]).alias(code),
         cells[county].alias(county),
         *[number_or_null(cells[name]).alias(name) for name in measures],
@@ -112,9 +149,8 @@ def enrollment_by_county(grid: DataFrame) -> DataFrame:
     )
 
 
-def timeliness_medicaid(grid: DataFrame) -> DataFrame:
-    """Both tables of all monthly sheets; sheets without a month in their name are skipped."""
-    return _loaded(_timeliness_rows(grid)).select(
+def _load_timeliness(rows: DataFrame) -> DataFrame:
+    return rows.select(
         cell("region").alias("region"),
         *_number_cells(TIMELINESS_MEASURES),
         "record_type",
@@ -123,55 +159,8 @@ def timeliness_medicaid(grid: DataFrame) -> DataFrame:
     )
 
 
-def series_report(table: str, header_row: int, month: str) -> Report:
-    """Report of a sheet with one row per month."""
-    return lambda grid: reasons_per_file(_series_rows(grid, header_row, month), table)
-
-
-def county_report(grid: DataFrame) -> DataFrame:
-    return reasons_per_file(_county_rows(grid), "enrollment_by_county")
-
-
-def timeliness_report(grid: DataFrame) -> DataFrame:
-    return reasons_per_file(_timeliness_rows(grid), "timeliness_medicaid")
-
-
-def mco_report(grid: DataFrame, closing: str = MCO_CLOSING) -> DataFrame:
-    rows = block_rows(grid, first_row=MCO_FIRST_ROW, closing=closing)
-    return reasons_per_file(rows, "mco_enrollment_by_sda")
-
-
-#: For each raw table, the rows of each file that were loaded, and that were not and why.
-REPORTS: dict[str, Report] = {
-    "enrollment_by_risk_group": series_report(
-        "enrollment_by_risk_group", RISK_GROUP_HEADER_ROW, "month"
-    ),
-    "chip_enrollment_detail": series_report("chip_enrollment_detail", CHIP_HEADER_ROW, "month"),
-    "htw_enrollment": series_report("htw_enrollment", HTW_HEADER_ROW, next(iter(HTW_RENAMES))),
-    "enrollment_by_county": county_report,
-    "timeliness_medicaid": timeliness_report,
-    "mco_enrollment_by_sda": mco_report,
-}
-
-
-def mco_enrollment_by_sda(
-    grid: DataFrame,
-    fiscal_year: int = MCO_FISCAL_YEAR,
-    closing: str = MCO_CLOSING,
-    frame: DataFrame | None = None,
-) -> DataFrame:
-    """Cells of the plan-by-area matrix, derived total rows left out."""
-    cells = decode_blocks(
-        grid,
-        header_row=MCO_HEADER_ROW,
-        first_row=MCO_FIRST_ROW,
-        closing=closing,
-        frame=frame,
-        labels=MCO_ROW_LABELS,
-        block="mco_name",
-        column="sda",
-        value="enrollment",
-    )
+def _load_plans(rows: DataFrame, fiscal_year: int = MCO_FISCAL_YEAR) -> DataFrame:
+    cells = block_cells(rows, labels=MCO_ROW_LABELS, block="mco_name", column="sda", value="enrollment")
     parts = drop_any_value(cells, {"program": "TOTAL", "sub_program": "TOTAL"})
     return parts.select(
         clean_text("mco_name").alias("mco_name"),
@@ -185,43 +174,18 @@ def mco_enrollment_by_sda(
     )
 
 
-def _loaded(rows: DataFrame) -> DataFrame:
-    return rows.where("reason IS NULL")
-
-
-def _series_rows(
-    grid: DataFrame, header_row: int, month: str, frame: DataFrame | None = None
-) -> DataFrame:
-    """All rows under the header; those whose month cell is no date are notes."""
-    body = grid.where(F.col("row_idx") > header_row)
-    named = with_header(
-        body.withColumn("header_row", F.lit(header_row)),
-        grid if frame is None else frame,
-        [header_row],
-    )
-    return named.withColumn(
-        "reason",
-        F.when(_is_blank(), "blank row").when(_day(month).isNull(), "no date in the month cell"),
-    )
-
-
-def _county_rows(grid: DataFrame) -> DataFrame:
-    """All rows under the header; those without a county's number are totals or notes."""
-    body = grid.where(F.col("row_idx") > COUNTY_HEADER_ROW)
-    return body.withColumn(
-        "reason",
-        F.when(_is_blank(), "blank row")
-        .when(F.size("cells") != len(COUNTY_COLUMNS), f"not {len(COUNTY_COLUMNS)} columns")
-        .when(integer_key(F.get("cells", F.lit(0))).isNull(), "no county code"),
-    )
-
-
-def _timeliness_rows(grid: DataFrame) -> DataFrame:
-    """All rows of both tables; a sheet whose name gives no month has none to load."""
-    rows = stack_sections(grid, TIMELINESS_TABLES, TIMELINESS_KEY)
-    month = month_from_name("source_file", on_unknown="skip")
-    unknown = F.when(F.col("month").isNull(), "no month in the name")
-    return rows.withColumn("month", month).withColumn("reason", F.coalesce(unknown, "reason"))
+#: Month and eleven measures; the derived total of the child groups is left out.
+enrollment_by_risk_group = RawTable(_judge_series(RISK_GROUP_HEADER_ROW, "month"), _load_risk_group)
+#: Month and four measures.
+chip_enrollment_detail = RawTable(_judge_series(CHIP_HEADER_ROW, "month"), _load_chip)
+#: Month and caseload, under a title and a blank header.
+htw_enrollment = RawTable(_judge_series(HTW_HEADER_ROW, next(iter(HTW_RENAMES))), _load_htw)
+#: County rows of all monthly sheets, columns named by position, month from the name.
+enrollment_by_county = RawTable(_judge_county, _load_county)
+#: Both tables of all monthly sheets; sheets without a month in their name are skipped.
+timeliness_medicaid = RawTable(_judge_timeliness, _load_timeliness)
+#: Cells of the plan-by-area matrix, derived total rows left out; takes the `fiscal_year`.
+mco_enrollment_by_sda = RawTable(judge_plan_matrix(), _load_plans)
 
 
 def _is_blank() -> Column:

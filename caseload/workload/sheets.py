@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import decode_blocks
 from ..plans import raw
+from ..plans.pipeline import RAW
 from ..session import shared_folder
 from ..sources import grid as landing
-from ..sources.sinks import publish_table
+from ..sources.sinks import publish_table, reasons_per_file
 from .raw_tables import (
     CHIP_MONTHS,
     COUNTY_MONTHS,
@@ -59,17 +60,12 @@ def _row(row_idx: int, cells: Sequence[str | None]) -> Column:
     return F.struct(F.lit(row_idx).alias("row_idx"), texts.alias("cells"))
 
 
-Sheet = tuple[DataFrame, DataFrame]
-
-
-def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Column]) -> Sheet:
-    """One sheet: all its rows, and the rows every such sheet has."""
+def _sheet(spark: SparkSession, name: str, data: DataFrame, fixed: Sequence[Column]) -> DataFrame:
+    """One sheet: its data rows, and the rows every such sheet has."""
     frame = spark.range(1).select(F.inline(F.array(*fixed)))
-    # A name that every row has, but no literal: sheets are joined by it.
-    file = F.when(F.col("row_idx") >= 0, F.lit(name))
-    return tuple(
-        rows.select(file.alias("source_path"), file.alias("source_file"), "row_idx", "cells")
-        for rows in (data.select("row_idx", "cells").unionByName(frame), frame)
+    rows = data.select("row_idx", "cells").unionByName(frame)
+    return rows.select(
+        F.lit(name).alias("source_path"), F.lit(name).alias("source_file"), "row_idx", "cells"
     )
 
 
@@ -98,7 +94,7 @@ def _dated_name(prefix: Column | str) -> Column:
     return F.concat(start, spelled, F.lit("-"), F.year("day"), F.lit(".xlsx"))
 
 
-def risk_group_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
+def risk_group_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = risk_group_months(spark, sf_dir)
     cells = F.array(*_texts(months.columns), F.lit("1"))
     fixed = [
@@ -110,14 +106,14 @@ def risk_group_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
     return _sheet(spark, "risk-group.xlsx", data, fixed)
 
 
-def chip_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
+def chip_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = chip_months(spark, sf_dir)
     data = months.select(_row_of_month(2), F.array(*_texts(months.columns)).alias("cells"))
     fixed = [_row(1, CHIP_HEADER), _row(NOTES_ROW, ["Note: final", *[None] * 4])]
     return _sheet(spark, "chip.xlsx", data, fixed)
 
 
-def htw_sheet(spark: SparkSession, sf_dir: str) -> Sheet:
+def htw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = htw_months(spark, sf_dir)
     data = months.select(_row_of_month(1), F.array(*_texts(months.columns)).alias("cells"))
     fixed = [_row(0, ["Healthy Texas Women Caseload", None]), _row(NOTES_ROW, ["Note", None])]
@@ -181,7 +177,7 @@ def timeliness_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sheets(rows, frame)
 
 
-def mco_sheets(spark: SparkSession, sf_dir: str) -> Sheet:
+def mco_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets of a header with the brands, ten rows per supplier, and a closing line.
 
     The rows that name suppliers, the headers and the closing lines come from the suppliers alone.
@@ -229,22 +225,21 @@ def mco_sheets(spark: SparkSession, sf_dir: str) -> Sheet:
     )
     files = suppliers.select(file.alias("source_file")).distinct()
     frame = names.unionByName(files.select("source_file", F.inline(ends)))
-    return tuple(
-        rows.select(F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells")
-        for rows in (programs.unionByName(frame), frame)
+    return programs.unionByName(frame).select(
+        F.col("source_file").alias("source_path"), "source_file", "row_idx", "cells"
     )
 
 
 def raw_risk_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.enrollment_by_risk_group(*risk_group_sheet(spark, sf_dir))
+    return raw.enrollment_by_risk_group(risk_group_sheet(spark, sf_dir))
 
 
 def raw_chip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.chip_enrollment_detail(*chip_sheet(spark, sf_dir))
+    return raw.chip_enrollment_detail(chip_sheet(spark, sf_dir))
 
 
 def raw_htw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw.htw_enrollment(*htw_sheet(spark, sf_dir))
+    return raw.htw_enrollment(htw_sheet(spark, sf_dir))
 
 
 def raw_county(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,8 +264,7 @@ WHERE report_month >= epoch_us(TIMESTAMP '2019-07-01')
 
 
 def raw_mco(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid, frame = mco_sheets(spark, sf_dir)
-    return raw.mco_enrollment_by_sda(grid, frame=frame)
+    return raw.mco_enrollment_by_sda(mco_sheets(spark, sf_dir))
 
 
 _MCO_FILE = f"'mco-' || CAST(l_suppkey // {SUPPLIERS_PER_SHEET} AS VARCHAR) || '.xlsx'"
@@ -284,14 +278,12 @@ FROM ({MCO_CELLS})
 
 def block_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bare decoder: total rows stay, names and values are still cell text."""
-    grid, frame = mco_sheets(spark, sf_dir)
     cells = decode_blocks(
-        grid,
+        mco_sheets(spark, sf_dir),
         header_row=raw.MCO_HEADER_ROW,
         first_row=raw.MCO_FIRST_ROW,
         labels=raw.MCO_ROW_LABELS,
         closing=raw.MCO_CLOSING,
-        frame=frame,
         block="name",
         column="brand",
         value="value",
@@ -336,15 +328,17 @@ SELECT *, count(*) OVER () AS n_loaded, true AS audited FROM ({SERIES_TREND})
 
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded and not, and why, per sheet of all six tables."""
-    series = {
+    sheets = {
         "enrollment_by_risk_group": risk_group_sheet,
         "chip_enrollment_detail": chip_sheet,
         "htw_enrollment": htw_sheet,
+        "enrollment_by_county": county_sheets,
+        "timeliness_medicaid": timeliness_sheets,
+        "mco_enrollment_by_sda": mco_sheets,
     }
-    reports = [raw.REPORTS[name](sheet(spark, sf_dir)[0]) for name, sheet in series.items()]
-    reports.append(raw.county_report(county_sheets(spark, sf_dir)))
-    reports.append(raw.timeliness_report(timeliness_sheets(spark, sf_dir)))
-    reports.append(raw.mco_report(mco_sheets(spark, sf_dir)[0]))
+    reports = [
+        reasons_per_file(RAW[name].judge(sheet(spark, sf_dir)), name) for name, sheet in sheets.items()
+    ]
     return reduce(DataFrame.unionByName, reports)
 
 
