@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
+from dataclasses import replace
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.quality import Check, run_all
 from ..sources import grid as sheets
@@ -19,8 +21,10 @@ from ..sources.sinks import (
     target_namespace,
     with_audit_time,
 )
+from ..sources.workbook import read_workbooks
 from . import marts, raw, staging
 from .checks import AUDIT_COLUMN, declared_checks, documented_checks, grain_checks
+from .graph import Model, ModelGraph, together
 
 RAW = {
     "enrollment_by_risk_group": raw.enrollment_by_risk_group,
@@ -60,6 +64,14 @@ MARTS = {
 }
 
 
+#: All models by name, over the raw tables.
+GRAPH = ModelGraph(
+    [Model(name, build, (source,), is_view=True) for name, (build, source) in STAGING.items()]
+    + [Model(name, build, (source,)) for name, (build, source) in MARTS.items()],
+    RAW,
+)
+
+
 def load_raw(
     spark: SparkSession,
     landing: Mapping[str, str],
@@ -67,28 +79,43 @@ def load_raw(
     namespace: str = "raw",
     tolerate: bool = False,
     fiscal_year: int = raw.MCO_FISCAL_YEAR,
+    workbooks: bool = False,
 ) -> DataFrame:
     """Replace the raw tables from landed sheets; `landing` maps a table to its folder.
 
-    A table that fails does not keep the others from loading. The failures are raised at the
-    end, or with `tolerate` only reported. Returns the load report, per table and per file:
-    every row under a header is in it, as loaded or with the reason why it is not.
-    `fiscal_year` is the year of the plan matrix, which its sheets don't tell.
+    With `workbooks` the folders hold the published workbooks themselves, else their sheets as JSON
+    lines. Each sheet is read once: its rows go to `<table>_rows`, by whether they are loaded, and with
+    the reason where they are not; the table and the report come from there. A table that fails does not
+    keep the others from loading. The failures are raised at the end, or with `tolerate` only reported.
+    Returns the load report, per table and per file. `fiscal_year` is the year of the plan matrix, which
+    its sheets don't tell.
     """
-    outcomes: list[Outcome] = []
-    per_file: list[DataFrame] = []
-    for table, path in landing.items():
-        grid = sheets.read_grid(spark, path)
+    database = target_namespace(namespace, "default")
+
+    def load(table: str, path: str) -> Outcome:
+        if workbooks:
+            grid = read_workbooks(spark, path, SHEETS[table]).drop("sheet")
+        else:
+            grid = sheets.read_grid(spark, path)
+        loaded = F.when(F.col("reason").isNull(), "loaded").otherwise("skipped")
+        judged = RAW[table].judge(grid).withColumn("outcome", loaded)
+        kept = publish_table(judged, f"{table}_rows", namespace=namespace, partition_by=["outcome"])
+        if kept.status != "loaded":
+            return replace(kept, table=table)
+        rows = spark.table(f"`{database}`.`{table}_rows`").where("outcome = 'loaded'")
         given = {"fiscal_year": fiscal_year} if table == "mco_enrollment_by_sda" else {}
-        rows = RAW[table](grid, **given)
-        outcomes.append(
-            publish_table(rows, table, namespace=namespace, audit_column="loaded_at")
-        )
-        if outcomes[-1].status == "loaded":
-            per_file.append(reasons_per_file(RAW[table].judge(grid), table))
+        frame = RAW[table].load(rows, **given)
+        return publish_table(frame, table, namespace=namespace, audit_column="loaded_at")
+
+    outcomes = together({table: partial(load, table, path) for table, path in landing.items()})
     if not tolerate:
-        raise_failed(outcomes)
-    return reduce(DataFrame.unionByName, [load_report(spark, outcomes), *per_file])
+        raise_failed(list(outcomes.values()))
+    per_file = [
+        reasons_per_file(spark.table(f"`{database}`.`{table}_rows`"), table)
+        for table, outcome in outcomes.items()
+        if outcome.status == "loaded"
+    ]
+    return reduce(DataFrame.unionByName, [load_report(spark, list(outcomes.values())), *per_file])
 
 
 def build_models(
@@ -97,29 +124,37 @@ def build_models(
     raw_namespace: str = "raw",
     mart_namespace: str = "marts",
     only: Sequence[str] | None = None,
+    changed: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Offer the staging views over the raw tables and replace the mart tables.
+    """Offer the staging views over the raw tables and replace the mart tables, in the graph's order.
 
-    `only` names the marts to build; then only their views are offered. Returns the load report
-    of the marts and raises if one of them failed.
+    `only` names the marts to build, with the views that they read; `changed` the raw tables (or models)
+    below which everything is built again, and nothing else. Returns the load report of the marts and
+    raises if one of them failed.
     """
-    source = target_namespace(raw_namespace, "default")
-    needed = {view for name, (_, view) in MARTS.items() if only is None or name in only}
-    staged = {
-        name: build(spark.table(f"`{source}`.`{table}`"))
-        for name, (build, table) in STAGING.items()
-        if name in needed
-    }
-    for name, frame in staged.items():
-        publish_view(with_audit_time(frame, AUDIT_COLUMN), name)
-    target = {"namespace": mart_namespace, "audit_column": AUDIT_COLUMN}
-    outcomes = [
-        publish_table(build(staged[view]), name, **target)
-        for name, (build, view) in MARTS.items()
-        if only is None or name in only
-    ]
+    names = set(GRAPH.models) if only is None else GRAPH.above(only)
+    if changed is not None:
+        names &= GRAPH.below(changed)
+    source, target = (target_namespace(n, "default") for n in (raw_namespace, mart_namespace))
+    views: dict[str, DataFrame] = {}
+
+    def read(name: str) -> DataFrame:
+        if name in RAW:
+            return spark.table(f"`{source}`.`{name}`")
+        if GRAPH.models[name].is_view:
+            return views[name] if name in views else spark.table(name).drop(AUDIT_COLUMN)
+        return spark.table(f"`{target}`.`{name}`")
+
+    def publish(model: Model, frame: DataFrame) -> Outcome:
+        if model.is_view:
+            views[model.name] = frame
+            publish_view(with_audit_time(frame, AUDIT_COLUMN), model.name)
+            return Outcome(model.name, "loaded")
+        return publish_table(frame, model.name, namespace=mart_namespace, audit_column=AUDIT_COLUMN)
+
+    outcomes = GRAPH.build(read, publish, names)
     raise_failed(outcomes)
-    return load_report(spark, outcomes)
+    return load_report(spark, [o for o in outcomes if not GRAPH.models[o.table].is_view])
 
 
 def model_checks(name: str, staged: Mapping[str, DataFrame]) -> list[Check]:

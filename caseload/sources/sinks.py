@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+#: The log of versions beside them.
+LOG = "published"
 REPORT_SCHEMA = "table STRING, file STRING, status STRING, n_rows BIGINT, message STRING"
 
 
@@ -46,25 +50,78 @@ def publish_table(
     default_namespace: str = "default",
     path: str | None = None,
     audit_column: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> Outcome:
-    """Replace a table, schema included, and count its rows while writing them.
+    """Replace a table at once, schema included, and count its rows while writing them.
 
-    With `path` the table is a parquet folder there, otherwise a catalog table.
-    A failure is returned and not raised, see `raise_failed`.
+    The rows are written to a new folder, and then the table's name is pointed to it: in the catalog
+    the table is a view of that folder, and with `path` the folder is named by the last line of a log,
+    see `read_published`. Readers of the version before go on undisturbed, and a write that fails
+    leaves the old rows. Old folders stay until `drop_old_versions`. A failure is returned and not
+    raised, see `raise_failed`.
     """
-    counter = Observation()
+    spark, counter = df.sparkSession, Observation()
     out = df if audit_column is None else with_audit_time(df, audit_column)
     out = out.observe(counter, F.count(F.lit(1)).alias("n_rows"))
+    version = f"v-{uuid.uuid4().hex}"
     try:
         if path is not None:
-            out.write.mode("overwrite").parquet(path)
+            out.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+            n_rows = counter.get["n_rows"]
+            line = spark.range(1).select(
+                F.lit(version).alias("version"),
+                F.current_timestamp().alias("published_at"),
+                F.lit(n_rows).cast("bigint").alias("n_rows"),
+            )
+            line.coalesce(1).write.mode("append").parquet(f"{path}/{LOG}")
         else:
             database = target_namespace(namespace, default_namespace)
-            df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-            out.write.mode("overwrite").saveAsTable(f"`{database}`.`{table}`")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+            folder = f"{spark.catalog.getDatabase(f'`{database}`').locationUri}/{table}_versions/{version}"
+            out.write.partitionBy(*partition_by).parquet(folder)
+            n_rows = counter.get["n_rows"]
+            name = f"`{database}`.`{table}`"
+            if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+                spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
     except Exception as error:
         return Outcome(table, "failed", message=str(error).split("\n")[0])
-    return Outcome(table, "loaded", counter.get["n_rows"])
+    return Outcome(table, "loaded", n_rows)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The last version that `publish_table` finished under a path."""
+    return spark.read.parquet(f"{path}/{published_versions(spark, path).first()['version']}")
+
+
+def published_versions(spark: SparkSession, path: str) -> DataFrame:
+    """version, published_at and n_rows of what was published under a path, the last one first."""
+    return spark.read.parquet(f"{path}/{LOG}").orderBy(F.desc("published_at"), "version")
+
+
+def drop_old_versions(spark: SparkSession, folder: str, current: str, keep: int = 1) -> list[str]:
+    """Delete the version folders under a table's folder but the current one and the `keep` newest others.
+
+    Returns what was deleted. Readers of a version that goes fail, so keep those that may be read.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s for s in store.listStatus(path) if s.getPath().getName().startswith("v-")]
+    others = [s for s in found if s.getPath().getName() != current]
+    old = sorted(others, key=lambda s: s.getModificationTime(), reverse=True)[keep:]
+    for status in old:
+        store.delete(status.getPath(), True)
+    return [status.getPath().getName() for status in old]
+
+
+def current_version(spark: SparkSession, table: str) -> tuple[str, str]:
+    """(folder, version) that the name of a published catalog table points to."""
+    files = spark.table(table).inputFiles()
+    if files:
+        found = re.search(r"(.*)/(v-[0-9a-f]{32})/", files[0])
+        if found:
+            return found[1], found[2]
+    raise ValueError(f"{table} is no published table")
 
 
 def raise_failed(outcomes: Sequence[Outcome]) -> None:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sql import register_sql_functions
-from ..plans.checks import AUDIT_COLUMN
-from ..plans.pipeline import MARTS, STAGING, build_models
+from ..plans.graph import together
+from ..plans.pipeline import MARTS, RAW, STAGING, build_models
 from ..plans.raw import COUNTY_CODE
 from ..sources.sinks import publish_table, publish_view, raise_failed, target_namespace
 from .raw_tables import RAW_SQL, raw_tables
@@ -181,26 +182,64 @@ FROM (SELECT *, lag(chip_caseload) OVER (ORDER BY report_month) AS before
 """
 
 
+#: A measure of each mart, as it is summed for comparison.
+MEASURES = {
+    "mart_enrollment_trends": "enrollment_count",
+    "mart_enrollment_by_county": "enrollment_count",
+    "mart_timeliness_performance": "timely",
+    "mart_chip_enrollment": "chip_caseload",
+    "mart_htw_caseload": "htw_caseload",
+    "mart_mco_enrollment": "enrollment_avg",
+}
+
+
 def catalog_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mart by way of the catalog: raw table, view and mart by name, in routed namespaces.
+    """All marts by way of the catalog: raw tables, views and marts by name, in routed namespaces.
 
-    The namespaces are new ones, so nothing that a user has is replaced.
+    One row per mart with its rows, the sum of a measure in thousandths, and the rows whose change has no
+    row before. The namespaces are new ones, so nothing that a user has is replaced, and are dropped.
     """
     run = uuid.uuid4().hex
-    name, (_, view) = "mart_enrollment_trends", MARTS["mart_enrollment_trends"]
-    _, source = STAGING[view]
-    outcome = publish_table(
-        raw_tables(spark, sf_dir, source), source, namespace=f" raw_{run} ", audit_column="loaded_at"
-    )
-    raise_failed([outcome])
-    built = build_models(spark, raw_namespace=f"raw_{run}", mart_namespace=f"marts_{run}", only=[name])
-    loaded = spark.table(f"`{target_namespace(f'marts_{run}', 'default')}`.`{name}`")
-    return loaded.drop(AUDIT_COLUMN).withColumn("n_loaded", F.lit(built.first()["n_rows"]))
-
-
-CATALOG_MODELS = f"""
-SELECT *, count(*) OVER () AS n_loaded FROM ({MART_SQL["mart_enrollment_trends"]})
-"""
+    namespaces = {"raw_namespace": f" raw_{run} ", "mart_namespace": f"marts_{run}"}
+    target = target_namespace(namespaces["mart_namespace"], "default")
+    try:
+        raise_failed(
+            list(
+                together(
+                    {
+                        name: partial(
+                            publish_table, raw_tables(spark, sf_dir, name), name,
+                            namespace=namespaces["raw_namespace"], audit_column="loaded_at",
+                        )
+                        for name in RAW
+                    }
+                ).values()
+            )
+        )
+        built = {r["table"]: r["n_rows"] for r in build_models(spark, **namespaces).collect()}
+        lines = [
+            spark.table(f"`{target}`.`{name}`").agg(
+                F.lit(name).alias("mart"),
+                F.lit(built[name]).cast("bigint").alias("n_loaded"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.sum(F.round(F.col(measure) * 1000).cast("bigint")).alias("thousandths"),
+            )
+            for name, measure in MEASURES.items()
+        ]
+        rows = reduce(DataFrame.unionByName, lines).collect()
+    finally:
+        for namespace in namespaces.values():
+            spark.sql(f"DROP DATABASE IF EXISTS `{target_namespace(namespace, 'default')}` CASCADE")
+    return spark.createDataFrame(rows, "mart STRING, n_loaded BIGINT, n_rows BIGINT, thousandths BIGINT")
+
+
+CATALOG_MODELS = " UNION ALL ".join(
+    f"""
+SELECT '{name}' AS mart, count(*) AS n_loaded, count(*) AS n_rows,
+  CAST(sum(CAST(round(CAST({measure} AS DOUBLE) * 1000) AS BIGINT)) AS BIGINT) AS thousandths
+FROM ({MART_SQL[name]})"""
+    for name, measure in MEASURES.items()
+)
 
 
 def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:

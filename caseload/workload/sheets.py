@@ -16,7 +16,8 @@ from ..plans import raw
 from ..plans.pipeline import RAW
 from ..session import shared_folder
 from ..sources import grid as landing
-from ..sources.sinks import publish_table, reasons_per_file
+from ..sources.sinks import publish_table, read_published, reasons_per_file
+from ..sources.workbook import decode_workbooks, pack_workbooks
 from .raw_tables import (
     CHIP_MONTHS,
     COUNTY_MONTHS,
@@ -307,18 +308,26 @@ def grid_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mart published to the shared folder with its audit column, and read from there."""
-    folder = shared_folder(spark)
-    outcome = publish_table(
-        series_trend(spark, sf_dir), "trend", path=folder, audit_column="dbt_loaded_at"
+    """A mart published to the shared folder with its audit column, and read from there.
+
+    It replaces an older version, and a later one that fails half-way leaves it in place.
+    """
+    folder, trend = shared_folder(spark), series_trend(spark, sf_dir)
+    older, outcome, broken = (
+        publish_table(frame, "trend", path=folder, audit_column="dbt_loaded_at")
+        for frame in (
+            trend.limit(1).select("report_month"),
+            trend,
+            trend.withColumn("broken", F.when(F.col("order_value") > 0, F.raise_error(F.lit("broken")))),
+        )
     )
-    if outcome.status != "loaded":
-        raise RuntimeError(outcome.message)
+    if (older.status, outcome.status, broken.status) != ("loaded", "loaded", "failed"):
+        raise RuntimeError(f"{older}, {outcome}, {broken}")
     added = {
         "n_loaded": F.lit(outcome.n_rows).cast("bigint"),
         "audited": F.col("dbt_loaded_at").isNotNull(),
     }
-    return spark.read.parquet(folder).withColumns(added).drop("dbt_loaded_at")
+    return read_published(spark, folder).withColumns(added).drop("dbt_loaded_at")
 
 
 PUBLISH_ROUNDTRIP = f"""
@@ -326,6 +335,22 @@ SELECT *, count(*) OVER () AS n_loaded, true AS audited FROM ({SERIES_TREND})
 """
 
 
+def workbook_county(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """County sheets as workbooks, one a month, read and loaded from their bytes.
+
+    All rows of a workbook are as wide as its sheet, so those of another width are left out before.
+    """
+    grid = county_sheets(spark, sf_dir).where(F.size("cells") == len(raw.COUNTY_COLUMNS))
+    books = pack_workbooks(grid, "Summary")
+    return raw.enrollment_by_county(decode_workbooks(books, "Summary"))
+
+
+def workbook_risk_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet of dates and numbers as a workbook, read and loaded from its bytes."""
+    books = pack_workbooks(risk_group_sheet(spark, sf_dir))
+    return raw.enrollment_by_risk_group(decode_workbooks(books, 0))
+
+
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded and not, and why, per sheet of all six tables."""
     sheets = {
@@ -393,6 +418,8 @@ QUERIES = {
     "raw_mco_enrollment_by_sda": (raw_mco, RAW_MCO),
     "block_decode": (block_decode, BLOCK_DECODE),
     "grid_ingest": (grid_ingest, RAW_SQL["enrollment_by_county"]),
+    "workbook_enrollment_by_county": (workbook_county, RAW_SQL["enrollment_by_county"]),
+    "workbook_enrollment_by_risk_group": (workbook_risk_group, RAW_SQL["enrollment_by_risk_group"]),
     "publish_roundtrip": (publish_roundtrip, PUBLISH_ROUNDTRIP),
     "file_report": (file_report, FILE_REPORT),
 }
