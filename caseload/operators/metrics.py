@@ -228,17 +228,27 @@ def share_of(
         todo = [n for n in todo if n not in nested]
         keys = list(shares[widest])
         as_key = {key: f"__key{i}" for i, key in enumerate(keys)}
-        totals = df.groupBy(*keys).agg(*[F.sum(measure_of(n)).alias(f"__total_{n}") for n in nested])
+        fine = df.groupBy(*keys).agg(*[F.sum(measure_of(n)).alias(f"__total_{n}") for n in nested])
+        totals = fine
         for n in nested:
             if set(shares[n]) != set(keys):
-                coarser = F.sum(f"__total_{n}").over(Window.partitionBy(*shares[n]))
-                totals = totals.withColumn(f"__total_{n}", coarser)
+                totals = _with_coarser(totals, fine, f"__total_{n}", shares[n])
         totals = totals.withColumnsRenamed(as_key)
         same = [F.col(key).eqNullSafe(F.col(alias)) for key, alias in as_key.items()]
         out = out.join(totals, reduce(Column.__and__, same), "left").drop(*as_key.values())
     return out.select(*df.columns, *map(share, shares))
 
 
+def _with_coarser(totals: DataFrame, fine: DataFrame, total: str, keys: Sequence[str]) -> DataFrame:
+    """`totals` with a total summed over some of their keys: grouped with map-side combine, and joined
+    back, so that a key that most rows share is one row, and no task's work."""
+    as_key = {key: f"__coarse{i}" for i, key in enumerate(keys)}
+    coarse = fine.groupBy(*keys).agg(F.sum(total).alias("__coarse")).withColumnsRenamed(as_key)
+    same = [F.col(key).eqNullSafe(F.col(alias)) for key, alias in as_key.items()]
+    joined = totals.join(coarse, reduce(Column.__and__, same), "left")
+    return joined.withColumn(total, F.col("__coarse")).drop(*as_key.values(), "__coarse")
+
+
 def variance_vs_reported(computed: Column | str, reported: Column | str) -> Column:
     """How far a recomputed figure lies from the published one."""
     return column(computed) - column(reported)

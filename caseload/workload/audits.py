@@ -31,8 +31,10 @@ from ..plans.checks import (
     SINGLE,
     UNIQUE,
 )
-from ..plans.pipeline import MARTS, STAGING
-from ..sources.sinks import with_audit_time
+from ..plans.graph import Model
+from ..plans.pipeline import GRAPH, MARTS, RAW, STAGING
+from ..session import shared_folder
+from ..sources.sinks import Outcome, raise_failed, with_audit_time
 from .models import MART_SQL, STAGING_SQL
 from .raw_tables import raw_tables
 from .series import MARKET_SHARE, market_share
@@ -134,15 +136,27 @@ DQ_REPORT = _report(
 
 
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks on the twelve models: declared, of the grain, and from the documentation."""
-    staged = {
-        name: build(raw_tables(spark, sf_dir, source)) for name, (build, source) in STAGING.items()
-    }
-    models = staged | {name: build(staged[source]) for name, (build, source) in MARTS.items()}
+    """All checks on the twelve models: declared, of the grain, and from the documentation.
+
+    Each model is built once, in the order of the graph, from what was written of the models it reads,
+    and checked as it was written.
+    """
+    folder = shared_folder(spark)
+
+    def read(name: str) -> DataFrame:
+        return raw_tables(spark, sf_dir, name) if name in RAW else spark.read.parquet(f"{folder}/{name}")
+
+    def publish(model: Model, frame: DataFrame) -> Outcome:
+        frame.write.parquet(f"{folder}/{model.name}")
+        return Outcome(model.name, "loaded")
+
+    raise_failed(GRAPH.build(read, publish))
+    models = {name: read(name) for name in GRAPH.models}
+    staged = {name: models[name] for name in STAGING}
     return run_all(
         {
-            name: (with_audit_time(df, AUDIT_COLUMN), pipeline.model_checks(name, staged))
-            for name, df in models.items()
+            name: (with_audit_time(models[name], AUDIT_COLUMN), pipeline.model_checks(name, staged))
+            for name in [*STAGING, *MARTS]
         }
     )
 

@@ -45,3 +45,29 @@ def skewed(tmp_path_factory):
 def test_skewed_tables(spark, skewed, name):
     query, sql = REGISTERED[name]
     assert differences(connect(skewed), spark, skewed, query, sql) == []
+
+
+@pytest.fixture(scope="module")
+def one_brand(tmp_path_factory):
+    """All parts, and so all of their types, are of one brand."""
+    folder = tmp_path_factory.mktemp("one_brand")
+    con = connect(SF_DIR)
+    for path in Path(SF_DIR).glob("*.parquet"):
+        if path.stem != "part":
+            (folder / path.name).symlink_to(path)
+    con.execute(
+        f"COPY (SELECT * REPLACE ('Brand#1' AS p_brand) FROM part) TO '{folder / 'part.parquet'}' (FORMAT parquet)"
+    )
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["market_share", "mart_mco_enrollment", "shares_sum"])
+def test_one_coarse_key_for_all_rows(spark, one_brand, name):
+    query, sql = REGISTERED[name]
+    assert differences(connect(one_brand), spark, one_brand, query, sql) == []
+
+
+@pytest.mark.parametrize("name", ["market_share", "mart_mco_enrollment", "shares_sum"])
+def test_totals_need_no_window(spark, name):
+    plan = REGISTERED[name][0](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
