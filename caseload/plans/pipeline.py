@@ -13,7 +13,9 @@ from ..operators.quality import Check, run_all
 from ..sources import grid as sheets
 from ..sources.sinks import (
     Outcome,
+    file_hashes,
     load_report,
+    publish_changed,
     publish_table,
     publish_view,
     raise_failed,
@@ -118,6 +120,44 @@ def load_raw(
     return reduce(DataFrame.unionByName, [load_report(spark, list(outcomes.values())), *per_file])
 
 
+def load_restated(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    *,
+    namespace: str = "raw",
+    tolerate: bool = False,
+    fiscal_year: int = raw.MCO_FISCAL_YEAR,
+    workbooks: bool = False,
+) -> DataFrame:
+    """Bring raw tables up to date by file: only files that are new or restated are read and loaded.
+
+    Tables have a partition per file (see `publish_changed`) and are equal to those of a full load of
+    the same folders, with `source_file` besides. Returns per table its outcome and the numbers of files
+    that were new, restated, gone and kept; marts below a table with changes are built again by
+    `build_models(changed=...)`.
+    """
+
+    def load(table: str, path: str) -> tuple[Outcome, dict[str, int]]:
+        def rows_of(paths: list[str]) -> DataFrame:
+            if workbooks:
+                grid = read_workbooks(spark, paths, SHEETS[table]).drop("sheet")
+            else:
+                grid = sheets.read_grid(spark, paths)
+            rows = RAW[table].judge(grid).where("reason IS NULL")
+            given = {"fiscal_year": fiscal_year} if table == "mco_enrollment_by_sda" else {}
+            return RAW[table].load(rows, keep=["source_file"], **given)
+
+        files = file_hashes(spark, path, "*.xlsx" if workbooks else "*")
+        return publish_changed(table, files, rows_of, namespace=namespace, audit_column="loaded_at")
+
+    done = together({table: partial(load, table, path) for table, path in landing.items()})
+    if not tolerate:
+        raise_failed([outcome for outcome, _ in done.values()])
+    rows = [(table, o.status, o.n_rows, o.message, *counts.values()) for table, (o, counts) in done.items()]
+    columns = "table STRING, status STRING, n_rows BIGINT, message STRING, new INT, restated INT, gone INT, kept INT"
+    return spark.createDataFrame(rows, columns)
+
+
 def build_models(
     spark: SparkSession,
     *,

@@ -77,7 +77,7 @@ class RawTable:
     """How a raw table comes from landed sheets.
 
     `judge` gives all rows under a header, each with the `reason` why it is not loaded, if there is
-    one; `load` makes the table from the rows without a reason.
+    one; `load` makes the table from the rows without a reason, with the columns of `keep` behind.
     """
 
     judge: Callable[[DataFrame], DataFrame]
@@ -125,20 +125,20 @@ def judge_plan_matrix(closing: str = MCO_CLOSING) -> Callable[[DataFrame], DataF
     )
 
 
-def _load_risk_group(rows: DataFrame) -> DataFrame:
-    return rows.select(_month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES))
+def _load_risk_group(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return rows.select(_month_cell("month"), *_number_cells(RISK_GROUP_COLUMNS, RISK_GROUP_RENAMES), *keep)
 
 
-def _load_chip(rows: DataFrame) -> DataFrame:
-    return rows.select(_month_cell("month"), *_number_cells(CHIP_COLUMNS))
+def _load_chip(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return rows.select(_month_cell("month"), *_number_cells(CHIP_COLUMNS), *keep)
 
 
-def _load_htw(rows: DataFrame) -> DataFrame:
+def _load_htw(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     month, caseload = HTW_RENAMES
-    return rows.select(_month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"}))
+    return rows.select(_month_cell(month), *_number_cells(["caseload"], {caseload: "caseload"}), *keep)
 
 
-def _load_county(rows: DataFrame) -> DataFrame:
+def _load_county(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     code, county, *measures = COUNTY_COLUMNS
     cells = {name: F.get("cells", F.lit(i)) for i, name in enumerate(COUNTY_COLUMNS)}
     return rows.select(
@@ -146,20 +146,24 @@ def _load_county(rows: DataFrame) -> DataFrame:
         cells[county].alias(county),
         *[number_or_null(cells[name]).alias(name) for name in measures],
         date_to_epoch_micros(month_from_name("source_file")).alias("report_month"),
+        *keep,
     )
 
 
-def _load_timeliness(rows: DataFrame) -> DataFrame:
+def _load_timeliness(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return rows.select(
         cell("region").alias("region"),
         *_number_cells(TIMELINESS_MEASURES),
         "record_type",
         date_to_epoch_micros("month").alias("report_month"),
         flag_in(cell("region"), GEOGRAPHIC_REGIONS).alias("is_geographic_region"),
+        *keep,
     )
 
 
-def _load_plans(rows: DataFrame, fiscal_year: int = MCO_FISCAL_YEAR) -> DataFrame:
+def _load_plans(
+    rows: DataFrame, keep: Sequence[str] = (), fiscal_year: int = MCO_FISCAL_YEAR
+) -> DataFrame:
     cells = block_cells(rows, labels=MCO_ROW_LABELS, block="mco_name", column="sda", value="enrollment")
     parts = drop_any_value(cells, {"program": "TOTAL", "sub_program": "TOTAL"})
     return parts.select(
@@ -171,6 +175,7 @@ def _load_plans(rows: DataFrame, fiscal_year: int = MCO_FISCAL_YEAR) -> DataFram
         F.lit(MCO_ENROLLMENT_TYPE).alias("enrollment_type"),
         F.lit(fiscal_year).cast("bigint").alias("fiscal_year"),
         "source_file",
+        *[name for name in keep if name != "source_file"],
     )
 
 

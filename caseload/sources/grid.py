@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 SCHEMA = "row_idx INT, cells ARRAY<STRING>"
 
 
-def read_grid(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Rows (source_path, source_file, row_idx, cells) of all files under a folder."""
+def read_grid(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
+    """Rows (source_path, source_file, row_idx, cells) of all files under a folder, or of these files."""
     read = spark.read.schema(SCHEMA).option("pathGlobFilter", pattern).json(path)
     return read.select(
         F.col("_metadata.file_path").alias("source_path"),

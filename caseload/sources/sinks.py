@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -124,6 +124,79 @@ def current_version(spark: SparkSession, table: str) -> tuple[str, str]:
     raise ValueError(f"{table} is no published table")
 
 
+def publish_changed(
+    table: str,
+    files: DataFrame,
+    load: Callable[[list[str]], DataFrame],
+    *,
+    namespace: str | None = None,
+    default_namespace: str = "default",
+    audit_column: str | None = None,
+) -> tuple[Outcome, dict[str, int]]:
+    """Bring a table of one partition per source file up to date with the files there are now.
+
+    `files` has source_file, source_path and sha256; `load` gives the rows of the files with these
+    paths, with their `source_file`. Only files whose hash is new are loaded: their rows go to partitions
+    of a new version, and the list of files (`<table>_files`: file, hash and version) is replaced at
+    once. The table is a view of the partitions that the list names, so a restated file changes its
+    partition only, a file that is gone leaves with the next list, and a load that fails changes
+    nothing. Returns the outcome, with the rows that were loaded, and the numbers of files by what became
+    of them. Loads of one table must not overlap. A changed schema needs a full load.
+    """
+    spark, database = files.sparkSession, target_namespace(namespace, default_namespace)
+    name, listed = f"`{database}`.`{table}`", f"`{database}`.`{table}_files`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    parts = f"{spark.catalog.getDatabase(f'`{database}`').locationUri}/{table}_parts"
+    columns = ["source_file", "sha256", "version"]
+    known = (
+        spark.table(listed).select(columns)
+        if spark.catalog.tableExists(listed)
+        else spark.createDataFrame([], ", ".join(f"{c} STRING" for c in columns))
+    )
+    now = files.select("source_file", "source_path", F.col("sha256").alias("__sha"))
+    state = (
+        F.when(F.col("__sha").isNull(), "gone")
+        .when(F.col("sha256").isNull(), "new")
+        .when(F.col("sha256") != F.col("__sha"), "restated")
+        .otherwise("kept")
+    )
+    # One row per file: as many as a folder lists.
+    compared = known.join(now, "source_file", "full").withColumn("state", state).collect()
+    counts = {s: sum(r.state == s for r in compared) for s in ("new", "restated", "gone", "kept")}
+    fresh, version, n_rows = [r for r in compared if r.state in ("new", "restated")], f"v-{uuid.uuid4().hex}", 0
+    if not fresh and not counts["gone"]:
+        return Outcome(table, "loaded", 0), counts
+    try:
+        if fresh:
+            counter, rows = Observation(), load([r.source_path for r in fresh])
+            rows = rows if audit_column is None else with_audit_time(rows, audit_column)
+            rows = rows.observe(counter, F.count(F.lit(1)).alias("n_rows"))
+            rows.write.partitionBy("source_file").parquet(f"{parts}/version={version}")
+            n_rows = counter.get["n_rows"]
+        kept = [(r.source_file, r.sha256, r.version) for r in compared if r.state == "kept"]
+        listing = kept + [(r.source_file, r["__sha"], version) for r in fresh]
+        frame = spark.createDataFrame(listing, ", ".join(f"{c} STRING" for c in columns))
+        outcome = publish_table(frame.coalesce(1), f"{table}_files", namespace=database)
+        if outcome.status == "loaded" and not spark.catalog.tableExists(name):
+            spark.sql(
+                f"CREATE VIEW {name} AS SELECT p.* EXCEPT (version) FROM parquet.`{parts}` AS p LEFT SEMI JOIN "
+                f"{listed} AS f ON p.version = f.version AND p.source_file = f.source_file"
+            )
+    except Exception as error:
+        return Outcome(table, "failed", message=str(error).split("\n")[0]), counts
+    return Outcome(table, outcome.status, n_rows, outcome.message), counts
+
+
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """source_file, source_path and sha256 of the files of a folder, by their contents."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return found.select(
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("path").alias("source_path"),
+        F.sha2("content", 256).alias("sha256"),
+    ).where(~F.startswith("source_file", F.lit("~$")))
+
+
 def raise_failed(outcomes: Sequence[Outcome]) -> None:
     """Raise once all tables had their turn, if any failed."""
     failed = [f"{o.table}: {o.message}" for o in outcomes if o.status == "failed"]

@@ -355,12 +355,12 @@ def decode_workbooks(
 
 def read_workbooks(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sheet: str | int | None = 0,
     pattern: str = "*.xlsx",
     missing: Iterable[str] = MISSING,
 ) -> DataFrame:
-    """A sheet of each workbook of a folder, as `decode_workbooks` gives it.
+    """A sheet of each workbook of a folder, or of these files, as `decode_workbooks` gives it.
 
     Files that an open program locks beside a workbook (`~$...`) are left out. A workbook is one task's.
     """

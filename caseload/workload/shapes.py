@@ -15,6 +15,7 @@ from ..functions.scalars import (
     round_to_long,
     strip,
 )
+from ..operators.as_of import label_as_of
 from ..operators.reshape import union_by_name, wide_to_long
 from ..operators.rows import drop_any_value, drop_listed, drop_value, keep_numeric_key, missing_rows
 from .sheets import MONTH_IN_NAME
@@ -96,6 +97,36 @@ def effective_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.agg(F.count(F.lit(1)).alias("n_orders")).withColumn("method", label)
 
 
+def as_of_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the last urgent order of their customer, and the last large order of all, up to their
+    day: breakpoints are rows, as many as there are such orders."""
+    day = F.col("o_orderdate").cast("date")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", day.alias("day")
+    )
+    step = [F.col("day").alias("effective_from"), F.col("o_orderkey").cast("string").alias("label")]
+    urgent = orders.where("o_orderpriority = '1-URGENT'").select("o_custkey", *step)
+    large = orders.where("o_totalprice >= 300000").select(*step)
+    rows = orders.select("o_orderkey", "o_custkey", "day")
+    labelled = label_as_of(rows, "day", urgent, ["o_custkey"], base="none", name="last_urgent")
+    return label_as_of(labelled, "day", large, name="last_large")
+
+
+AS_OF_LABELS = """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority, o_totalprice,
+    CAST(o_orderkey AS VARCHAR) AS label
+  FROM orders
+),
+u AS (SELECT o_custkey, day, max(label) AS label FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY ALL),
+l AS (SELECT day, max(label) AS label FROM o WHERE o_totalprice >= 300000 GROUP BY ALL)
+SELECT o.o_orderkey, o.o_custkey, o.day, coalesce(u.label, 'none') AS last_urgent, l.label AS last_large
+FROM o
+ASOF LEFT JOIN u ON o.o_custkey = u.o_custkey AND o.day >= u.day
+ASOF LEFT JOIN l ON o.day >= l.day
+"""
+
+
 EFFECTIVE_LABELS = """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month, o_orderpriority,
   CAST(count(*) AS BIGINT) AS n_orders,
@@ -328,6 +359,7 @@ FROM part
 QUERIES = {
     "wide_to_long": (wide_to_long_query, WIDE_TO_LONG),
     "category_labels": (category_labels, CATEGORY_LABELS),
+    "as_of_labels": (as_of_labels, AS_OF_LABELS),
     "effective_labels": (effective_labels, EFFECTIVE_LABELS),
     "epoch_dates": (epoch_dates, EPOCH_DATES),
     "numeric_key_rows": (numeric_key_rows, NUMERIC_KEY_ROWS),
