@@ -23,13 +23,14 @@ from .rows import cells, field, slices, texts_of
 VOCABULARY = "byte_bpe_50k.json"
 #: Remembered pieces and words; they are forgotten after the window in which there are more.
 MEMORY = 400_000
-#: Words of more bytes are merged with a queue.
-LONG = 48
+#: Words of up to so many bytes are merged together; longer ones alone, with a queue.
+STEPS = (6, 9, 12, 16, 24, 48)
 #: A text is encoded in windows of about so many characters, and a batch in slices of so many bytes.
 WINDOW = 1 << 20
 SLICE = 1 << 22
+#: Letters before this one are classed alike everywhere; other texts are cut by the library itself.
+RARE = "ɐ"
 NEVER = np.iinfo(np.int64).max
-NO_MERGE = (NEVER, -1)
 
 
 def byte_letters() -> dict[str, int]:
@@ -57,7 +58,8 @@ class ByteBPE:
         self.special = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.tokens: dict[int, bytes] = {i: bytes(map(letters.__getitem__, name)) for name, i in names.items()}
         self.tokens.update((i, content.encode()) for content, i in self.special.items())
-        size = max(self.tokens) + 1
+        # One id more stands for nothing, beside which nothing merges.
+        size = max(self.tokens) + 2
         self.byte_ids = np.zeros(256, np.int64)
         for letter, byte in letters.items():
             self.byte_ids[byte] = names[letter]
@@ -77,6 +79,7 @@ class ByteBPE:
         order = np.argsort(pairs)
         self.size, self.pairs = size, pairs[order]
         self.pair_rank = np.array([r for r, _ in self.merges.values()], np.int64)[order]
+        self.made = np.array([m for _, m in self.merges.values()], np.int64)
 
         # Tokens that their own bytes merge to, and beginnings of such (without an id).
         self.known: dict[bytes, int] = {}
@@ -87,14 +90,24 @@ class ByteBPE:
                 for n in range(1, len(token)):
                     self.known.setdefault(token[:n], -1)
                 self.known[token] = i
+        self._grow_tree()
         self.memory = self._specials()
         self.words = regex.compile(public_tokenizers.PATTERN)
-        # Latin letters are classed alike everywhere; other texts are cut by the library itself.
-        self.rare = regex.compile("[^\x00-ɏ]")
+        self.rare = regex.compile(f"[{RARE}-\U0010ffff]")
         self.gap = regex.compile(r" (?=\s|\Z)")
         self.cut = regex.compile(r" (?=\S)")
         self.cutter = None
 
+    def _grow_tree(self) -> None:
+        """The known beginnings as a tree: node * 256 + byte leads to a node, and a node may be a token."""
+        number = {b"": 0}
+        for beginning in self.known:
+            number[beginning] = len(number)
+        self.node_token = np.array([-1, *self.known.values()], np.int64)
+        edges = np.array([number[b[:-1]] * 256 + b[-1] for b in self.known], np.int64)
+        order = np.argsort(edges)
+        self.edges, self.edge_ends = edges[order], order + 1
+
     def _whole(self) -> np.ndarray:
         """Which tokens are what their own bytes merge to: both parts are, and nothing crosses the
         border between them before the merge that makes the token."""
@@ -135,43 +148,43 @@ class ByteBPE:
             at, x, y, taken_x, taken_y = (v[go_on] for v in (at, x, y, taken_x, taken_y))
         return found
 
-    def propose(self, word: bytes) -> list[int]:
-        """The word cut by the longest token that fits, from left to right."""
-        out, start, known = [], 0, self.known
-        while start < len(word):
-            end, best, stop = start + 1, int(self.byte_ids[word[start]]), start + 1
-            while end <= len(word):
-                token = known.get(word[start:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    best, stop = token, end
-                end += 1
-            out.append(best)
-            start = stop
-        return out
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All words cut by the longest token that fits, from left to right: (word, token) in order.
+
+        The words walk down the tree of tokens together, a byte at a time, and each time all of them have
+        found their next token they start again behind it.
+        """
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        place = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        going, owners, found = np.flatnonzero(place < ends), [], []
+        while len(going):
+            at, stop = place[going], ends[going]
+            token, behind = self.byte_ids[data[at]], at + 1
+            live, node = np.arange(len(going)), np.zeros(len(going), np.int64)
+            while len(live):
+                key = node * 256 + data[at[live]]
+                edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+                fits = self.edges[edge] == key
+                live, node = live[fits], self.edge_ends[edge[fits]]
+                at[live] += 1
+                whole = self.node_token[node]
+                ends_here = whole >= 0
+                token[live[ends_here]], behind[live[ends_here]] = whole[ends_here], at[live[ends_here]]
+                inside = at[live] < stop[live]
+                live, node = live[inside], node[inside]
+            owners.append(going)
+            found.append(token)
+            place[going] = behind
+            going = going[behind < stop]
+        if not owners:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        owner, token = np.concatenate(owners), np.concatenate(found)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], token[order]
 
     def merge(self, word: bytes) -> list[int]:
         """The exact ids: of all neighbours that merge, the lowest rank first, further left first."""
-        if len(word) > LONG:
-            return self._merge_long(word)
-        ids, merges = self.byte_ids[np.frombuffer(word, np.uint8)].tolist(), self.merges
-        ranked = [merges.get(pair, NO_MERGE) for pair in zip(ids, ids[1:], strict=False)]
-        while ranked:
-            first = min(ranked)
-            if first is NO_MERGE:
-                break
-            at = ranked.index(first)
-            ids[at : at + 2] = [first[1]]
-            del ranked[at]
-            if at:
-                ranked[at - 1] = merges.get((ids[at - 1], ids[at]), NO_MERGE)
-            if at < len(ranked):
-                ranked[at] = merges.get((ids[at], ids[at + 1]), NO_MERGE)
-        return ids
-
-    def _merge_long(self, word: bytes) -> list[int]:
-        """As `merge`, with a queue of merges and links between neighbours."""
         import heapq
 
         ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
@@ -197,25 +210,85 @@ class ByteBPE:
                         heapq.heappush(queue, (self.merges[pair][0], k, *pair))
         return [i for i in ids if i >= 0]
 
-    def encode_words(self, words: list[bytes]) -> tuple[list[list[int]], int]:
-        """The ids of each word, and how many of them were merged exactly."""
-        proposed = [self.propose(w) for w in words]
-        lengths = np.fromiter(map(len, proposed), np.int64, len(proposed))
-        flat = np.fromiter((i for ids in proposed for i in ids), np.int64, int(lengths.sum()))
-        owner = np.repeat(np.arange(len(words)), lengths)
+    def merge_together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of about one length merged as `merge` does, a merge of each at a time: (word, token)."""
+        nothing, width = self.size - 1, max(map(len, words))
+        ids = np.full((len(words), width + 1), nothing)
+        for i, word in enumerate(words):
+            ids[i, : len(word)] = np.frombuffer(word, np.uint8)
+        ids[:, :width] = np.where(ids[:, :width] < nothing, self.byte_ids[ids[:, :width] & 255], nothing)
+        ranks = self.rank_of(ids[:, :-1], ids[:, 1:])
+        going, owners, found, columns = np.arange(len(words)), [], [], np.arange(width)
+        while len(going):
+            at = ranks.argmin(1)
+            rows = np.arange(len(going))
+            first = ranks[rows, at]
+            done = first == NEVER
+            if done.any():
+                row, column = np.nonzero(ids[done] != nothing)
+                owners.append(going[done][row])
+                found.append(ids[done][row, column])
+                going, ids, ranks, at, first = (x[~done] for x in (going, ids, ranks, at, first))
+                rows = np.arange(len(going))
+            if not len(going):
+                break
+            # The merged part takes the first place, and all behind it move up.
+            ids[rows, at] = self.made[first]
+            behind = columns > at[:, None]
+            ids[:, :width] = np.where(behind, ids[:, 1:], ids[:, :width])
+            ids[:, width] = nothing
+            ranks[:, :-1] = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NEVER
+            ranks[rows, at] = self.rank_of(ids[rows, at], ids[rows, at + 1])
+            before = np.flatnonzero(at)
+            ranks[before, at[before] - 1] = self.rank_of(ids[before, at[before] - 1], ids[before, at[before]])
+        owner, token = np.concatenate(owners), np.concatenate(found)
+        order = np.argsort(owner, kind="stable")
+        return owner[order], token[order]
+
+    def _merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(word, token) of words merged exactly, those of like lengths together."""
+        owners, found, start = [], [], 0
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for most in (*STEPS, None):
+            stop = start
+            while stop < len(order) and (most is None or len(words[order[stop]]) <= most):
+                stop += 1
+            part = order[start:stop]
+            if part and most is not None:
+                owner, token = self.merge_together([words[i] for i in part])
+                owners.append(np.array(part)[owner])
+                found.append(token)
+            elif part:
+                for i in part:
+                    ids = self.merge(words[i])
+                    owners.append(np.full(len(ids), i))
+                    found.append(np.array(ids, np.int64))
+            start = stop
+        return np.concatenate(owners), np.concatenate(found)
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """The ids of all words one after the other, where each word's begin and the last one's end, and
+        how many words were merged exactly."""
+        owner, token = self.propose(words)
         inside = np.flatnonzero(owner[1:] == owner[:-1])
-        kinds, number = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
+        kinds, number = np.unique(token[inside] * self.size + token[inside + 1], return_inverse=True)
         bad = self.first_crossing(kinds // self.size, kinds % self.size) < NEVER
-        failing = np.unique(owner[inside[bad[number]]]).tolist()
-        for i in failing:
-            proposed[i] = self.merge(words[i])
-        return proposed, len(failing)
+        failing = np.unique(owner[inside[bad[number]]])
+        if len(failing):
+            keep = np.ones(len(words), bool)
+            keep[failing] = False
+            merged, exact = self._merge_all([words[i] for i in failing.tolist()])
+            stay = keep[owner]
+            owner = np.concatenate([owner[stay], failing[merged]])
+            token = np.concatenate([token[stay], exact])
+            order = np.argsort(owner, kind="stable")
+            owner, token = owner[order], token[order]
+        return token, np.searchsorted(owner, np.arange(len(words) + 1)), len(failing)
 
     def split_words(self, piece: str) -> list[str]:
         """The words of the pre-tokenizer."""
-        if piece.isascii() and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
-            return [piece]
-        if self.rare.search(piece) is None:
+        if piece.isascii() or self.rare.search(piece) is None:
             return self.words.findall(piece)
         if self.cutter is None:
             from tokenizers import Tokenizer
@@ -266,13 +339,14 @@ class ByteBPE:
 
     def _flush(self, waiting: list, last: list[bytes] | None = None) -> Iterator[np.ndarray]:
         """Encode what waits; give the ids of all texts but the last, which may go on."""
-        self._remember({p for _, pieces in waiting for p in pieces} - self.memory.keys())
+        memory = self.memory
+        self._remember({p for _, pieces in waiting for p in pieces if p not in memory})
         done = None
         for ids, pieces in waiting:
             if done is not None and done is not ids:
                 yield np.frombuffer(b"".join(done), np.int32)
             done = ids
-            ids += map(self.memory.__getitem__, pieces)
+            ids += map(memory.__getitem__, pieces)
         if done is not None and done is not last:
             yield np.frombuffer(b"".join(done), np.int32)
         if len(self.memory) > MEMORY:
@@ -282,12 +356,17 @@ class ByteBPE:
         return {content: np.int32(i).tobytes() for content, i in self.special.items()}
 
     def _remember(self, pieces: set[str]) -> None:
-        cut = {p: self.split_words(p) for p in pieces}
-        words = list({w for found in cut.values() for w in found} - self.memory.keys())
-        ids, _ = self.encode_words([w.encode() for w in words])
+        # Most pieces are one word of letters, perhaps behind a blank.
+        alone = {p for p in pieces if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) and max(p) < RARE}
+        several = {p: self.split_words(p) for p in pieces - alone}
         memory = self.memory
-        memory.update((w, np.array(x, np.int32).tobytes()) for w, x in zip(words, ids, strict=True))
-        memory.update((p, b"".join([memory[w] for w in found])) for p, found in cut.items())
+        words = [w for w in alone | {w for found in several.values() for w in found} if w not in memory]
+        if words:
+            token, starts, _ = self.encode_words([w.encode() for w in words])
+            data, cuts = token.astype("<i4").tobytes(), (starts * 4).tolist()
+            cut = map(data.__getitem__, map(slice, cuts, cuts[1:]))
+            memory.update(zip(words, cut, strict=True))
+        memory.update((p, b"".join([memory[w] for w in found])) for p, found in several.items())
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included; an id without a token is left out, and bytes that are
