@@ -12,8 +12,10 @@ those that can't reach them either are left out.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -57,7 +59,9 @@ class Shard:
     """Collects documents, and gives their inverted index as one row."""
 
     def __init__(self):
-        self.vocabulary: dict[bytes, int] = {}
+        # A new term gets the next number.
+        self.vocabulary: defaultdict[bytes, int] = defaultdict()
+        self.vocabulary.default_factory = self.vocabulary.__len__
         self.keys: list[np.ndarray] = []
         self.lengths: list[int] = []
         self.ids: list = []
@@ -67,8 +71,6 @@ class Shard:
         """One document; one without a term is not indexed."""
         found, vocabulary, n = [], self.vocabulary, 0
         for words in terms_of(body):
-            for word in set(words) - vocabulary.keys():
-                vocabulary[word] = len(vocabulary)
             found.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
             n += len(words)
         if n:
@@ -196,6 +198,15 @@ def item_terms(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(rows, f"item string, item_id {id_type}, term binary")
 
 
+class List(NamedTuple):
+    """A term's places in a shard, what each is worth, the largest and the tenth largest worth."""
+
+    places: np.ndarray
+    impacts: np.ndarray
+    top: int
+    tenth: int
+
+
 class Lists:
     """The lists of one shard, with what each document's place in them is worth."""
 
@@ -207,18 +218,19 @@ class Lists:
         self.starts = np.frombuffer(row["starts"], np.int64)
         self.places = np.frombuffer(row["places"], np.int32)
         self.counts = np.frombuffer(row["counts"], np.int32)
-        self.terms: dict[bytes, tuple[np.ndarray, np.ndarray, int] | None] = {}
+        self.scratch = np.zeros(self.docs, np.int64)
+        self.terms: dict[bytes, List | None] = {}
         self.pairs: dict[tuple[bytes, bytes], Unit] = {}
 
-    def list_of(self, term: bytes, weight: int) -> tuple[np.ndarray, np.ndarray, int] | None:
-        """Places, impacts and the largest impact of a term, or None if no document holds it."""
+    def list_of(self, term: bytes, weight: int) -> List | None:
+        """The list of a term, or None if no document holds it."""
         if term not in self.terms:
             number, found = self.number.get(term), None
             if number is not None:
                 part = slice(*self.starts[number : number + 2])
                 places, tf = self.places[part], self.counts[part].astype(np.int64)
                 impacts = weight * ((1000000000 * tf) // (1000 * tf + 8 * self.m[places]))
-                found = places, impacts, int(impacts.max())
+                found = List(places, impacts, int(impacts.max()), tenth_best(impacts))
             self.terms[term] = found
         return self.terms[term]
 
@@ -226,26 +238,33 @@ class Lists:
         """The two terms' lists with their intersection's joint maximum, built once for all items."""
         key = one[0], other[0]
         if key not in self.pairs:
-            self.pairs[key] = Unit([x for x in (self.list_of(*one), self.list_of(*other)) if x is not None])
+            lists = [x for x in (self.list_of(*one), self.list_of(*other)) if x is not None]
+            self.pairs[key] = Unit(lists, self.intersection(*lists) if len(lists) == 2 else None)
         return self.pairs[key] if self.pairs[key].lists else None
 
 
+    def intersection(self, one: List, other: List) -> np.ndarray:
+        """The joint impacts of the documents that are in both lists."""
+        self.scratch[one.places] = one.impacts
+        first = self.scratch[other.places]
+        self.scratch[one.places] = 0
+        both = first > 0
+        return first[both] + other.impacts[both]
+
+
 class Unit:
-    """One term's list, or two with their intersection: the bound of what a document gets from it."""
+    """One term's list, or two with the joint impacts of their intersection: the bound of what a document
+    gets from it."""
 
-    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray, int]]):
+    def __init__(self, lists: list[List], joint: np.ndarray | None = None):
         self.lists = lists
-        self.apart = sum(top for _, _, top in lists)
-        self.bound = max((top for _, _, top in lists), default=0)
-        self.floor = 0
-        joint = np.zeros(0, np.int64)
-        if len(lists) == 2:
-            (a, x, _), (b, y, _) = lists
-            _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-            joint = x[i] + y[j]
-            self.bound = max(self.bound, int(joint.max(initial=0)))
+        self.apart = sum(x.top for x in lists)
+        self.bound = max((x.top for x in lists), default=0)
         # Ten documents get at least this much: the tenth best of a list or of the intersection.
-        self.floor = max((tenth_best(scores) for scores in (joint, *(x for _, x, _ in lists))), default=0)
+        self.floor = max((x.tenth for x in lists), default=0)
+        if joint is not None and len(joint):
+            self.bound = max(self.bound, int(joint.max()))
+            self.floor = max(self.floor, tenth_best(joint))
 
 
 def tenth_best(scores: np.ndarray) -> int:
@@ -282,18 +301,18 @@ def best_in_shard(lists: Lists, terms: list[tuple[bytes, int]], pair_bounds: boo
     goal = max(goal, 1)
     step = 0
     while step < len(units) and rest[step] >= goal:
-        for places, impacts, _ in units[step].lists:
-            scores[places] += impacts
-            read += len(places)
+        for found in units[step].lists:
+            scores[found.places] += found.impacts
+            read += len(found.places)
         goal = max(goal, tenth_best(scores))
         step += 1
     kept = np.flatnonzero((scores > 0) & (scores + rest[step] >= goal))
     for number in range(step, len(units)):
-        for places, impacts, _ in units[number].lists:
-            at = np.searchsorted(places, kept)
-            at[at == len(places)] = 0
-            hit = places[at] == kept
-            scores[kept[hit]] += impacts[at[hit]]
+        for found in units[number].lists:
+            at = np.searchsorted(found.places, kept)
+            at[at == len(found.places)] = 0
+            hit = found.places[at] == kept
+            scores[kept[hit]] += found.impacts[at[hit]]
             read += int(hit.sum())
         goal = max(goal, tenth_best(scores[kept]))
         kept = kept[scores[kept] + rest[number + 1] >= goal]

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 from caseload.llm import lexical_search
-from caseload.llm.lexical_search import Lists, Shard, Unit, best_in_shard, search, terms_of
+from caseload.llm.lexical_search import List, Lists, Shard, Unit, best_in_shard, search, terms_of
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -123,5 +123,6 @@ def test_pair_bounds_skip_more_and_change_nothing():
 
 def test_a_floor_is_reached_by_ten_documents():
     places, scores = np.arange(12), np.arange(12)[::-1] * 5
-    unit = Unit([(places, scores, 55), (places[:3], scores[:3], 55)])
-    assert unit.floor == 10 and unit.bound == 110
+    one, other = List(places, scores, 55, 10), List(places[:3], scores[:3], 55, 0)
+    unit = Unit([one, other], np.array([110, 100, 90]))
+    assert unit.floor == 10 and unit.bound == unit.apart == 110
