@@ -26,7 +26,7 @@ from .rows import cells, field, texts_of
 
 BEST = 10
 #: Text of a shard, and terms of a block of items.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 BLOCK_TERMS = 200_000
 #: Long texts are cut into words a part at a time.
 PART = 1 << 20
@@ -385,16 +385,21 @@ def search(
                 found_ids.append(ids.take(pa.array(places)))
                 found_scores += scores.tolist()
         rows = pa.array(at, pa.int64())
-        id_type = here.schema.field("ids").type.value_type
+        ids = pa.concat_arrays(found_ids) if found_ids else pa.array([], doc_arrow)
         return pa.table(
             {
-                "item": asked["item"].take(rows),
-                "item_id": asked["item_id"].take(rows),
-                "doc_id": pa.concat_arrays(found_ids) if found_ids else pa.array([], id_type),
+                "item": asked["item"].take(rows).cast(pa.string()),
+                "item_id": asked["item_id"].take(rows).cast(item_arrow),
+                "doc_id": ids.cast(doc_arrow),
                 "score": pa.array(found_scores, pa.int64()),
             }
         )
 
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    # Strings may come with wide offsets, but go back with narrow ones.
+    item_arrow = to_arrow_type(items.schema[item_col].dataType)
+    doc_arrow = to_arrow_type(docs.schema[id_col].dataType)
     item_type = items.schema[item_col].dataType.simpleString()
     id_type = docs.schema[id_col].dataType.simpleString()
     found = (
