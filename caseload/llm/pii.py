@@ -31,7 +31,7 @@ ROUNDS = 3
 #: Bits of the map of patterns to be counted (2 MB), and patterns counted in a task before they go on.
 MAP_BITS = 1 << 24
 HELD = 100_000
-#: Code points looked back for the words before a span.
+#: Code points looked back at first for the words before a span; more, if they don't hold two words.
 BEFORE = 200
 
 #: Marks that open what they stand before, and marks that end a word even where no white space follows.
@@ -50,14 +50,15 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Looser shapes of each kind.
 LOOSE = {
     "email": re.compile(
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]|\{at\}) ?"
-        r"[A-Za-z0-9-]{1,63}(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]{1,63})+"
-        r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} at [A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63})+"
-        r"|(?<![^\s<(\"'])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{2,63}(?![.\w@-])"
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]|\{at\}) ?"
+        r"[A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\{dot\}|\.) ?[A-Za-z0-9-]++)+"
+        r"|(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)+"
+        r"|(?<![^\s<(\"'])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]{2,}+(?![.\w@-])"
     ),
     "ip": re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])"),
-    "digits": re.compile(r"(?<![0-9A-Za-z.+])[(0-9][0-9(). /-]{5,40}[0-9](?![0-9A-Za-z])"),
 }
+#: Runs of digits and what may stand between those of a phone or card number.
+DIGITS = re.compile(r"[0-9(). /-]{7,}+")
 
 
 def _luhn(digits: str) -> bool:
@@ -97,6 +98,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def digit_runs(text: str) -> list[tuple[int, int]]:
+    """Of each run of digits and separators, the part from its first digit or bracket that no letter, digit,
+    dot or plus stands before, to its last digit that no letter follows, if it has 7 characters at least."""
+    found = []
+    for m in DIGITS.finditer(text):
+        start, end = m.span()
+        while start < end and not ("0" <= text[start] <= "9" or text[start] == "(") or (
+            start < end and start and (text[start - 1].isalnum() and text[start - 1].isascii() or text[start - 1] in ".+")
+        ):
+            start += 1
+        if end < len(text) and text[end].isascii() and text[end].isalpha():
+            # The last number belongs to what follows.
+            while end > start and "0" <= text[end - 1] <= "9":
+                end -= 1
+        while end > start and not "0" <= text[end - 1] <= "9":
+            end -= 1
+        if end - start >= 7:
+            found.append((start, end))
+    return found
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of looser shapes that overlap no base span."""
     found = []
@@ -104,12 +126,12 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
         found += [(m.start(), 0, m.end()) for m in LOOSE["email"].finditer(text)]
     if any(d in text for d in "0123456789"):
         found += [(m.start(), 1, m.end()) for m in LOOSE["ip"].finditer(text)]
-        for m in LOOSE["digits"].finditer(text):
-            n = sum(c.isdigit() for c in m[0])
+        for start, end in digit_runs(text):
+            n = sum("0" <= text[i] <= "9" for i in range(start, end))
             if 7 <= n <= 15:
-                found.append((m.start(), 3, m.end()))
+                found.append((start, 3, end))
             if 14 <= n <= 19:
-                found.append((m.start(), 2, m.end()))
+                found.append((start, 2, end))
     free, i = [], 0
     for start, kind, end in sorted(found):
         while i < len(taken) and taken[i][2] <= start:
@@ -136,14 +158,18 @@ def contexts(text: str, start: int) -> list[str]:
 
     Opening marks are passed over, and a word may be glued to what follows, as in 'tel:555'.
     """
-    begin = max(0, start - BEFORE)
-    before = apart(text[begin:start])
-    if not before or not before[-1].isspace():
-        return []
-    words = before.split()
-    if begin and not text[begin - 1].isspace():
-        words = words[1:]
-    return [" ".join(words[-n:]) for n in (1, 2) if len(words) >= n]
+    reach = BEFORE
+    while True:
+        begin = max(0, start - reach)
+        before = apart(text[begin:start])
+        if not before or not before[-1].isspace():
+            return []
+        words = before.split()
+        if begin and not text[begin - 1].isspace():
+            words = words[1:]
+        if not begin or len(words) >= 2:
+            return [" ".join(words[-n:]) for n in (1, 2) if len(words) >= n]
+        reach *= 8
 
 
 def slot(pattern: str) -> int:
