@@ -307,11 +307,14 @@ def _searched(docs: DataFrame, text_name: str, block: DataFrame, window: int, em
     items = block.sparkSession.sparkContext.broadcast(vars(built))
 
     def rows(batches):
+        import pyarrow as pa
+
         known = Items.__new__(Items)
         vars(known).update(items.value)
         for batch in slices(batches, text_name, SHARD_BYTES):
             texts = field(batch, text_name)
-            offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+            width = np.int64 if pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type) else np.int32
+            offsets = np.frombuffer(texts.buffers()[1], width)[texts.offset : texts.offset + len(texts) + 1]
             data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
             ends = (offsets[1:] - offsets[0]).astype(np.int64)
             yield from emit(known, batch, *find_matches(known, data, ends))
