@@ -1,38 +1,36 @@
 """Quality classifier: a byte-level convolutional network in numpy.
 
-Bytes are embedded, learned filters run over every second place of the whole document, and each chunk
+Bytes are embedded, learned filters run over every place of the whole document, and each chunk
 of 128 bytes is max-pooled; the filters reach over a chunk's end, so neighbouring chunks overlap and no
 place is left out. A document's chunks are combined by maximum and mean, and a small dense network
-turns them into one probability. It is trained on a bounded sample of labelled rows, of which chunks
-spread over the whole text are taken; scoring reads every byte of every document, in the map tasks.
+turns them into one probability. It is trained on the whole texts of a bounded sample of labelled rows;
+scoring reads every byte of every document, in the map tasks.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rows import cells, column, field, numbered, row_key
 
 CHUNK = 128
-STRIDE = 2
 WIDTH = 8
 EMBEDDING = 4
 FILTERS = 16
 HIDDEN = 16
-#: The training sample: most labelled rows, and most chunks of each.
+#: The training sample: most labelled rows, and bytes after which no further row is taken.
 SAMPLE_ROWS = 3000
-SAMPLE_CHUNKS = 32
+SAMPLE_BYTES = 64 << 20
 #: Passes over the sample, and least number of steps, which a small sample takes in more passes.
 EPOCHS = 12
 STEPS = 600
 BATCH = 64
 #: Chunks convolved together when scoring.
-TOGETHER = 2048
+TOGETHER = 1024
 
-PLACES = CHUNK // STRIDE
-REACH = WIDTH - STRIDE
+REACH = WIDTH - 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -67,21 +65,33 @@ def starting_model(rng) -> dict[str, np.ndarray]:
 def windows(chunks: np.ndarray, model) -> np.ndarray:
     """The embedded bytes under the filters: (chunk, place, width x embedding)."""
     embedded = model["embedding"][chunks]
-    view = np.lib.stride_tricks.sliding_window_view(embedded, WIDTH, axis=1)[:, ::STRIDE]
-    return np.ascontiguousarray(view.transpose(0, 1, 3, 2)).reshape(len(chunks), PLACES, -1)
+    view = np.lib.stride_tricks.sliding_window_view(embedded, WIDTH, axis=1)
+    return np.ascontiguousarray(view.transpose(0, 1, 3, 2)).reshape(len(chunks), CHUNK, -1)
 
 
 def pooled(chunks: np.ndarray, model) -> np.ndarray:
     """Max-pooled filters of each chunk."""
     out = [
         (windows(chunks[i : i + TOGETHER], model).reshape(-1, WIDTH * EMBEDDING) @ model["filters"])
-        .reshape(-1, PLACES, FILTERS)
+        .reshape(-1, CHUNK, FILTERS)
         .max(axis=1)
         for i in range(0, len(chunks), TOGETHER)
     ]
     return np.maximum(np.concatenate(out) + model["shift"], 0)
 
 
+def strongest(chunks: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
+    """Of each chunk and filter, the largest value and its place."""
+    tops, places = [], []
+    for i in range(0, len(chunks), TOGETHER):
+        part = chunks[i : i + TOGETHER]
+        pre = (windows(part, model).reshape(-1, WIDTH * EMBEDDING) @ model["filters"]).reshape(len(part), CHUNK, FILTERS)
+        place = pre.argmax(axis=1)
+        tops.append(np.take_along_axis(pre, place[:, None], axis=1)[:, 0])
+        places.append(place)
+    return np.concatenate(tops), np.concatenate(places)
+
+
 def combined(chunk_values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Maximum and mean over the chunks of each document."""
     sizes = np.diff(np.r_[starts, len(chunk_values)])[:, None]
@@ -121,10 +131,8 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> dict[st
             sizes = np.array([len(texts[i]) for i in chosen])
             starts = np.cumsum(np.r_[0, sizes[:-1]])
             doc_of = np.repeat(np.arange(len(chosen)), sizes)
-            x = windows(chunks, model)
-            pre = (x.reshape(-1, x.shape[2]) @ model["filters"]).reshape(len(chunks), PLACES, FILTERS)
-            place = pre.argmax(axis=1)
-            top = np.take_along_axis(pre, place[:, None], axis=1)[:, 0] + model["shift"]
+            top, place = strongest(chunks, model)
+            top = top + model["shift"]
             active = np.maximum(top, 0)
             values = combined(active, starts)
             hidden = np.maximum(values @ model["dense"] + model["dense_shift"], 0)
@@ -144,14 +152,16 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> dict[st
             grad["shift"] = d_top.sum(axis=0)
             grad["filters"] = np.empty_like(model["filters"])
             d_embedding = np.zeros_like(model["embedding"])
-            row = np.arange(len(chunks))
             for f in range(FILTERS):
-                under = x[row, place[:, f]]
-                grad["filters"][:, f] = under.T @ d_top[:, f]
+                # Only the winning place of a chunk learns.
                 moved = np.flatnonzero(d_top[:, f])
+                at = chunks[moved[:, None], place[moved, f][:, None] + np.arange(WIDTH)]
+                under = model["embedding"][at].reshape(len(moved), -1)
+                grad["filters"][:, f] = under.T @ d_top[moved, f]
                 weights = model["filters"][:, f].reshape(WIDTH, EMBEDDING)
-                at = chunks[moved[:, None], STRIDE * place[moved, f][:, None] + np.arange(WIDTH)]
-                np.add.at(d_embedding, at, d_top[moved, f][:, None, None] * weights)
+                for w in range(WIDTH):
+                    each = np.bincount(at[:, w], weights=d_top[moved, f], minlength=256).astype(np.float32)
+                    d_embedding += each[:, None] * weights[w]
             grad["embedding"] = d_embedding
             steps += 1
             rate = 0.01 * (1 - (steps - 1) / total) + 0.0005
@@ -163,29 +173,28 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> dict[st
     return model
 
 
-def sample_chunks(body: bytes, most: int) -> np.ndarray:
-    """At most `most` chunks, spread over the whole text."""
-    rows = chunked(body)
-    return rows[np.unique(np.linspace(0, len(rows) - 1, min(most, len(rows))).round().astype(int))]
-
-
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int
 ) -> DataFrame:
-    """doc_id, label and chunks of at most `most` labelled rows, those first by a hash of their id.
+    """doc_id, label and chunks of at most `most` labelled rows, those first by a hash of their id, up to the
+    one with which their texts have SAMPLE_BYTES.
 
-    A row labelled several times counts as its lowest label. The chunks are cut in the tasks.
+    A row labelled several times counts as its lowest label; a label that is no number is none. The chunks
+    are cut in the tasks.
     """
-    known = labels.select(column(id_col).alias("doc_id"), column(label_col).cast("int").alias("label"))
+    known = labels.select(column(id_col).alias("doc_id"), column(label_col).try_cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
     texts = docs.select(
         column(id_col).alias("doc_id"),
         F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary").alias("body"),
     ).where(~held_out(F.col("doc_id")))
-    chosen = known.groupBy("doc_id").agg(F.min("label").alias("label")).join(
-        texts.select("doc_id").distinct(), "doc_id", "left_semi"
-    )
+    sizes = texts.groupBy("doc_id").agg(F.max(F.octet_length("body")).alias("size"))
+    chosen = known.groupBy("doc_id").agg(F.min("label").alias("label")).join(sizes, "doc_id")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # A window over at most `most` rows.
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = chosen.withColumn("taken", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    chosen = chosen.where(F.col("taken") < SAMPLE_BYTES).select("doc_id", "label")
     # At most `most` rows, so the join may broadcast them.
     found = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "body")
 
@@ -193,7 +202,7 @@ def labelled_sample(
         import pyarrow as pa
 
         for batch in batches:
-            cut = [sample_chunks(body, SAMPLE_CHUNKS).tobytes() for body in cells(batch, "body")]
+            cut = [chunked(body).tobytes() for body in cells(batch, "body")]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": field(batch, "doc_id"), "label": field(batch, "label"), "chunks": pa.array(cut, pa.binary())}
             )
