@@ -27,7 +27,7 @@ BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 
 def _turns(turns: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     """conv (a key that is never missing), conv_id, turn, range, role and text."""
-    turn = F.coalesce(column(turn_col).cast("bigint"), F.lit(-1))
+    turn = F.coalesce(column(turn_col).try_cast("bigint"), F.lit(-1))
     return turns.select(
         F.coalesce(F.concat(F.lit("c"), column(conv_col).cast("string")), F.lit("n")).alias("conv"),
         column(conv_col).alias("conv_id"),
@@ -117,32 +117,35 @@ def formatted_chats(
     role_col: str = "role",
     text_col: str = "text",
 ) -> DataFrame:
-    """The maximal conversations, rendered: conv_id, part, n_turns, copies, text.
-
-    A part holds RANGE turn numbers, so a usual conversation is one row, and the parts of a long one
-    are concatenated in order. Where more than RANGE different turns have their numbers in one range, the
-    parts of that conversation hold RANGE places instead, so no part has more turns. Turns repeated in a conversation count once; different turns with one
-    number follow each other by role and text. Missing roles and texts are empty, missing turn numbers
-    come first, and rows without a conversation are one conversation. An empty table gives no rows.
+    """The maximal conversations, rendered: conv_id, part, piece, n_turns, copies, text.
+
+    A part holds RANGE turn numbers, and a piece of it at most RANGE turns, so a usual conversation is one
+    row, and the rows of a long one are concatenated by part and piece. Only where several turns have one
+    number does a part have a piece but 0. Turns repeated in a conversation count once; different turns with one
+    number follow each other by role and text. Missing roles and texts are empty, missing turn numbers, and
+    those that are no number, come first, and rows without a conversation are one conversation. An empty
+    table gives no rows.
     """
     rows = _turns(turns, conv_col, turn_col, role_col, text_col)
     prefixes = freeze(prefix_hashes(rows))
     kept = freeze(maximal_conversations(prefixes))
-    full = prefixes.groupBy("conv", "range").agg(F.count("*").alias("n")).where(F.col("n") > RANGE)
-    full = freeze(full.select("conv").distinct())
+    # Ranges of more turns than a piece holds, and the place of their first one.
+    full = prefixes.groupBy("conv", "range").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    full = freeze(full.where(F.col("n") > RANGE).select("conv", "range", "first"))
 
-    def rendered(said: DataFrame, part: str, parts: DataFrame) -> DataFrame:
+    def rendered(said: DataFrame, *more: str) -> DataFrame:
         # Repeated turns meet in the map tasks.
         turns = F.sort_array(F.collect_set(F.struct("turn", "role", "text")))
         lines = F.transform(turns, lambda t: F.concat(F.lit(BEGIN), t["role"], F.lit("\n"), t["text"], F.lit(END)))
-        texts = said.groupBy("conv", part).agg(F.min("conv_id").alias("conv_id"), F.array_join(lines, "").alias("text"))
-        return texts.join(parts, ["conv", part]).select("conv_id", F.col(part).alias("part"), "n_turns", "copies", "text")
+        texts = said.groupBy("conv", "range", *more).agg(F.min("conv_id").alias("conv_id"), F.array_join(lines, "").alias("text"))
+        piece = F.col("piece") if more else F.lit(0).cast("bigint").alias("piece")
+        return texts.join(kept, "conv").select("conv_id", F.col("range").alias("part"), piece, "n_turns", "copies", "text")
 
     if full.isEmpty():
-        return rendered(rows, "range", prefixes.select("conv", "range").distinct().join(kept, "conv"))
-    usual = prefixes.join(full, "conv", "left_anti").select("conv", "range").distinct().join(kept, "conv")
-    by_range = rendered(rows.join(full, "conv", "left_anti"), "range", usual)
-    places = prefixes.join(full, "conv", "left_semi")
-    said = rows.join(full, "conv", "left_semi").select("conv", "conv_id", "turn", "role", "text").distinct()
-    said = said.select("*", *_hashes()).join(places.select("conv", "turn", "h", "g", "block"), ["conv", "turn", "h", "g"])
-    return by_range.unionByName(rendered(said, "block", places.select("conv", "block").distinct().join(kept, "conv")))
+        return rendered(rows)
+    usual = rows.join(full, ["conv", "range"], "left_anti")
+    said = rows.join(full.select("conv", "range"), ["conv", "range"], "left_semi").distinct()
+    piece = F.floor((F.col("place") - F.col("first")) / RANGE).cast("bigint").alias("piece")
+    places = prefixes.join(full, ["conv", "range"]).select("conv", "turn", "h", "g", piece)
+    said = said.select("*", *_hashes()).join(places, ["conv", "turn", "h", "g"])
+    return rendered(usual).unionByName(rendered(said, "piece"))

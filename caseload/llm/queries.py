@@ -147,7 +147,9 @@ FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 OP9_SQL = """
 WITH turns AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT *, CAST(floor(turn / 256) AS BIGINT) AS part,
+    (row_number() OVER (PARTITION BY conv_id, floor(turn / 256) ORDER BY turn, role, text) - 1) // 256 AS piece
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
 ),
 whole AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS said,
@@ -161,7 +163,7 @@ kept AS (
     WHERE longer.said[1] = one.said[1] AND len(longer.said) > len(one.said)
       AND list_slice(longer.said, 1, len(one.said)) = one.said)
 )
-SELECT conv_id, CAST(floor(turn / 256) AS BIGINT) AS part, CAST(len(said) AS BIGINT) AS n_turns, copies,
+SELECT conv_id, part, piece, CAST(len(said) AS BIGINT) AS n_turns, copies,
        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
 FROM kept JOIN turns USING (conv_id)
 GROUP BY ALL
