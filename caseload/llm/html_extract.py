@@ -119,15 +119,20 @@ class Tree:
         # The elements that are open in one that is not shown, which comes first.
         hidden: list[str] = []
         within: Counter[str] = Counter()
-        open_, block = [0], 0
+        # The block that has a blank before its next text.
+        open_, block, blank = [0], 0, -1
         for kind, name, rest in tokens(html):
             if kind == "text":
                 if hidden == ["head"] and not rest.isspace():
                     self._uncover(hidden, within, 0)
-                if not hidden and not rest.isspace():
-                    self._add(TEXT, open_[-1], (), entities.unescape(rest) if "&" in rest else rest, block)
-                elif not hidden and self.text[-1] and self.block[-1] == block:
-                    self.text[-1] += " "
+                if hidden:
+                    continue
+                if rest.isspace():
+                    blank = block
+                    continue
+                said = entities.unescape(rest) if "&" in rest else rest
+                self._add(TEXT, open_[-1], (), " " + said if blank == block else said, block)
+                blank = -1
                 continue
             if kind == "start":
                 ended = rest.endswith("/")
@@ -150,8 +155,8 @@ class Tree:
                     self._close(open_, ("p",), ("table", "td", "th", "button"))
                     if name in CLOSES:
                         self._close(open_, *CLOSES[name])
-                if name == "br" and self.text[-1]:
-                    self.text[-1] += " "
+                if name == "br":
+                    blank = block
                 if name in VOID:
                     continue
                 if ended and (name == "math" or self.opened["math"]):
