@@ -25,17 +25,35 @@ def row_key(df: DataFrame) -> Column:
     """A key for each row, the same whenever the frame is read again.
 
     Rows of files are named by file and place, so the key doesn't depend on how many cores a read
-    is planned for. Other frames are numbered by partition; they must be deterministic.
+    is planned for. Other frames, among them those that repeat rows of files (explode, joins, unions),
+    are numbered by partition; they must be deterministic.
     """
     try:
         df.select("_metadata.row_index")
+        named = _reads_files(df)
     except AnalysisException:
+        named = False
+    if not named:
         return F.concat(F.lit("m:"), F.monotonically_increasing_id().cast("string"))
     return F.concat(
         F.hex(F.xxhash64("_metadata.file_path")), F.lit(":"), F.col("_metadata.row_index").cast("string")
     )
 
 
+#: Steps of a plan that neither repeat rows nor make new ones.
+_ROW_BY_ROW = frozenset(
+    "Project Filter SubqueryAlias View LocalLimit GlobalLimit Sort RepartitionByExpression Repartition ResolvedHint".split()
+)
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether each row of the frame is one row of one file."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in _ROW_BY_ROW:
+        plan = plan.children().head()
+    return plan.children().isEmpty() and plan.nodeName() == "LogicalRelation"
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """`name`, or the first of name_1, name_2 ... that is no column of the frame."""
     taken = {c.lower() for c in df.columns}

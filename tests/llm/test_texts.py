@@ -71,7 +71,7 @@ def test_every_place_of_a_document_is_under_a_filter():
     body = bytes(np.random.default_rng(1).integers(1, 256, 1000).astype(np.uint8))
     pooled = quality.pooled(quality.chunked(body), model).max(axis=0)
     padded = np.frombuffer(body + bytes(24 + quality.REACH), np.uint8)
-    places = [model["embedding"][padded[p : p + quality.WIDTH]].reshape(-1) for p in range(0, 1024, quality.STRIDE)]
+    places = [model["embedding"][padded[p : p + quality.WIDTH]].reshape(-1) for p in range(1024)]
     whole = np.maximum((np.array(places) @ model["filters"]).max(axis=0) + model["shift"], 0)
     assert np.allclose(pooled, whole, atol=1e-5)
     # Texts scored together don't change each other.
@@ -170,7 +170,7 @@ def test_no_part_has_more_turns_than_a_range(spark):
     first = [(6, 3, "user", t) for t in sorted(f"said {i}" for i in range(600))[:300]]
     gaps = [(7, t, "user", f"turn {t}") for t in range(200, 300)]
     rows = [*lost, *same, *first, *gaps, *lost[:50], *same[:50]]
-    parts = formatted_chats(chat_rows(spark, rows)).orderBy("conv_id", "part").collect()
+    parts = formatted_chats(chat_rows(spark, rows)).orderBy("conv_id", "part", "piece").collect()
     assert max(r["text"].count("<|im_start|>") for r in parts) == 256
     found = {}
     for r in parts:
@@ -178,7 +178,9 @@ def test_no_part_has_more_turns_than_a_range(spark):
         found[r["conv_id"]] = (r["n_turns"], r["copies"], text)
     assert found == brute.chats(rows)
     assert set(found) == {None, 5, 7}
-    assert [r["part"] for r in parts] == [0, 1, 2, 3, 0, 1, 2, 0, 1]
+    assert [(r["part"], r["piece"]) for r in parts] == [
+        *((-1, i) for i in range(4)), *((0, i) for i in range(3)), (0, 0), (1, 0),
+    ]
 
 
 @pytest.fixture(scope="module")
