@@ -18,6 +18,7 @@ from ..operators.quality import (
     shares_sum_to_one,
     unique,
 )
+from ..operators.sketches import distinct_over, distinct_sketches, frequent_values
 from ..plans import pipeline
 from ..plans.checks import (
     ACCEPTED,
@@ -161,6 +162,61 @@ def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Spans of shipping days whose distinct orders are told from sketches by month.
+SPANS = {
+    "all": ("1900-01-01", "2100-01-01"),
+    "year": ("1996-01-01", "1997-01-01"),
+    "month": ("1997-03-01", "1997-04-01"),
+}
+
+
+def distinct_by_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct orders of three spans from sketches by month, kept in a table; and whether each is within
+    two per cent of the exact number."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", month_of("l_shipdate").alias("month"))
+    folder = shared_folder(spark)
+    distinct_sketches(lines, "l_orderkey", ["month"]).write.parquet(folder)
+    # A month belongs to several spans.
+    spans = F.array(
+        *[
+            F.when((F.col("month") >= first) & (F.col("month") < end), F.lit(name))
+            for name, (first, end) in SPANS.items()
+        ]
+    )
+
+    def in_spans(df: DataFrame) -> DataFrame:
+        return df.withColumn("span", F.explode(F.array_compact(spans)))
+
+    told = distinct_over(in_spans(spark.read.parquet(folder)), ["span"])
+    exact = in_spans(lines).groupBy("span").agg(F.count_distinct("l_orderkey").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return told.join(exact, "span").select(
+        "span", "n_rows", F.col("exact").alias("n_orders"), (off <= 0.02 * F.col("exact")).alias("close")
+    )
+
+
+DISTINCT_BY_SPAN = " UNION ALL ".join(
+    f"""
+SELECT '{name}' AS span, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, true AS close
+FROM lineitem WHERE date_trunc('month', l_shipdate) >= DATE '{first}' AND date_trunc('month', l_shipdate) < DATE '{end}'
+HAVING count(*) > 0"""
+    for name, (first, end) in SPANS.items()
+)
+
+
+def frequent_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts on more than one in 1,500 lines, from a bounded summary, and whether its error holds."""
+    found = frequent_values(table(spark, sf_dir, "lineitem"), "l_partkey", 1 / 1500)
+    within = F.abs(F.col("estimate") - F.col("n_rows")) <= F.col("max_error")
+    return found.select(F.col("value").alias("l_partkey"), "n_rows", within.alias("within"))
+
+
+FREQUENT_PARTS = """
+SELECT l_partkey, count(*) AS n_rows, true AS within FROM lineitem
+GROUP BY l_partkey HAVING count(*) > (1.0::DOUBLE / 1500) * (SELECT count(*) FROM lineitem)
+"""
+
+
 def _model_lines(name: str) -> list[str]:
     model_of = f"(SELECT *, now() AS {AUDIT_COLUMN} FROM ({MODELS[name]}))"
     lines = [_line(name, "not_null", c, model_of, _where(f"{c} IS NULL")) for c in REQUIRED[name]]
@@ -362,6 +418,8 @@ FROM lineitem GROUP BY ALL ORDER BY report_month LIMIT 12
 """
 
 QUERIES = {
+    "distinct_by_span": (distinct_by_span, DISTINCT_BY_SPAN),
+    "frequent_parts": (frequent_parts, FREQUENT_PARTS),
     "dq_report": (dq_report, DQ_REPORT),
     "model_checks": (model_checks, MODEL_CHECKS),
     "shares_sum": (shares_sum, SHARES_SUM),
