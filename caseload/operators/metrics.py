@@ -24,8 +24,14 @@ def series_window(period: str | Sequence[str], by: Sequence[str] = ()) -> Window
     return Window.partitionBy(*by).orderBy(*order) if by else Window.orderBy(*order)
 
 
-def _below(name: str):
-    return lambda bound: bound < F.col(name)
+def _number_below(bounds: str, name: str, most: int) -> Column:
+    """How many of the rising `bounds`, at most `most`, lie below a column: halved steps, not a look at each."""
+    steps = [1 << i for i in reversed(range(most.bit_length()))]
+
+    def step(found: Column, size: Column) -> Column:
+        return F.when(F.get(bounds, found + size - 1) < F.col(name), found + size).otherwise(found)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
 
 def cut_evenly(
@@ -42,14 +48,14 @@ def cut_evenly(
     shares = [i / n for i in range(1, n)] or [0.5]
     bounds = {f"__bounds{i}": (c, F.percentile_approx(c, shares, 100 * n)) for i, c in enumerate(period)}
     held = df.withColumns({b: df.agg(percentiles).scalar() for b, (_, percentiles) in bounds.items()})
-    below = {
-        b: F.size(F.filter(b, _below(c))) for b, (c, _) in bounds.items()
-    }
     first, *rest = bounds
-    equal = F.coalesce(F.array_contains(first, F.col(period[0])), F.lit(False))
-    ties = [F.when(equal, below[b]).otherwise(0).alias(f"tie{b}") for b in rest]
-    place = F.struct(below[first].alias("below"), equal.alias("equal"), *ties)
-    return held.withColumn(name, place).drop(*bounds)
+    held = held.withColumn("__below", _number_below(first, period[0], len(shares)))
+    equal = F.coalesce(F.get(first, F.col("__below")) == F.col(period[0]), F.lit(False))
+    ties = [
+        F.when(equal, _number_below(b, bounds[b][0], len(shares))).otherwise(0).alias(f"tie{b}") for b in rest
+    ]
+    place = F.struct(F.col("__below").alias("below"), equal.alias("equal"), *ties)
+    return held.withColumn(name, place).drop(*bounds, "__below")
 
 
 def prior_values(

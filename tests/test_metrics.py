@@ -210,3 +210,13 @@ def test_shares_of_nested_totals_join_the_rows_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     # The rows are joined once; the coarse totals join the fine ones, and no window holds a coarse key.
     assert plan.count("Join ") == 2 and "Window" not in plan
+
+
+def test_bounds_below_a_value_by_halved_steps(spark):
+    from caseload.operators.metrics import _number_below
+
+    for bounds in ([], [5], [1, 1, 2, 5, 5, 9], list(range(0, 400, 3))):
+        df = frame(spark, [("a", x, 0.0) for x in (-1, 0, 1, 2, 5, 6, 9, 10, 399, 500)] + [("a", None, 0.0)])
+        df = df.withColumn("bounds", F.lit(bounds) if bounds else F.array().cast("array<int>"))
+        found = df.select("t", _number_below("bounds", "t", max(1, len(bounds))).alias("n")).collect()
+        assert all(r.n == (0 if r.t is None else sum(b < r.t for b in bounds)) for r in found)
