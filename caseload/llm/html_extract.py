@@ -50,6 +50,9 @@ CLOSES = {
 TEXT = "#text"
 #: Weight of the labelled pages' overall habits against those of one tag or name.
 PRIOR = 2.0
+#: A name on fewer elements than FEW counts as a name of its own.
+FEW = 3
+OWN_NAME = ("name", "")
 
 
 #: States of a node: not content, content, and holding both.
@@ -277,6 +280,11 @@ class Model:
             tag: [_shares([steps[tag, a, y] + PRIOR * self.other[a][y] for y in STATES]) for a in STATES]
             for tag in {t for t, _, _ in steps}
         }
+        # Names of few pages tell one thing together: that an element has a name of its own.
+        few = {f for f, _ in shown if f[0] == "name" and sum(shown[f, y] for y in STATES) < FEW}
+        for f in few:
+            for y in STATES:
+                shown[OWN_NAME, y] += shown.pop((f, y), 0)
         self.shown = {
             f: _shares([(shown[f, y] + 0.5) / (kinds[f[0], y] + 1) for y in STATES]) for f in {f for f, _ in shown}
         }
@@ -291,6 +299,8 @@ class Model:
         for features in tree.features():
             x = y = z = 1.0
             for f in features:
+                if f[0] == "name" and f not in self.shown:
+                    f = OWN_NAME
                 if f in self.shown:
                     a, b, c = self.shown[f]
                     x, y, z = x * a, y * b, z * c

@@ -117,8 +117,52 @@ AROUND = (MENUS, HEADERS, FOOTERS, SIDES, NOTICES, ADVERTS, FORMS, COMMENTS)
 ROUNDS = 6
 
 
+#: Names of what is no article, in the order of the alphabet.
+NAMES = sorted(
+    {
+        word
+        for kind in AROUND
+        for form in kind
+        for value in re.findall(r"(?:class|id|role)='([^']*)'", form)
+        for word in value.split()
+    }
+)
+
+
+def spelled(number: int) -> str:
+    """A word that no other number gives."""
+    word = "q"
+    while number:
+        number, last = divmod(number, 26)
+        word += chr(97 + last)
+    return word
+
+
+def misnamed(inside: str, turn: int) -> str:
+    """An element of an article with a name of what is no article, every second time beside a word of its own."""
+    name = NAMES[turn // 8 % len(NAMES)]
+    if turn // 8 % 2:
+        name = f"{name}-{spelled(turn)}"
+    places = [m.end() - 1 for m in re.finditer(r"<(?:p|div|h2|ul|span|blockquote|pre|table)>", inside)]
+    if not places:
+        return f"<p class='{name}'>{inside}</p>"
+    at = places[turn // 8 % len(places)]
+    return f"{inside[:at]} class='{name}'{inside[at:]}"
+
+
+def coloured(turn: int) -> str:
+    """A program, whose words have names for their colours."""
+    words = ("def", "run", "(", "x", "):", "return", "x")
+    said = " ".join(f"<span class='{spelled(turn * 8 + i)}'>{w}</span>" for i, w in enumerate(words))
+    return f"<pre><code>{said}</code></pre>"
+
+
 def labelled_pages() -> list[str]:
-    """Every article with every inside, each among other surroundings; some of them lie inside it."""
+    """Every article with every inside, each among other surroundings; some of them lie inside it.
+
+    In one page of eight an element of the article is named like what is none, in another one the article
+    holds a program, and in a third one a part around it has a name of its own.
+    """
     pages, turn = [], 0
     for opening, closing in ARTICLES * ROUNDS:
         for body in BODIES:
@@ -126,6 +170,13 @@ def labelled_pages() -> list[str]:
             # Each kind goes through its forms at its own pace.
             parts = [kind[(turn * (i + 1) + turn // (7 + i)) % len(kind)] for i, kind in enumerate(AROUND)]
             inside = body.format(*TEXT)
+            if turn % 8 == 1:
+                inside = misnamed(inside, turn)
+            elif turn % 8 == 5:
+                inside += coloured(turn)
+            elif turn % 8 == 3:
+                own = turn // 8 % len(parts)
+                parts[own] = parts[own].replace("class='", f"class='{spelled(turn)}-", 1)
             if opening:
                 first = opening.index(">", opening.rindex("<") if "y=" in opening else 0)
                 marked = f'{opening[:first]} y="1"{opening[first:]}{inside}'
