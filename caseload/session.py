@@ -31,11 +31,16 @@ def build_session(app: str = "caseload", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """The folder for tables between jobs: `spark.checkpoint.dir`, or else one in the warehouse.
 
-    Both are the cluster's own settings and seen by all executors, whatever the master is.
-    Nothing is set on the session.
+    Nothing is set on the session. On a cluster, a warehouse on the driver's own disk is refused: executors
+    would not see what others wrote there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between_jobs").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"name a shared folder in spark.checkpoint.dir: {warehouse} is the driver's own disk")
+    return f"{warehouse}/_between_jobs"
 
 
 def shared_folder(spark: SparkSession) -> str:
