@@ -161,7 +161,7 @@ def labelled_pages() -> list[str]:
     """Every article with every inside, each among other surroundings; some of them lie inside it.
 
     In one page of eight an element of the article is named like what is none, in another one the article
-    holds a program, and in a third one a part around it has a name of its own.
+    holds a program; in one of four, parts around it have a name of their own.
     """
     pages, turn = [], 0
     for opening, closing in ARTICLES * ROUNDS:
@@ -174,9 +174,9 @@ def labelled_pages() -> list[str]:
                 inside = misnamed(inside, turn)
             elif turn % 8 == 5:
                 inside += coloured(turn)
-            elif turn % 8 == 3:
-                own = turn // 8 % len(parts)
-                parts[own] = parts[own].replace("class='", f"class='{spelled(turn)}-", 1)
+            if turn % 4 == 3:
+                for own in (turn // 4 % len(parts), (turn // 4 + 3) % len(parts)):
+                    parts[own] = parts[own].replace("class='", f"class='{spelled(turn)}-", 1)
             if opening:
                 first = opening.index(">", opening.rindex("<") if "y=" in opening else 0)
                 marked = f'{opening[:first]} y="1"{opening[first:]}{inside}'
