@@ -51,7 +51,9 @@ SELECT *,
   CASE WHEN risk_group LIKE 'medicaid_clients_%' THEN 'caseload_by_age'
        WHEN risk_group IN ('childrens_medicaid_chip_group', 'regular_chip')
          THEN 'childrens_medicaid_and_chip'
-       ELSE 'caseload_by_risk_group' END AS risk_group_category,
+       WHEN risk_group IN ('aged_and_medicare_related', 'breast_and_cervical_cancer', 'disability_related',
+         'parents', 'pregnant_women', 'childrens_medicaid_risk_group') THEN 'caseload_by_risk_group'
+       END AS risk_group_category,
   CASE WHEN report_month >= (CASE risk_group WHEN 'regular_chip' THEN DATE '9999-12-31'
          WHEN 'medicaid_clients_under_21' THEN DATE '2025-09-01' ELSE DATE '2025-08-01' END)
        THEN 'average_daily_enrollment' ELSE 'point_in_time_count' END AS count_methodology
@@ -63,7 +65,9 @@ FROM (
 SELECT {_DATE.format("report_month")} AS report_month, {COUNTY_CODE} AS county_code,
   trim(county) AS county_name, risk_group,
   CASE WHEN risk_group LIKE 'medicaid_clients_%' THEN 'caseload_by_age'
-       ELSE 'caseload_by_risk_group' END AS risk_group_category,
+       WHEN risk_group IN ('aged_and_medicare_related', 'breast_and_cervical_cancer', 'disability_related',
+         'parents', 'pregnant_women', 'childrens_medicaid') THEN 'caseload_by_risk_group'
+       END AS risk_group_category,
   CAST(round(enrollment) AS BIGINT) AS enrollment_count,
   'point_in_time_count' AS count_methodology, {COUNTY_CODE} = 255 AS is_unknown_county
 FROM ({RAW_SQL["enrollment_by_county"]})
