@@ -1,7 +1,8 @@
 """Licence scans: TF-IDF cosine of licence statements to templates, inherited down directories.
 
 Statements are the parts of a text that have a cue word: sentences, paragraphs joined over line breaks and
-comment marks, the comment block at its head, and the whole text. Equal ones are scored once. Vectors
+comment marks, the comment block at its head, and the whole text. Equal ones are scored once. A tag names its
+licence itself. Vectors
 are sparse rows (statement, word, weight), with document frequencies counted over all statements of all
 files. The best template above the threshold is a file's own licence. The licence of a licence file is
 its directory's, and a file without one has that of the nearest directory above it, found by joining
@@ -24,7 +25,6 @@ THRESHOLD = 0.75
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -34,14 +34,12 @@ TEMPLATES = (
         "conditions:",
     ),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     (
         "Apache-2.0",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
         "compliance with the License.",
     ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
     (
         "GPL-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -49,21 +47,19 @@ TEMPLATES = (
         "option) any later version.",
     ),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
-    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
-    (
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met:",
-    ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("ISC", "Licensed under the ISC License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "Licensed under the zlib License."),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -88,13 +84,21 @@ _MIT_END = (
     "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
     "OTHER DEALINGS IN THE SOFTWARE."
 )
+#: What the two licences of redistribution share, and the clause that only the longer one has.
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
 _BSD_END = (
-    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
-    "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
-    "the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
-    "name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
-    "from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "
-    'AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED '
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
     "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
     "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
     "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
@@ -102,6 +106,42 @@ _BSD_END = (
     "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
     "POSSIBILITY OF SUCH DAMAGE."
 )
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+)
+_ISC_NOTICE = "provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_END = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN "
+    "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+    "PERFORMANCE OF THIS SOFTWARE."
+)
+_BOOST_GRANT = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, '
+    "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+    "Software is furnished to do so, all subject to the following:"
+)
+_BOOST_END = (
+    "The copyright notices in the Software and this entire statement, including the above license grant, this restriction "
+    "and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative "
+    "works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code "
+    'generated by a source language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR '
+    "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND "
+    "NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES "
+    "OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+    "THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+    "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+    "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following "
+    "restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original "
+    "software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated "
+    "but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+    "the original software. 3. This notice may not be removed or altered from any source distribution."
+)
 
 
 def _template(name: str, beginning: str) -> str:
@@ -134,7 +174,14 @@ _GNU = (
 #: Whole licences and notices, and the headings of licences that are longer than a page.
 TEMPLATES += (
     ("MIT", f"MIT License {_template('MIT', 'Permission')} {_MIT_END}"),
-    ("BSD-3-Clause", f"BSD 3-Clause License {_template('BSD-3-Clause', 'Redistribution')} {_BSD_END}"),
+    ("BSD-3-Clause", f"BSD 3-Clause License {_BSD_TERMS} {_BSD_NAMES} {_BSD_END}"),
+    ("BSD-2-Clause", f"BSD 2-Clause License {_BSD_TERMS} {_BSD_END}"),
+    ("ISC", f"ISC License {_ISC_GRANT}, {_ISC_NOTICE} {_ISC_END}"),
+    ("0BSD", f"BSD Zero Clause License {_ISC_GRANT}. {_ISC_END}"),
+    ("BSL-1.0", _BOOST_GRANT),
+    ("BSL-1.0", f"Boost Software License - Version 1.0 - August 17th, 2003 {_BOOST_GRANT} {_BOOST_END}"),
+    ("Zlib", f"zlib License {_ZLIB}"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
     (
         "Apache-2.0",
         f"{_template('Apache-2.0', 'Licensed under the Apache License, Version 2.0 (')} You may obtain a copy of the "
@@ -157,9 +204,16 @@ TEMPLATES += (
 #: Words that mark a statement, and names of licence files.
 CUE = re.compile(
     r"licen[sc]|rights\W+reserved|spdx|public\W+domain|permission\W+is\W+hereby\W+granted|redistribution\W+and\W+use"
+    r"|permission\W+to\W+use|permission\W+is\W+granted"
     r"|free\W+software|source\W+code\W+form|creative\W+commons|\bcc[ -]?(?:by|0)\b",
     re.IGNORECASE,
 )
+#: A tag that names a licence, or several joined by operators.
+TAG = re.compile(
+    r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9][A-Za-z0-9.+-]*(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9][A-Za-z0-9.+-]*)*)"
+)
+#: What a file is only where nothing else is found.
+RESERVED = "proprietary"
 LICENSE_FILE = r"(?i)^(un)?(licen[sc]e|copying|copyright|notice)([-_.].*)?$"
 SENTENCE_END = re.compile(r"[.!?](?=\s)|\n")
 WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -167,6 +221,8 @@ WORDS = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 HEADER = re.compile(
     r"(?:#![^\n]*\n)?\s*+(?:/\*.*?\*/|<!--.*?-->|(?:[ \t]*+(?://|\#|--|;|%)[^\n]*+(?:\n|$)|[ \t]*+\n)+)", re.DOTALL
 )
+#: Lines that name a holder, which are no part of a licence's text.
+HOLDER = re.compile(r"^\W*(?:copyright\b|\(c\)|©)[^\n]*$", re.IGNORECASE | re.MULTILINE)
 GAP = re.compile(r"\n(?:[^\w\n]*+\n)+")
 
 
@@ -188,7 +244,8 @@ def _sentences(text: str, found: dict[str, None]) -> None:
 
 def statements(text: str) -> list[str]:
     """The distinct parts of a text with a cue word, as their words: the sentences of its lines, its paragraphs and
-    their sentences, the comments at its head, and the text as a whole. Comment marks are no words."""
+    their sentences, the comments at its head, and the text as a whole, these without the lines of holders.
+    Comment marks are no words."""
     found: dict[str, None] = {}
     if not CUE.search(text):
         return []
@@ -196,12 +253,18 @@ def statements(text: str) -> list[str]:
     _sentences(text, found)
     header = HEADER.match(text)
     for part in (*GAP.split(text), header[0] if header else "", text):
+        part = HOLDER.sub("", part)
         if CUE.search(part):
             _sentences(part.replace("\n", " "), found)
             found[words_of(part)] = None
     return [words for words in found if words]
 
 
+def tags(text: str) -> list[str]:
+    """The distinct licences that tags name, as they are written."""
+    return list(dict.fromkeys(" ".join(m[1].split()) for m in TAG.finditer(text)))
+
+
 def _words(statement: Column) -> Column:
     return F.explode(F.split(statement, " "))
 
@@ -252,24 +315,42 @@ def own_licenses(files: DataFrame, threshold: float) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            row, found = [], []
+            row, found, tagged = [], [], []
             for i, body in enumerate(cells(batch, "body")):
-                here = statements(body.decode("utf-8", "replace"))
-                row += [i] * len(here)
-                found += here
-            keys = field(batch, "row_key").take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_pydict({"row_key": keys, "statement": pa.array(found, pa.string())})
-
-    said = files.select("row_key", "body").mapInArrow(rows, "row_key string, statement string")
+                text = body.decode("utf-8", "replace")
+                here, named = statements(text), tags(text)
+                row += [i] * (len(here) + len(named))
+                found += here + named
+                tagged += [False] * len(here) + [True] * len(named)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "row_key": field(batch, "row_key").take(pa.array(row, pa.int64())),
+                    "statement": pa.array(found, pa.string()),
+                    "tagged": pa.array(tagged, pa.bool_()),
+                }
+            )
+
+    said = files.select("row_key", "body").mapInArrow(rows, "row_key string, statement string, tagged boolean")
     said = freeze(said.withColumn("key", F.md5("statement")))
+    texts = said.where("not tagged")
     # A statement that a third of all files have is one row from here on.
-    scored = scored_statements(said.groupBy("key", "statement").agg(F.count("*").alias("n")), threshold)
-    best = F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("best")
-    return said.select("row_key", "key").join(scored, "key").groupBy("row_key").agg(best).select(
+    scored = scored_statements(texts.groupBy("key", "statement").agg(F.count("*").alias("n")), threshold)
+    named = said.where("tagged").select(
+        "row_key", F.col("statement").alias("license"), F.lit(1.0).alias("score"), F.lit(False).alias("untagged")
+    )
+    alike = texts.select("row_key", "key").join(scored, "key")
+    alike = alike.select("row_key", "license", "score", F.lit(True).alias("untagged"))
+    # A tag comes first; reserved rights count only where nothing else is found.
+    best = F.min(F.struct(_reserved("license"), "untagged", (-F.col("score")).alias("order"), "license")).alias("best")
+    return alike.unionByName(named).groupBy("row_key").agg(best).select(
         "row_key", F.col("best.license").alias("own_license"), (-F.col("best.order")).alias("score")
     )
 
 
+def _reserved(license: str) -> Column:
+    return (F.col(license) == RESERVED).alias("reserved")
+
+
 def _parent(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
@@ -281,7 +362,8 @@ def license_scan(
     license_dir and inherited.
 
     `license` is the own one, or that of the nearest directory above with a licensed licence file;
-    license_dir is that directory ('' is the root). Of several licence files in a directory the best
+    license_dir is that directory ('' is the root). A file that only reserves its rights has the licence
+    of such a directory too, if it is one. Of several licence files in a directory the best
     score counts, then the first in the alphabet. A missing text is empty; a file without a path has
     no directory and inherits nothing. Paths may be repeated. An empty table gives no rows.
     """
@@ -292,7 +374,7 @@ def license_scan(
     skinny = rows.drop("body").withColumn("dir", _parent(F.col("path")))
     found = freeze(skinny.join(own, "row_key", "left"))
     named = F.regexp_extract("path", "[^/]*$", 0).rlike(LICENSE_FILE)
-    best = F.min(F.struct((-F.col("score")).alias("order"), "own_license")).alias("best")
+    best = F.min(F.struct(_reserved("own_license"), (-F.col("score")).alias("order"), "own_license")).alias("best")
     licensed = found.where(named & F.col("own_license").isNotNull()).groupBy("dir").agg(best)
     licensed = licensed.select(F.col("dir").alias("license_dir"), F.col("best.own_license").alias("dir_license"))
     # Each directory once, with all directories above it and itself.
@@ -305,14 +387,16 @@ def license_scan(
         .groupBy("dir")
         .agg(F.max(F.struct(F.length("license_dir").alias("depth"), "license_dir", "dir_license")).alias("near"))
     )
-    inherited = F.col("own_license").isNull() & F.col("near").isNotNull()
+    only_reserved = F.coalesce(F.col("own_license") == RESERVED, F.lit(True))
+    grants = F.col("own_license").isNull() | (F.col("near.dir_license") != RESERVED)
+    inherited = only_reserved & F.col("near").isNotNull() & grants
     return found.join(nearest, "dir", "left").select(
         "row_key",
         "path",
         *map(column, keep),
         "own_license",
         "score",
-        F.coalesce("own_license", "near.dir_license").alias("license"),
+        F.when(inherited, F.col("near.dir_license")).otherwise(F.col("own_license")).alias("license"),
         F.when(inherited, F.col("near.license_dir")).alias("license_dir"),
         inherited.alias("inherited"),
     )

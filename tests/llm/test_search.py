@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 from collections import Counter
 
 import pytest
@@ -248,3 +249,36 @@ def test_wrapped_and_commented_licences_are_known(spark):
     files = spark.createDataFrame(rows, "path string, text string, expected string")
     found = {r.path: r.license for r in license_scan(files, "path", "text").collect()}
     assert found == {path: name for path, _, name in rows}
+
+
+def test_licences_that_are_much_alike(spark):
+    from caseload.llm import licenses as known
+
+    holder = "Copyright (c) 2020, Jo Doe and others. All rights reserved.\n\n"
+    lgpl = known._gnu("Lesser General Public License", "2.1")[1]
+    files = {
+        "a/LICENSE": (holder + known._BSD_TERMS + "\n\n" + known._BSD_END, "BSD-2-Clause"),
+        "b/LICENSE": (holder + known._BSD_TERMS + "\n\n" + known._BSD_NAMES + "\n\n" + known._BSD_END, "BSD-3-Clause"),
+        "c/LICENSE": (holder + known._ISC_GRANT + ", " + known._ISC_NOTICE + "\n\n" + known._ISC_END, "ISC"),
+        "d/LICENSE": (holder + known._ISC_GRANT + ".\n\n" + known._ISC_END, "0BSD"),
+        "e/LICENSE": (f"Boost Software License - Version 1.0\n\n{known._BOOST_GRANT}\n\n{known._BOOST_END}", "BSL-1.0"),
+        "f/LICENSE": (holder + known._ZLIB, "Zlib"),
+        "g/LICENSE": (holder + known._template("MIT", "Permission") + "\n\n" + known._MIT_END, "MIT"),
+        "h/a.c": ("/* " + holder.strip() + "\n *\n * " + lgpl.replace(". ", ".\n * ") + "\n */\nint x;", "LGPL-2.1"),
+        "g/b.c": ("// Copyright 2020 Jo Doe\n// All rights reserved.\nint x;", "proprietary"),
+        "i/a.py": ("# SPDX-License-Identifier: GPL-3.0-only\n" + "x = 1\n", "GPL-3.0-only"),
+        "i/b.py": ("# SPDX-License-Identifier: LGPL-2.1-only\n# All rights reserved.\n", "LGPL-2.1-only"),
+        "i/c.py": ("// SPDX-License-Identifier: (MIT OR Apache-2.0)\n", "MIT OR Apache-2.0"),
+        "i/d.py": ("# SPDX-License-Identifier: BSD-2-Clause\n# Licensed under the MIT License.\n", "BSD-2-Clause"),
+        "i/e.py": (known._template("EPL-2.0", "This program"), "EPL-2.0"),
+        "i/f.py": ("no word of it", None),
+    }
+    # The same again, wrapped and in comments.
+    wrapped = {f"w/{p}": ("".join(f" * {line}\n" for line in textwrap.wrap(t, 70)), n) for p, (t, n) in files.items() if "LICENSE" in p}
+    rows = [(p, t) for p, (t, _) in {**files, **wrapped}.items()]
+    df = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: r.own_license for r in known.license_scan(df, "path", "text").collect()}
+    assert found == {p: n for p, (_, n) in {**files, **wrapped}.items()}
+    # Reserved rights in the tree of a licence change nothing.
+    (inside,) = known.license_scan(df, "path", "text").where("path = 'g/b.c'").collect()
+    assert (inside.own_license, inside.license, inside.license_dir, inside.inherited) == ("proprietary", "MIT", "g", True)
