@@ -376,9 +376,14 @@ class ByteBPE:
 
 
 def encode(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    vocabulary: str | None = None,
+    decoded: bool = False,
 ) -> DataFrame:
-    """row_key, doc_id and ids, the token ids of every row's text.
+    """row_key, doc_id and ids, the token ids of every row's text; with `decoded` also the text that these
+    ids are decoded to, as `decode` does, in the same pass.
 
     A missing text is an empty one and has no ids. Rows repeat as often as they are there, ids may be
     missing or repeated; other columns are not looked at. An empty table gives no rows. `vocabulary` is a
@@ -394,12 +399,14 @@ def encode(
             ids = list(bpe.encode(body.decode("utf-8", "replace") for body in cells(batch, "body")))
             ends = np.cumsum([0, *map(len, ids)])
             found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
-            yield pa.RecordBatch.from_pydict(
-                {"row_key": field(batch, "row_key"), "doc_id": field(batch, "doc_id"), "ids": found}
-            )
+            columns = {"row_key": field(batch, "row_key"), "doc_id": field(batch, "doc_id"), "ids": found}
+            if decoded:
+                columns["decoded"] = pa.array([bpe.decode(x) for x in ids], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(rows, f"row_key string, doc_id {id_type}, ids array<int>")
+    last = ", decoded string" if decoded else ""
+    return texts.mapInArrow(rows, f"row_key string, doc_id {id_type}, ids array<int>{last}")
 
 
 def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -426,7 +433,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 def round_trip_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row_key, doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row, encoded and decoded again."""
-    there_and_back = decode(encode(docs, id_col, text_col))
+    there_and_back = encode(docs, id_col, text_col, decoded=True)
     return there_and_back.select(
         "row_key",
         "doc_id",

@@ -95,8 +95,8 @@ def test_frames(spark, library):
     texts = ["a  b", "it's", "漢字 <|endoftext|>", "x" * 300]
     docs = brute.awkward(spark, texts)
     expected = sorted((str(i), t or "", ids_of(library, t or "")) for i, t in brute.ids_and_texts(docs))
-    rows = decode(encode(docs)).collect()
-    assert sorted((str(r.doc_id), r.decoded, r.ids) for r in rows) == expected
+    for rows in (decode(encode(docs)).collect(), encode(docs, decoded=True).collect()):
+        assert sorted((str(r.doc_id), r.decoded, r.ids) for r in rows) == expected
     digests = sorted(
         (str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in round_trip_digests(docs).collect()
     )
